@@ -9,9 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from loomspark.llm.encode import encode_texts
 from loomspark.llm.mixing import mix_sources
 from loomspark.llm.packing import pack_report, pack_train
+from loomspark.llm.splits import split_report, split_train
 from loomspark.session import table
 
 
+def _splits(spark: SparkSession, d: str) -> DataFrame:
+    return split_train(table(spark, d, "train"), table(spark, d, "channels"), table(spark, d, "shared_frames"), table(spark, d, "split_targets"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _splits(spark, d).where("group_size > 1").select("group_id", "train_id")
+
+
+def p1_splits(spark: SparkSession, d: str) -> DataFrame:
+    return _splits(spark, d).select("train_id", "group_id", "split")
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    return split_report(_splits(spark, d), table(spark, d, "split_targets"))
+
+
 def p4_packs(spark: SparkSession, d: str) -> DataFrame:
     return pack_train(table(spark, d, "train"), table(spark, d, "channels"), table(spark, d, "pack_limits"))
 
@@ -33,7 +50,7 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
