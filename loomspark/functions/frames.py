@@ -9,6 +9,8 @@ from loomspark.session import small_rows
 
 #: Fixed pattern: a frame of a recording, in a path in normal form.
 FRAME = r"chunk_0*(\d+)/row_0*(\d+)/0*(\d+)(?:\.[a-z0-9]+)?$"
+#: The same in a path as it is written, for the spellings that need no normal form.
+RAW_FRAME = r"(?i)^.*\bchunk_0*(\d+)(?:/|\\|%2f|%5c)+row_0*(\d+)(?:/|\\|%2f|%5c)+0*(\d+)\.[a-z0-9]+(?:[?#].*)?\s*$"
 SHARED_FOLDER = r"(?:^|/)(images/common/[^/]+?)(?:\.[a-z0-9]+)?$"
 
 
@@ -29,7 +31,11 @@ def frame_key(path: Column) -> Column:
 
     Null for null and blank paths.
     """
-    p = plain_path(path)
+    quick = F.regexp_replace(path, RAW_FRAME, "$1/$2/$3")
+    return F.when(F.substr(quick, F.lit(1), F.lit(1)).between("0", "9") & quick.rlike(r"^\d+/\d+/\d+$"), quick).otherwise(_slow_key(plain_path(path)))
+
+
+def _slow_key(p: Column) -> Column:
     inside = F.regexp_extract(p, FRAME, 1)
     common = F.regexp_extract(p, SHARED_FOLDER, 1)
     return (
