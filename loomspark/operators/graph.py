@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from loomspark.session import cut
 
@@ -57,3 +56,9 @@ def hot_join(rows: DataFrame, labels: DataFrame, key: str, share: int = 256) ->
         return rows.join(cold, key)
     is_hot = F.col(key).isin(hot_keys)
     return rows.where(is_hot).join(F.broadcast(hot), key).unionByName(rows.where(~is_hot).join(cold, key))
+
+
+def small_broadcast(df: DataFrame, most: int = 1 << 18) -> DataFrame:
+    """`df` with a broadcast hint where it has at most `most` rows (narrow ones, a few MB), else `df` as it is, for a join by shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= most else df
