@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.llm.encode import encode_texts
 from loomspark.llm.mixing import mix_sources
+from loomspark.llm.overlap import overlap_report, overlaps
 from loomspark.llm.packing import pack_report, pack_train
 from loomspark.llm.splits import split_report, split_train
 from loomspark.session import table
@@ -29,6 +30,22 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return split_report(_splits(spark, d), table(spark, d, "split_targets"))
 
 
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return overlaps(table(spark, d, "train"), table(spark, d, "val"), table(spark, d, "channels"), table(spark, d, "shared_frames"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).select("train_id", "val_id")
+
+
+def p3_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d)
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    return overlap_report(_overlaps(spark, d), table(spark, d, "val"), table(spark, d, "channels"))
+
+
 def p4_packs(spark: SparkSession, d: str) -> DataFrame:
     return pack_train(table(spark, d, "train"), table(spark, d, "channels"), table(spark, d, "pack_limits"))
 
@@ -50,7 +67,7 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
