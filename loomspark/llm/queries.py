@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomspark.llm.census import token_census
 from loomspark.llm.encode import encode_texts
 from loomspark.llm.mixing import mix_sources
 from loomspark.llm.overlap import overlap_report, overlaps
@@ -30,6 +32,15 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return split_report(_splits(spark, d), table(spark, d, "split_targets"))
 
 
+def p2_census(spark: SparkSession, d: str) -> DataFrame:
+    return token_census(table(spark, d, "raw_trajectories"), table(spark, d, "canonical_index"), table(spark, d, "common_words"))
+
+
+def p2_domains(spark: SparkSession, d: str) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("conversations", "text_tokens", "visual_tokens", "tokens")]
+    return p2_census(spark, d).groupBy("domain", "lang").agg(*sums)
+
+
 def _overlaps(spark: SparkSession, d: str) -> DataFrame:
     return overlaps(table(spark, d, "train"), table(spark, d, "val"), table(spark, d, "channels"), table(spark, d, "shared_frames"))
 
@@ -67,7 +78,7 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
