@@ -12,6 +12,7 @@ from loomspark.llm.encode import encode_texts
 from loomspark.llm.mixing import mix_sources
 from loomspark.llm.overlap import overlap_report, overlaps
 from loomspark.llm.packing import pack_report, pack_train
+from loomspark.llm.quality import text_quality
 from loomspark.llm.splits import split_report, split_train
 from loomspark.session import table
 
@@ -77,8 +78,16 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).shares
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_stats(spark, d).where("reason IS NOT NULL AND reason <> 'empty'").select("doc_id")
+
+
+def p7_stats(spark: SparkSession, d: str) -> DataFrame:
+    return text_quality(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p7_found, p7_stats)}
 
 
 def oracle_sql() -> dict[str, str]:
