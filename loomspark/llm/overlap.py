@@ -22,10 +22,15 @@ from loomspark.session import cut
 FREQUENT = 1024
 #: Fixed by the definition: at most one word in so many of the longer text differs.
 ONE_IN = 10
-#: Texts of fewer words take every run of 5 words; others with fewer than FEW rare words every run of 8; SOME parts short from long texts.
-SHORT, FEW, SOME = 40, 16, 64
-CLIP = (1 << 21) - 1
-DOC = "id bigint, h bigint, n int, seeds array<bigint>, meta array<bigint>"
+#: Texts of fewer words take every run of 5 words; others with fewer than FEW rare words every run of 8; MORE and MANY part the others.
+SHORT, FEW, MORE, MANY = 40, 20, 40, 90
+#: A pair of texts with many rare words shares one seed more for so many of them; about ten times as many are to be expected.
+PER_SEED = 120
+CLIP = (1 << 20) - 1
+#: Buckets of a text's sketch, in which its words are counted up to 255.
+SKETCH = 32
+DOC = "id bigint, h bigint, n int, sketch binary"
+SEED = "h bigint, seed bigint, meta bigint"
 
 
 def spoken(messages: Column) -> Column:
@@ -76,12 +81,12 @@ def winnow(h: np.ndarray, off: np.ndarray, docs: np.ndarray, k: int, w: int) ->
 
 
 def seeds_of(h: np.ndarray, off: np.ndarray, frequent: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, seed, length | rare words | place) of a batch of texts, sorted by document; `skip` marks texts that give none.
+    """(document, seed, tier | length | words looked at | place) of a batch of texts; `skip` marks texts that give none.
 
     Two texts that differ in d words of the longer one, d at most a tenth, share a run of unchanged words; which runs are
     looked at depends on the text's length and its number of rare words, with room for d, so both texts look alike:
-    every run of 5 words of a short text and every run of 8 of one with few rare words are sure to meet; among rare words
-    runs of 6 (window 2) of a text with some of them and runs of 10 (window 4) of the others.
+    every run of 5 words of a short text and every run of 8 of one with few rare words are sure to meet; of texts with
+    more rare words the runs of 6 (window 3), 8 (window 3) or 10 (window 5) rare words.
     """
     n = np.diff(off)
     at = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
@@ -92,19 +97,19 @@ def seeds_of(h: np.ndarray, off: np.ndarray, frequent: np.ndarray, skip: np.ndar
     some = ~skip & (n > 0)
     long = n >= SHORT
     parts = []
-    for tier, docs, k, w, raw in (
-        (1, some & (n < SHORT * ONE_IN // (ONE_IN - 1) + 2), 5, 1, True),
-        (2, some & long & (r < FEW + d), 8, 1, True),
-        (3, some & long & (r >= FEW) & (r < SOME + d), 6, 2, False),
-        (4, some & long & (r >= SOME), 10, 4, False),
+    for tier, docs, k, w in (
+        (1, some & (n < SHORT * ONE_IN // (ONE_IN - 1) + 2), 5, 1),
+        (2, some & long & (r < FEW + d), 8, 1),
+        (3, some & long & (r >= FEW) & (r < MORE + d), 6, 3),
+        (4, some & long & (r >= MORE) & (r < MANY + d), 8, 3),
+        (5, some & long & (r >= MANY), 10, 5),
     ):
         docs = np.flatnonzero(docs)
-        doc, place, g = winnow(h if raw else kept, off if raw else kept_off, docs, k, w)
-        parts.append((doc, g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64)), place, np.zeros(len(doc), np.int64) if tier < 4 else r[doc]))
-    doc, seed, place, many = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(doc, kind="stable")
-    doc, seed, place, many = doc[order], seed[order], place[order], many[order]
-    meta = np.minimum(n[doc], CLIP) << 42 | np.minimum(many, CLIP) << 21 | np.minimum(place, CLIP)
+        words, at, size = (h, off, n) if tier < 3 else (kept, kept_off, r)
+        doc, place, g = winnow(words, at, docs, k, w)
+        meta = tier << 60 | np.minimum(n[doc], CLIP) << 40 | np.minimum(size[doc], CLIP) << 20 | np.minimum(place, CLIP)
+        parts.append((doc, g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64)), meta))
+    doc, seed, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
     return doc, seed, meta
 
 
@@ -140,8 +145,27 @@ def frequent_words(texts: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.w for r in counts.where(F.col("c") * FREQUENT > total).take(FREQUENT)], np.int64).view(np.uint64))
 
 
-def fingerprints(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Columns of DOC for rows (id, text): words, their hash and the seeds; a text met before in the partition has no seeds again."""
+def documents(rows: DataFrame) -> DataFrame:
+    """Columns of DOC for rows (id, text): the hash of the text's words, their number and their sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, part in _texts(batch, 1):
+                h, off = word_hashes(part)
+                n = np.diff(off)
+                counts = np.bincount(np.repeat(np.arange(b - a), n) * SKETCH + (h % np.uint64(SKETCH)).astype(np.int64), minlength=(b - a) * SKETCH)
+                sketch = np.minimum(counts, 255).astype(np.uint8).tobytes()
+                at = pa.py_buffer((np.arange(b - a + 1, dtype=np.int32) * SKETCH).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(text_hash(h, off).view(np.int64)), pa.array(n.astype(np.int32)),
+                     pa.Array.from_buffers(pa.binary(), b - a, [None, at, pa.py_buffer(sketch)])], names=["id", "h", "n", "sketch"],
+                )
+
+    return rows.mapInArrow(run, DOC)
+
+
+def seeds(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -156,31 +180,43 @@ def fingerprints(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if len(seen) > 1 << 20:
                     seen.clear()
                 doc, seed, meta = seeds_of(h, off, frequent, skip)
-                at = pa.array(np.searchsorted(doc, np.arange(b - a + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(whole.view(np.int64)), pa.array(np.diff(off).astype(np.int32)),
-                     pa.ListArray.from_arrays(at, pa.array(seed.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(meta))],
-                    names=["id", "h", "n", "seeds", "meta"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)[doc]), pa.array(seed.view(np.int64)), pa.array(meta)], names=["h", "seed", "meta"])
 
-    return rows.mapInArrow(run, DOC)
+    return rows.mapInArrow(run, SEED)
 
 
 def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
-    """Pairs (ht, hv) of different texts with enough seeds in common at places that fit; train and val have the columns of DOC."""
+    """Pairs (ht, hv) of different texts with enough seeds in common at places that fit; train and val have the columns of SEED.
 
-    def flat(df: DataFrame, side: str) -> DataFrame:
-        s = df.select("h", F.explode(F.arrays_zip("seeds", "meta")).alias("s")).select(F.col("s.seeds").alias("seed"), F.col("h").alias(f"h{side}"), F.col("s.meta").alias("m"))
-        return s.withColumnRenamed("m", f"m{side}")
-
-    part = lambda m, k: F.shiftrightunsigned(F.col(m), 21 * k).bitwiseAND(F.lit(CLIP))
+    Places fit where the lengths differ by no more words than allowed, and so do the words before the seed and those
+    behind it together. Seeds of common phrases pair many texts, so filters work in the join, before anything is shuffled.
+    """
+    part = lambda m, k: F.shiftrightunsigned(F.col(m), 20 * k).bitwiseAND(F.lit(CLIP))
     longer, shorter = F.greatest(part("mt", 2), part("mv", 2)), F.least(part("mt", 2), part("mv", 2))
-    fit = (longer - shorter <= F.floor(longer / ONE_IN)) & (F.abs(part("mt", 0) - part("mv", 0)) <= F.floor(longer / ONE_IN)) & (F.col("ht") != F.col("hv"))
-    need = F.greatest(F.lit(1), F.floor(F.least(part("mt", 1), part("mv", 1)) / 48))
-    hits = flat(train, "t").join(flat(val, "v"), "seed").where(fit).select("ht", "hv", need.alias("need"))
+    most, before, apart = F.floor(longer / ONE_IN), part("mt", 0) - part("mv", 0), part("mt", 1) - part("mv", 1)
+    clipped = F.greatest(part("mt", 1), part("mv", 1)) >= CLIP
+    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (F.abs(before) <= most) & (clipped | (F.abs(before) + F.abs(apart - before) <= most))
+    need = F.when(F.shiftright("mt", 60) < 4, 1).otherwise(1 + F.floor(F.least(part("mt", 1), part("mv", 1)) / PER_SEED))
+    hits = train.toDF("ht", "seed", "mt").join(val.toDF("hv", "seed", "mv"), "seed").where(fit).select("ht", "hv", need.alias("need"))
     return hits.groupBy("ht", "hv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("ht", "hv")
 
 
+def plausible(pairs: DataFrame, train: DataFrame, val: DataFrame) -> DataFrame:
+    """The pairs whose sketches differ by no more words than allowed: a bound on the edits from below, so no match is lost. train, val: columns of DOC."""
+    of = lambda df, side: df.groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("s")).select(F.col("h").alias(f"h{side}"), F.col("n").alias(f"n{side}"), F.col("s").alias(f"s{side}"))
+    both = pairs.join(small_broadcast(of(val, "v")), "hv").join(of(train, "t"), "ht").select("ht", "hv", "nt", "nv", "st", "sv")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = np.maximum(np.array(b.column(2)), np.array(b.column(3))) // ONE_IN
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for k in (4, 5))
+            diff = x - y
+            keep = pa.array((diff.clip(0).sum(1) <= most) & ((-diff).clip(0).sum(1) <= most))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["ht", "hv"])
+
+    return both.mapInArrow(run, "ht bigint, hv bigint")
+
+
 def edits(x: list[int], y: list[int]) -> int:
     """Edit distance of two sequences, bit-parallel over the shorter one."""
     if len(x) > len(y):
@@ -267,8 +303,8 @@ def same_text(train: DataFrame, val: DataFrame) -> tuple[DataFrame, DataFrame, D
     differ; texts: id, h, n, with equal h for equal texts (n = 0: no words, matches nothing). Texts, not rows, are joined.
     """
     frequent = frequent_words(val.select("text"))
-    t, v = cut(fingerprints(train, frequent)), cut(fingerprints(val, frequent))
-    pairs = cut(candidates(t, v))
+    t, v = cut(documents(train)), cut(documents(val))
+    pairs = cut(plausible(candidates(seeds(train, frequent), seeds(val, frequent)), t, v))
 
     def words(rows: DataFrame, docs: DataFrame, h: str) -> DataFrame:
         """(h, words) of one row for each text in pairs."""
