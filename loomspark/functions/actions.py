@@ -73,7 +73,8 @@ def has_key(text: Column) -> Column:
 
 def keys(text: Column) -> Column:
     """The keys of each segment after the first, in order; null where there is no whole action."""
-    segments = F.slice(F.split(body(text), r"<\|action_sep\|>"), F.lit(2), F.lit(2**31 - 1))
+    parts = F.split(body(text), r"<\|action_sep\|>")
+    segments = F.slice(parts, F.lit(2), F.size(parts))
     return F.when(well_formed(text), F.transform(segments, lambda s: F.filter(F.split(strip(s), r"\s+"), lambda k: k != "")))
 
 

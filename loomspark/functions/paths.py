@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def basename(path: Column) -> Column:
@@ -21,7 +22,7 @@ def absolute(path: Column, base: str | Column) -> Column:
     return F.regexp_replace(F.regexp_replace(joined, r"/(?:\./)+", "/"), r"/{2,}", "/")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def normal(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The normal form of a path, with `..` taken back."""
     import posixpath
