@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomspark.functions.images import image_size
 from loomspark.functions.names import literal_map, name_key
 from loomspark.llm import textvec as tv
 from loomspark.llm.bpe import DEFAULT_TOKENIZER
@@ -20,37 +21,9 @@ from loomspark.llm.words import HAN, plain, word_classes, word_hashes
 from loomspark.session import cut, small_rows
 
 UNKNOWN = "und"
-#: Fixed values of the file formats: the start-of-frame markers of JPEG.
-FRAME_MARKERS = {0xC0, 0xC1, 0xC2, 0xC3, 0xC5, 0xC6, 0xC7, 0xC9, 0xCA, 0xCB, 0xCD, 0xCE, 0xCF}
 COUNTED = "text_tokens bigint, visual_tokens bigint, images int, unreadable int, missing int, lang string"
 
 
-def image_size(data: bytes | None) -> tuple[int, int] | None:
-    """(width, height) from the head of a JPEG or PNG file; None for anything else, cut heads and sizes of 0."""
-    if not data:
-        return None
-    if data[:8] == b"\x89PNG\r\n\x1a\n" and data[12:16] == b"IHDR" and len(data) >= 24:
-        w, h = int.from_bytes(data[16:20], "big"), int.from_bytes(data[20:24], "big")
-        return (w, h) if w and h else None
-    if data[:2] != b"\xff\xd8":
-        return None
-    at = 2
-    while at + 9 <= len(data):
-        if data[at] != 0xFF:
-            return None
-        marker = data[at + 1]
-        if marker == 0xFF:
-            at += 1
-        elif marker == 0x01 or 0xD0 <= marker <= 0xD8:
-            at += 2
-        elif marker in FRAME_MARKERS:
-            h, w = int.from_bytes(data[at + 5 : at + 7], "big"), int.from_bytes(data[at + 7 : at + 9], "big")
-            return (w, h) if w and h else None
-        else:
-            at += 2 + int.from_bytes(data[at + 2 : at + 4], "big")
-    return None
-
-
 class Languages:
     """The language of a text from its share of Han signs and its frequent function words."""
 

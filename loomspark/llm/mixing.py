@@ -22,18 +22,33 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
+def draw_rates(sources: dict[str, tuple[float, float, int]], size: int, fill: bool = False) -> dict[str, float]:
+    """How often each source {name: (weight, max_passes, tokens)} is used for a mixture of so many tokens; see `mix_sources`."""
+    rates = {n: min(cap, w * size / t) if t else 0.0 for n, (w, cap, t) in sources.items()}
+    while fill:
+        left = size - sum(rates[n] * t for n, (_, _, t) in sources.items())
+        able = {n: w for n, (w, cap, t) in sources.items() if t and w > 0 and rates[n] < cap}
+        if left <= 1e-9 * size or not able:
+            break
+        whole = sum(able.values())
+        for n, w in able.items():
+            rates[n] = min(sources[n][1], rates[n] + w / whole * left / sources[n][2])
+    return rates
+
+
 @dataclass
 class Mixture:
     rows: DataFrame
     shares: DataFrame
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, path: str = DEFAULT_TOKENIZER, id_col: str = "doc_id") -> Mixture:
+def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, fill: bool = False, path: str = DEFAULT_TOKENIZER, id_col: str = "doc_id") -> Mixture:
     """Draw documents so that each source of `targets` (source, weight, max_passes) gets its weight of all documents' tokens.
 
     A source's rate is weight * all tokens / its tokens, at most max_passes; each of its documents comes out floor(rate)
     times and once more with the rate's fraction as probability, decided by a hash of seed and id. What a capped or
-    absent source leaves open is not given to the others, so every other source keeps its weight of the wanted size.
+    absent source leaves open is not given to the others, so every other source keeps its weight of the wanted size; with `fill` the others share it by their weights, until the
+    size is reached or all are capped, and then have more than their weight.
     Sources are compared by `source_key`; documents of a null or unlisted source aren't drawn but count for the size.
     A target with a null or negative weight or cap draws nothing; of a source listed twice the weights are added and the
     larger cap holds. Documents without tokens come out by the same rule. Rows with the same id and source are drawn
@@ -53,10 +68,9 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, path:
     wanted = spark.createDataFrame(names, "source string, weight double, max_passes double").coalesce(1)
     size = counted.agg(F.sum("tokens")).first()[0] or 0
     have = counted.join(F.broadcast(wanted), "source", "left_semi").groupBy("source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
-    rates = [
-        (r.source, r.weight, r.max_passes, r.documents or 0, r.tokens or 0, min(r.max_passes, r.weight * size / r.tokens) if r.tokens else 0.0)
-        for r in small_rows(wanted.join(have, "source", "left"))
-    ]
+    found = small_rows(wanted.join(have, "source", "left"))
+    got = draw_rates({r.source: (r.weight, r.max_passes, r.tokens or 0) for r in found}, size, fill)
+    rates = [(r.source, r.weight, r.max_passes, r.documents or 0, r.tokens or 0, got[r.source]) for r in found]
     rate = spark.createDataFrame(rates, "source string, weight double, max_passes double, documents bigint, source_tokens bigint, rate double").coalesce(1)
     drawn = counted.join(F.broadcast(rate.select("source", "rate")), "source").select(
         "doc_id", "source", "tokens", (F.floor("rate") + (uniform(seed, F.col("source"), F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies")

@@ -90,5 +90,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p7_found, p7_stats)}
 
 
+#: Frames of recordings as the SQL sees them; it knows the spellings of the test tables, not all that the operator reads.
+FRAMES = r"""n AS (SELECT regexp_replace(lower(name), '[\s_-]+', '', 'g') AS k, min(channel) AS game FROM (SELECT channel, channel AS name FROM channels UNION ALL SELECT channel, unnest(aliases) FROM channels) GROUP BY 1),
+ p AS (SELECT train_id, channel, game, replace(replace(lower(unnest(images)), '%2f', '/'), chr(92), '/') AS path FROM train),
+ f AS (SELECT train_id, coalesce(c.game, g.game) AS game, regexp_extract(path, '.*chunk_0*(\d+)/+row_0*(\d+)/+0*(\d+)[.]', ['chunk', 'row', 'frame']) AS x FROM p
+  LEFT JOIN n c ON c.k = regexp_replace(lower(p.channel), '[\s_-]+', '', 'g') LEFT JOIN n g ON g.k = regexp_replace(lower(p.game), '[\s_-]+', '', 'g')),
+ s AS (SELECT regexp_extract(path, '.*chunk_0*(\d+)/+row_0*(\d+)/+0*(\d+)[.]', ['chunk', 'row', 'frame']) AS x FROM shared_frames),
+ r AS (SELECT DISTINCT train_id, game || '/' || x['chunk'] || '/' || x['row'] AS rec FROM f WHERE game IS NOT NULL AND x['chunk'] <> '' AND x NOT IN (SELECT x FROM s))"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": f"WITH RECURSIVE {FRAMES}, e AS (SELECT DISTINCT a.train_id AS a, b.train_id AS b FROM r a JOIN r b USING (rec)), c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a) "
+        "SELECT min(b) AS group_id, a AS train_id FROM c GROUP BY a HAVING count(*) > 1",
+    }

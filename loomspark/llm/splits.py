@@ -46,7 +46,7 @@ def tie_rows(rows: DataFrame) -> DataFrame:
     of rows is one node; rows are counted per recording by partial aggregates and get their group by `hot_join`.
     """
     rows = cut(rows.select("id", "label", F.array_sort("recs").alias("recs")))
-    edges = rows.where(F.size("recs") > 1).select(F.col("recs")[0].alias("a"), F.explode(F.slice("recs", 2, 2**31 - 1)).alias("b"))
+    edges = rows.where(F.size("recs") > 1).select(F.col("recs")[0].alias("a"), F.explode(F.slice("recs", F.lit(2), F.size("recs"))).alias("b"))
     labels = connected_components(edges)
     tied = rows.where(F.size("recs") > 0).select("id", "label", F.col("recs")[0].alias("rec"))
     per_rec = tied.groupBy("rec").agg(F.count("*").alias("n"), F.min("id").alias("low"))
