@@ -16,9 +16,9 @@ def basename(path: Column) -> Column:
 
 
 def absolute(path: Column, base: str | Column) -> Column:
-    """The path under a base, unless it is absolute; `.` parts and doubled slashes go, `..` stay for `normal`."""
+    """The path under a base, unless it is absolute; `.` parts and doubled slashes go, `..` stay for `normal`. Null for null."""
     base = F.lit(base) if isinstance(base, str) else base
-    joined = F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", F.regexp_replace(base, r"/+$", ""), path))
+    joined = F.when(path.startswith("/"), path).otherwise(F.concat(F.regexp_replace(base, r"/+$", ""), F.lit("/"), path))
     return F.regexp_replace(F.regexp_replace(joined, r"/(?:\./)+", "/"), r"/{2,}", "/")
 
 
@@ -34,7 +34,7 @@ def normal(paths: Iterator[pd.Series]) -> Iterator[pd.Series]:
 def relative(path: Column, base: str) -> Column:
     """The path without the base it lies under; other paths as they are."""
     prefix = base.rstrip("/") + "/"
-    return F.when(path.startswith(prefix), F.substr(path, F.lit(len(prefix) + 1))).otherwise(path)
+    return F.when(path.startswith(prefix), F.regexp_replace(F.substr(path, F.lit(len(prefix) + 1)), "^/+", "")).otherwise(path)
 
 
 def channel_of_source(channel: Column, dataset: Column, joined: list[str], name: str) -> Column:
