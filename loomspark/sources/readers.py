@@ -10,28 +10,48 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
+from loomspark.operators.graph import small_broadcast
 from loomspark.session import cut
 
 
+def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """`df` in an order over ranges, with `__place`, each row's place in it from 0.
+
+    Rows are sorted by ranges and written to the checkpoint folder; only the number of rows of each range goes to the
+    driver. Places within a range come from the rows' ids in their partition, so nothing is shuffled a second time.
+    """
+    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__id", F.monotonically_increasing_id())
+    part = F.shiftright("__id", 33)
+    counts = sorted((r["p"], r["n"]) for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    starts, total = [], 0
+    for p, n in counts:
+        starts.append((p, total))
+        total += n
+    start = df.sparkSession.createDataFrame(starts, "__part bigint, __start bigint").coalesce(1)
+    local = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(start), part == F.col("__part"), "left").withColumn("__place", local + F.col("__start")).drop("__id", "__part", "__start")
+
+
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
-    """`df` with the place of each row in an order, from 0.
+    """`df` with the place of each row in an order, from 0; no task holds all rows.
+
+    Equal rows in `order` are placed in any order among themselves; give an order without ties for a fixed result. No
+    rows give no rows.
+    """
+    return _placed(df, list(order)).withColumnRenamed("__place", name)
+
+
+def with_group_index(df: DataFrame, groups: list[str], order: list[str | Column], name: str = "row_index") -> DataFrame:
+    """`df` with the place of each row in its group, from 0.
 
-    Rows are sorted by ranges; only the number of rows of each range goes to the driver, so no task holds all rows. Equal
-    rows in `order` are placed in any order among themselves; give an order without ties for a fixed result.
+    A group may hold any part of the rows: ranges are cut by group and order, so a large one is spread over many tasks,
+    and a row's place is its place among all rows less that of its group's first. Null groups are a group.
     """
-    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
-    counts = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    offsets, total = [], 0
-    for part in sorted(counts):
-        offsets.append((part, total))
-        total += counts[part]
-    if not offsets:
-        return ranged.drop("_part").withColumn(name, F.lit(0).cast("bigint"))
-    start = df.sparkSession.createDataFrame(offsets, "_part int, _start bigint").coalesce(1)
-    place = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
-    return ranged.withColumn("_place", place).join(F.broadcast(start), "_part").withColumn(name, F.col("_place") + F.col("_start")).drop("_part", "_place", "_start")
+    placed = _placed(df, [*groups, *order])
+    first = placed.groupBy(*groups).agg(F.min("__place").alias("__first")).toDF(*[f"__group{i}" for i in range(len(groups))], "__first")
+    same = [placed[g].eqNullSafe(F.col(f"__group{i}")) for i, g in enumerate(groups)]
+    return placed.join(small_broadcast(first), same).withColumn(name, F.col("__place") - F.col("__first")).drop("__place", "__first", *[f"__group{i}" for i in range(len(groups))])
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomspark.functions import actions as A
-from loomspark.functions import chat, images, logs
+from loomspark.functions import chat, images, logs, tokens
 from loomspark.operators import reports
 from loomspark.session import table
 from loomspark.workloads import query
@@ -262,3 +262,16 @@ def k09_metric_push(spark: SparkSession, d: str) -> DataFrame:
 def c07_segments(spark: SparkSession, d: str) -> DataFrame:
     e = _eval(spark, d).where(A.well_formed(F.col("pred")))
     return e.select("traj", "turn", F.size(A.keys(F.col("pred"))).cast("bigint").alias("segments"))
+
+
+CELLS = "greatest(1, round_even({0} / 32.0, 0))"
+
+
+@query(f"SELECT channel, CAST({CELLS.format('frame_width')} * {CELLS.format('frame_height')} AS BIGINT) AS tokens FROM channels")
+def c14_visual_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "channels").select("channel", images.image_tokens(F.col("frame_width"), F.col("frame_height")).alias("tokens"))
+
+
+@query(r"SELECT doc_id, CASE WHEN regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')) END AS tokens FROM documents")
+def c16_word_proxy(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", tokens.word_count(F.col("text")).alias("tokens"))

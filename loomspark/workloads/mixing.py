@@ -12,6 +12,7 @@ from loomspark.operators import packing, resume
 from loomspark.operators.reports import violations
 from loomspark.plans import mixture as M
 from loomspark.session import small_rows, table
+from loomspark.sources.readers import with_group_index, with_row_index
 from loomspark.workloads import query
 from loomspark.workloads.etl import ORDERED, SEED
 
@@ -26,7 +27,7 @@ PLAN = f"""{SOURCES}, p AS (SELECT *, CAST(CASE ord % 4 WHEN 0 THEN 3.0 WHEN 1 T
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents as rows (dataset, row_index) of their source."""
     docs = table(spark, d, "documents").where("source IS NOT NULL").select(F.col("source").alias("dataset"), "doc_id", "n_chars")
-    return docs.withColumn("row_index", (F.row_number().over(W.partitionBy("dataset").orderBy("doc_id")) - 1).cast("bigint"))
+    return with_group_index(docs, ["dataset"], ["doc_id"])
 
 
 def _plan(spark: SparkSession, d: str) -> M.Plan:
@@ -153,8 +154,6 @@ IDX = "i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index
 
 
 def _indexed(spark: SparkSession, d: str) -> DataFrame:
-    from loomspark.sources.readers import with_row_index
-
     return with_row_index(table(spark, d, "documents").select("doc_id"), "doc_id")
 
 
@@ -178,8 +177,6 @@ def m15_modulo(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT val_id, (row_number() OVER (ORDER BY val_id) - 1) % 8 AS shard FROM val")
 def m16_eval_shards(spark: SparkSession, d: str) -> DataFrame:
-    from loomspark.sources.readers import with_row_index
-
     return with_row_index(table(spark, d, "val").select("val_id"), "val_id").select("val_id", (F.col("row_index") % 8).alias("shard"))
 
 
@@ -306,7 +303,7 @@ LOCK = "k AS (SELECT doc_id, doc_id % 3 AS rank, row_number() OVER (PARTITION BY
 @query(f"WITH {LOCK} SELECT rank, ordinal // 4 AS step, count(*) AS packs FROM k, s WHERE ordinal < steps * 4 GROUP BY ALL")
 def pk08_lock_step(spark: SparkSession, d: str) -> DataFrame:
     k = table(spark, d, "documents").where("doc_id % 10 < 8").select((F.col("doc_id") % 3).alias("rank"), "doc_id")
-    k = k.withColumn("ordinal", (F.row_number().over(W.partitionBy("rank").orderBy("doc_id")) - 1).cast("bigint"))
+    k = with_group_index(k, ["rank"], ["doc_id"], "ordinal")
     return packing.lock_step(k, "rank", "ordinal", 4).groupBy("rank", "step").agg(F.count("*").alias("packs"))
 
 
@@ -337,7 +334,7 @@ def x08_consumed(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {LOCK} SELECT rank, count(*) AS rolled_back FROM k, s WHERE ordinal >= steps * 4 GROUP BY rank")
 def x11_rolled_back(spark: SparkSession, d: str) -> DataFrame:
     k = table(spark, d, "documents").where("doc_id % 10 < 8").select((F.col("doc_id") % 3).alias("rank"), "doc_id")
-    k = k.withColumn("ordinal", (F.row_number().over(W.partitionBy("rank").orderBy("doc_id")) - 1).cast("bigint"))
+    k = with_group_index(k, ["rank"], ["doc_id"], "ordinal")
     used = packing.lock_step(k, "rank", "ordinal", 4).select("rank", "ordinal")
     return k.join(used, ["rank", "ordinal"], "left_anti").groupBy("rank").agg(F.count("*").alias("rolled_back"))
 
