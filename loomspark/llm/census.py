@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomspark.functions.images import image_size
+from loomspark.functions.images import image_size, image_tokens_np
 from loomspark.functions.names import literal_map, name_key
 from loomspark.llm import textvec as tv
 from loomspark.llm.bpe import DEFAULT_TOKENIZER
 from loomspark.llm.maxmatch import matcher
-from loomspark.llm.tokens import image_tokens_np
 from loomspark.llm.words import HAN, plain, word_classes, word_hashes
 from loomspark.session import cut, small_rows
 

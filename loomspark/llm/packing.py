@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.functions.images import image_tokens
 from loomspark.functions.names import channel_keys, known_game, literal_map
 from loomspark.llm.bpe import DEFAULT_TOKENIZER
-from loomspark.llm.tokens import bpe_counter, image_tokens, with_tokens
+from loomspark.llm.tokens import bpe_counter, with_tokens
 from loomspark.session import cut, small_rows
 
 PACKS = "pack_name string, pack_id bigint, id bigint, piece int, start bigint, length bigint, open boolean"

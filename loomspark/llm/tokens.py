@@ -1,4 +1,4 @@
-"""Token counts of a column of texts or lists of texts, and of images by their size."""
+"""Token counts of a column of texts or lists of texts."""
 
 from __future__ import annotations
 
@@ -7,19 +7,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomspark.llm.bpe import DEFAULT_TOKENIZER, tokenizer
 
-#: The patch edge, patches merged along an edge, and the pixel bounds of the vision encoder's resizing rule.
-PATCH, MERGE, MIN_PIXELS, MAX_PIXELS = 16, 2, 4 * 28 * 28, 16384 * 28 * 28
-
-
-def text_of(value: pa.Scalar | str | None) -> str:
-    return value or ""
-
-
 def count_column(texts: pa.Array, count: Callable[[list[str]], np.ndarray]) -> np.ndarray:
     """Tokens of each row of a string column or a list<string> column; 0 for nulls."""
     if pa.types.is_list(texts.type):
@@ -55,28 +46,3 @@ def with_tokens(df: DataFrame, keep: list[Column], text: Column, counter: Callab
 
 def bpe_counter(path: str = DEFAULT_TOKENIZER) -> Callable[[], Callable[[list[str]], np.ndarray]]:
     return lambda: tokenizer(path).count
-
-
-def image_tokens(width: Column, height: Column) -> Column:
-    """Tokens of an image: both edges rounded (half to even) to whole cells, scaled where the area is out of bounds; null for unknown or non-positive sizes."""
-    cell = PATCH * MERGE
-    w, h = width.cast("double"), height.cast("double")
-    area = F.greatest(F.lit(1.0), F.rint(w / cell)) * F.greatest(F.lit(1.0), F.rint(h / cell)) * cell * cell
-    shrink, grow = F.sqrt(w * h / MAX_PIXELS), F.sqrt(F.lit(float(MIN_PIXELS)) / (w * h))
-    cells = (
-        F.when(area > MAX_PIXELS, F.greatest(F.lit(1.0), F.floor(w / shrink / cell)) * F.greatest(F.lit(1.0), F.floor(h / shrink / cell)))
-        .when(area < MIN_PIXELS, F.ceil(w * grow / cell) * F.ceil(h * grow / cell))
-        .otherwise(area / (cell * cell))
-    )
-    return F.when((w > 0) & (h > 0), cells.cast("bigint"))
-
-
-def image_tokens_np(width: np.ndarray, height: np.ndarray) -> np.ndarray:
-    """The same for arrays of positive sizes."""
-    cell = PATCH * MERGE
-    w, h = width.astype(float), height.astype(float)
-    area = np.maximum(1, np.rint(w / cell)) * np.maximum(1, np.rint(h / cell)) * cell * cell
-    shrink, grow = np.sqrt(w * h / MAX_PIXELS), np.sqrt(MIN_PIXELS / (w * h))
-    small = np.ceil(w * grow / cell) * np.ceil(h * grow / cell)
-    large = np.maximum(1, np.floor(w / shrink / cell)) * np.maximum(1, np.floor(h / shrink / cell))
-    return np.where(area > MAX_PIXELS, large, np.where(area < MIN_PIXELS, small, area / cell / cell)).astype(np.int64)

@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomspark.functions.images import image_tokens, image_tokens_np
 from loomspark.llm import textvec as tv
 from loomspark.llm.bpe import DEFAULT_TOKENIZER, byte_chars, tokenizer
 from loomspark.llm.encode import encode_texts
 from loomspark.llm.maxmatch import MaxMatch, matcher
-from loomspark.llm.tokens import bpe_counter, image_tokens, image_tokens_np, with_tokens
+from loomspark.llm.tokens import bpe_counter, with_tokens
 
 pytestmark = pytest.mark.skipif(not os.path.exists(DEFAULT_TOKENIZER), reason="no tokenizer files here")
 
