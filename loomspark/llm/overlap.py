@@ -27,6 +27,8 @@ SHORT, FEW, MORE, MANY = 40, 20, 40, 90
 #: A pair of texts with many rare words shares one seed more for so many of them; about ten times as many are to be expected.
 PER_SEED = 120
 CLIP = (1 << 20) - 1
+#: Seeds in more than HOT texts of the evaluation table are hot, the MOST_HOT most frequent at most; a text whose other seeds are COOL of all doesn't look by them.
+HOT, MOST_HOT, COOL = 64, 1 << 18, 0.8
 #: Buckets of a text's sketch, in which its words are counted up to 255.
 SKETCH = 32
 DOC = "id bigint, h bigint, n int, sketch binary"
@@ -34,9 +36,9 @@ SEED = "h bigint, seed bigint, meta bigint"
 
 
 def spoken(messages: Column) -> Column:
-    """The contents of all turns but the system's, as one text; empty for null messages."""
+    """The contents of all turns but the system's, as one text without the marks of images; empty for null messages."""
     turns = F.filter(messages, lambda m: m.isNotNull() & ~F.coalesce(F.lower(F.trim(m["role"])) == "system", F.lit(False)))
-    return F.coalesce(F.concat_ws(" ", F.transform(turns, lambda m: m["content"])), F.lit(""))
+    return F.replace(F.coalesce(F.concat_ws(" ", F.transform(turns, lambda m: m["content"])), F.lit("")), F.lit("<image>"), F.lit(" "))
 
 
 def rolling(h: np.ndarray, k: int) -> np.ndarray:
@@ -110,7 +112,27 @@ def seeds_of(h: np.ndarray, off: np.ndarray, frequent: np.ndarray, skip: np.ndar
         meta = tier << 60 | np.minimum(n[doc], CLIP) << 40 | np.minimum(size[doc], CLIP) << 20 | np.minimum(place, CLIP)
         parts.append((doc, g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64)), meta))
     doc, seed, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return doc, seed, meta
+    # A seed that a text has several times is one seed at no certain place.
+    with np.errstate(over="ignore"):
+        _, first, times = np.unique(seed + doc.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03), return_index=True, return_counts=True)
+    meta[first[times > 1]] |= CLIP
+    return doc[first], seed[first], meta[first]
+
+
+def without_hot(doc: np.ndarray, seed: np.ndarray, meta: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which seeds to look by: a text leaves out its hot ones where the others are enough.
+
+    Enough is, where every run is a seed, so many that d edits can't break them all; else COOL of the text's seeds and 8 at
+    least. A text that lives on hot seeds, as one of very many near copies does, keeps them.
+    """
+    is_hot = hot[np.minimum(np.searchsorted(hot, seed), max(0, len(hot) - 1))] == seed if len(hot) else np.zeros(len(seed), bool)
+    if not is_hot.any():
+        return ~is_hot
+    _, first, back = np.unique(doc * 8 + (meta >> 60), return_index=True, return_inverse=True)
+    whole, cool = np.bincount(back), np.bincount(back, ~is_hot)
+    tier, d = meta[first] >> 60, (meta[first] >> 40 & CLIP) // (ONE_IN - 1)
+    need = np.where(tier == 1, 5 * d + 1, np.where(tier == 2, 8 * d + 1, np.maximum(8, np.ceil(COOL * whole))))
+    return ~(is_hot & (cool >= need)[back])
 
 
 def text_hash(h: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -164,8 +186,16 @@ def documents(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, DOC)
 
 
-def seeds(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again."""
+def hot_seeds(found: DataFrame) -> np.ndarray:
+    """Sorted seeds (columns of SEED) that occur more than HOT times and more than 1 / MOST_HOT of all: at most MOST_HOT."""
+    counts = cut(found.groupBy("seed").agg(F.count("*").alias("c")))
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    rows = counts.where(F.col("c") > max(HOT, total // MOST_HOT)).select("seed").take(MOST_HOT + 1)
+    return np.sort(np.array([r.seed for r in rows], np.int64).view(np.uint64))
+
+
+def seeds(rows: DataFrame, frequent: np.ndarray, hot: np.ndarray | None = None) -> DataFrame:
+    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again. With `hot` seeds, see `without_hot`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -180,6 +210,9 @@ def seeds(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if len(seen) > 1 << 20:
                     seen.clear()
                 doc, seed, meta = seeds_of(h, off, frequent, skip)
+                if hot is not None:
+                    use = without_hot(doc, seed, meta, hot)
+                    doc, seed, meta = doc[use], seed[use], meta[use]
                 yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)[doc]), pa.array(seed.view(np.int64)), pa.array(meta)], names=["h", "seed", "meta"])
 
     return rows.mapInArrow(run, SEED)
@@ -194,8 +227,8 @@ def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
     part = lambda m, k: F.shiftrightunsigned(F.col(m), 20 * k).bitwiseAND(F.lit(CLIP))
     longer, shorter = F.greatest(part("mt", 2), part("mv", 2)), F.least(part("mt", 2), part("mv", 2))
     most, before, apart = F.floor(longer / ONE_IN), part("mt", 0) - part("mv", 0), part("mt", 1) - part("mv", 1)
-    clipped = F.greatest(part("mt", 1), part("mv", 1)) >= CLIP
-    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (F.abs(before) <= most) & (clipped | (F.abs(before) + F.abs(apart - before) <= most))
+    anywhere, clipped = F.greatest(part("mt", 0), part("mv", 0)) >= CLIP, F.greatest(part("mt", 1), part("mv", 1)) >= CLIP
+    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (anywhere | (F.abs(before) <= most) & (clipped | (F.abs(before) + F.abs(apart - before) <= most)))
     need = F.when(F.shiftright("mt", 60) < 4, 1).otherwise(1 + F.floor(F.least(part("mt", 1), part("mv", 1)) / PER_SEED))
     hits = train.toDF("ht", "seed", "mt").join(val.toDF("hv", "seed", "mv"), "seed").where(fit).select("ht", "hv", need.alias("need"))
     return hits.groupBy("ht", "hv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("ht", "hv")
@@ -304,7 +337,8 @@ def same_text(train: DataFrame, val: DataFrame) -> tuple[DataFrame, DataFrame, D
     """
     frequent = frequent_words(val.select("text"))
     t, v = cut(documents(train)), cut(documents(val))
-    pairs = cut(plausible(candidates(seeds(train, frequent), seeds(val, frequent)), t, v))
+    hot = hot_seeds(seeds(val, frequent))
+    pairs = cut(plausible(candidates(seeds(train, frequent), seeds(val, frequent, hot)), t, v))
 
     def words(rows: DataFrame, docs: DataFrame, h: str) -> DataFrame:
         """(h, words) of one row for each text in pairs."""

@@ -108,6 +108,26 @@ def test_pairs_equal_brute_force(spark):
     assert overlap.overlaps(t, v.where("false"), channels, shared).collect() == []
 
 
+def test_families_of_near_copies_and_shared_passages(spark):
+    """One text of which a third of the rows are near copies, and one passage that another third shares."""
+    rng = random.Random(5)
+    rich = lambda n: [w if w in COMMON else w + str(rng.randrange(90)) for w in text(rng, n)]
+    base, passage = rich(260), rich(40)
+    make = lambda k: change(rng, base, rng.randrange(2, 14)) if k == 0 else (rich(120) + passage + rich(120)) if k == 1 else rich(150)
+    val = [(10**6 + i, " ".join(make(min(2, i % 9)))) for i in range(1080)]
+    train = [(i, " ".join(make(i % 3))) for i in range(60)]
+    df = lambda part: spark.createDataFrame(part, "id bigint, text string")
+    frequent = overlap.frequent_words(df(val).select("text"))
+    hot = overlap.hot_seeds(overlap.seeds(df(val), frequent))
+    assert len(hot) > 5 and overlap.seeds(df(val), frequent, hot).count() < overlap.seeds(df(val), frequent).count()
+    links, t, v = overlap.same_text(df(train), df(val))
+    ht, hv = {r.h: r.id for r in t.collect()}, {r.h: r.id for r in v.collect()}
+    got = {(ht[r.ht], hv[r.hv]) for r in links.collect()}
+    words = {i: word_hashes([w])[0].tolist() for i, w in train + val}
+    want = {(a, b) for a, _ in train for b, _ in val if words[a] != words[b] and abs(len(words[a]) - len(words[b])) * 10 <= 300 and plain_or_equal(words[a], words[b])}
+    assert len(want) > 500 and got <= want and len(got) >= 0.99 * len(want), (len(got), len(want))
+
+
 def plain_or_equal(x, y):
     return overlap.edits(x, y) * 10 <= max(len(x), len(y))
 
