@@ -104,10 +104,9 @@ def offsets(packs: DataFrame, pack: list[str], order: str, length: str) -> DataF
 
 def lock_step(packs: DataFrame, rank: str, ordinal: str, accumulate: int) -> DataFrame:
     """The packs that readers in lock-step use: whole groups of `accumulate`, as many as the shortest reader has."""
-    per = packs.groupBy(rank).agg(F.count("*").alias("n"))
-    steps = per.agg((F.expr(f"min(n) div {int(accumulate)}")).alias("steps"))
-    used = packs.join(F.broadcast(steps))
-    return used.where(F.col(ordinal) < F.col("steps") * accumulate).withColumn("step", F.expr(f"{ordinal} div {int(accumulate)}"))
+    shortest = packs.groupBy(rank).agg(F.count("*").alias("n")).agg(F.min("n")).first()[0] or 0
+    used = packs.where(F.col(ordinal) < shortest // accumulate * accumulate)
+    return used.withColumn("step", F.expr(f"{ordinal} div {int(accumulate)}"))
 
 
 def batch_shape(world: int, tensor: int, pipeline: int, micro: int, global_batch: int) -> tuple[int, int]:

@@ -297,13 +297,13 @@ def w06_shard_offsets(spark: SparkSession, d: str) -> DataFrame:
     "SELECT shard, rank, greatest(start, a) - start AS skip, least(start + n, b) - greatest(start, a) AS take FROM c JOIN r ON start < b AND a < start + n"
 )
 def j06_rank_overlap(spark: SparkSession, d: str) -> DataFrame:
-    from loomspark.plans.mixture import contiguous_shards
-
     c = _shards(spark, d)
-    total = c.agg(F.sum("n")).first()[0] or 0
-    r = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(contiguous_shards(total, 3))], "rank bigint, a bigint, b bigint").coalesce(1)
-    j = c.join(F.broadcast(r), (F.col("start") < F.col("b")) & (F.col("a") < F.col("start") + F.col("n")))
-    return j.select("shard", "rank", (F.greatest("start", "a") - F.col("start")).alias("skip"), (F.least(F.col("start") + F.col("n"), F.col("b")) - F.greatest("start", "a")).alias("take"))
+    total = c.agg(F.sum("n")).first()[0] or 1
+    # The rank of a row is floor arithmetic, so the ranks of a shard are those from its first row's to its last row's.
+    rank = lambda at: F.expr(f"(({at} + 1) * 3 - 1) div {total}")
+    j = c.where("n > 0").withColumn("rank", F.explode(F.sequence(rank("start"), rank("start + n - 1"))))
+    a, b = F.expr(f"{total} * rank div 3"), F.expr(f"{total} * (rank + 1) div 3")
+    return j.select("shard", "rank", (F.greatest("start", a) - F.col("start")).alias("skip"), (F.least(F.col("start") + F.col("n"), b) - F.greatest("start", a)).alias("take"))
 
 
 @query(f"WITH {SHARDS}, t AS (SELECT sum(n) AS total FROM s), q AS (SELECT i AS pos, CAST(i * 997 % total AS BIGINT) AS idx FROM range(100) x(i), t) SELECT pos, idx, shard FROM q JOIN c ON idx >= start AND idx < start + n")

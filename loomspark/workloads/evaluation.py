@@ -176,6 +176,13 @@ def a12_running_tokens(spark: SparkSession, d: str) -> DataFrame:
     return _counters(spark, d).select("run_id", "step", "channel", F.sum("tokens").over(w).alias("running"))
 
 
+@query(f"WITH {COUNTERS}, i AS (SELECT run_id, step, CAST(sum(tokens) AS BIGINT) AS interval_total FROM g GROUP BY ALL) SELECT run_id, step, interval_total, CAST(sum(interval_total) OVER (PARTITION BY run_id ORDER BY step NULLS FIRST) AS BIGINT) AS total FROM i")
+def a12_interval_totals(spark: SparkSession, d: str) -> DataFrame:
+    i = _counters(spark, d).groupBy("run_id", "step").agg(F.sum("tokens").alias("interval_total"))
+    w = W.partitionBy("run_id").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
+    return i.withColumn("total", F.sum("interval_total").over(w))
+
+
 @query(f"WITH {COUNTERS} SELECT channel, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens FROM g GROUP BY channel")
 def a13_two_phase_sum(spark: SparkSession, d: str) -> DataFrame:
     return _counters(spark, d).groupBy("channel").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"))
