@@ -69,17 +69,17 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, fill:
     size = counted.agg(F.sum("tokens")).first()[0] or 0
     have = counted.join(F.broadcast(wanted), "source", "left_semi").groupBy("source").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
     found = small_rows(wanted.join(have, "source", "left"))
-    got = draw_rates({r.source: (r.weight, r.max_passes, r.tokens or 0) for r in found}, size, fill)
-    rates = [(r.source, r.weight, r.max_passes, r.documents or 0, r.tokens or 0, got[r.source]) for r in found]
+    often = draw_rates({r.source: (r.weight, r.max_passes, r.tokens or 0) for r in found}, size, fill)
+    rates = [(r.source, r.weight, r.max_passes, r.documents or 0, r.tokens or 0, often[r.source]) for r in found]
     rate = spark.createDataFrame(rates, "source string, weight double, max_passes double, documents bigint, source_tokens bigint, rate double").coalesce(1)
     drawn = counted.join(F.broadcast(rate.select("source", "rate")), "source").select(
         "doc_id", "source", "tokens", (F.floor("rate") + (uniform(seed, F.col("source"), F.col("doc_id")) < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies")
     )
     rows = drawn.where("copies > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(1), "copies")).alias("pass"), "tokens")
-    got = drawn.groupBy("source").agg(F.sum("copies").alias("drawn_documents"), F.sum(F.col("copies") * F.col("tokens")).alias("drawn_tokens"))
-    all_drawn = got.agg(F.sum("drawn_tokens").alias("all_drawn")).coalesce(1)
+    got = cut(drawn.groupBy("source").agg(F.sum("copies").alias("drawn_documents"), F.sum(F.col("copies") * F.col("tokens")).alias("drawn_tokens")))
+    all_drawn = got.agg(F.sum("drawn_tokens")).first()[0]
     shares = (
-        rate.join(F.broadcast(got), "source", "left").join(F.broadcast(all_drawn))
+        rate.join(F.broadcast(got), "source", "left")
         .select(
             "source", "weight", "max_passes", "documents", "source_tokens", "rate",
             (F.col("rate") >= F.col("max_passes")).alias("capped"),
@@ -87,7 +87,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, fill:
             F.coalesce("drawn_documents", F.lit(0)).alias("drawn_documents"),
             F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"),
             (F.coalesce("drawn_tokens", F.lit(0)) / F.nullif(F.lit(size), F.lit(0))).alias("share_of_wanted"),
-            (F.coalesce("drawn_tokens", F.lit(0)) / F.nullif(F.col("all_drawn"), F.lit(0))).alias("share_of_drawn"),
+            (F.coalesce("drawn_tokens", F.lit(0)) / F.nullif(F.lit(all_drawn), F.lit(0))).alias("share_of_drawn"),
         )
     )
     return Mixture(rows, shares)

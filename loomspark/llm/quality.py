@@ -25,6 +25,11 @@ SHORT_WORDS, SHORT_HAN, ITEM_WORDS, ITEM_HAN, APART_WORDS, LONG_WORD = 9, 25, 3.
 REPEATED_RUN, REPEATED_SHARE, DISTINCT_SHARE = 12, 0.5, 0.3
 NOT_PROSE_SHARE = 0.5
 
+#: Fixed thresholds of the published rules for whole texts (Rae et al. 2021, appendix A1): words, mean word length, hashes and
+#: ellipses a word, lines that begin with a bullet or end in an ellipsis, words with a letter, and function words.
+WORD_COUNT, WORD_LENGTH, SIGNS_PER_WORD, BULLET_LINES, ELLIPSIS_LINES, ALPHABETIC_WORDS, STOP_WORDS = (50, 100_000), (3, 10), 0.1, 0.9, 0.3, 0.8, 2
+RULES = ["too_few_words", "too_many_words", "word_length", "signs_per_word", "bullet_lines", "ellipsis_lines", "alphabetic_words", "stop_words"]
+
 REASONS = ["list", "table", "symbols", "actions", "words", "garbled", "repetition", "empty"]
 LIST, TABLE, SYMBOLS, ACTIONS, WORDS, GARBLED, REPETITION, EMPTY = range(len(REASONS))
 
@@ -177,6 +182,15 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     bullet = np.zeros(units, bool)
     bullet[full] = np.isin(codes[first_solid[full]], [ord(c) for c in BULLETS])
 
+    dots = np.isin(codes, [ord("…"), ord("#")])
+    three = np.zeros(n, bool)
+    if n > 2:
+        dot = codes == ord(".")
+        three[2:] = dot[:-2] & dot[1:-1] & dot[2:]
+        three[3:] &= ~dot[:-3]
+    trails = np.zeros(units, bool)
+    trails[full] = (codes[last_solid[full]] == ord("…")) | ((codes[last_solid[full]] == ord(".")) & (np.where(last_solid[full] > 1, codes[last_solid[full] - 1] == ord("."), False)))
+
     # The rules; the first that holds gives a line's reason.
     reason = np.full(units, -1)
     safe = np.maximum(size, 1)
@@ -217,7 +231,8 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     reason[solid_units[s & long_run]] = LIST
     stats = {
         "words": _sum(doc, words + han, d), "letters": _sum(doc, letters + han, d), "signs": _sum(doc, signs + odd, d), "common": _sum(doc, common_words + common_han, d),
-        "lines": _sum(doc[size > 0], None, d), "closed": _sum(doc[closes], None, d), "bullets": _sum(doc[bullet], None, d), "size": _sum(doc, size, d),
+        "lines": _sum(doc[size > 0], None, d), "closed": _sum(doc[closes], None, d), "bullets": _sum(doc[bullet], None, d), "size": _sum(doc, size, d), "trails": _sum(doc[trails], None, d),
+        "numbers": _sum(doc_of[word_at[~has_letter]], None, d), "spaced": _sum(doc, words, d), "spaced_letters": _sum(doc, letters, d), "dots": _sum(doc_of[dots | three], None, d),
     }
     # Sequences of words and Han signs, for what repeats.
     tokens = np.concatenate([hashes, codes[kind == HAN].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)])
@@ -270,11 +285,23 @@ def _results(texts, off, doc_of, stats, doc, size, reason, tokens=None, token_do
     return {
         "n_words": get("words").astype(np.int64), "mean_word_length": ratio(get("letters"), get("words")), "symbol_ratio": ratio(get("signs"), total),
         "closed_line_share": ratio(get("closed"), get("lines")), "bullet_line_share": ratio(get("bullets"), get("lines")), "common_word_share": ratio(get("common"), get("words")),
-        "not_prose_share": ratio(bad, total), "verdict": verdict,
+        "not_prose_share": ratio(bad, total), "verdict": verdict, "failures": _failures(get, total),
     }
 
 
-STATS = "n_words bigint, mean_word_length double, symbol_ratio double, closed_line_share double, bullet_line_share double, common_word_share double, not_prose_share double, reason string"
+def _failures(get, total: np.ndarray) -> np.ndarray:  # noqa: ANN001
+    """Which of RULES each text breaks, as bits; texts of Han signs are let off the rule on word length, texts without signs break none."""
+    words, lines = get("words"), np.maximum(get("lines"), 1)
+    some = np.maximum(words, 1)
+    length = get("spaced_letters") / np.maximum(get("spaced"), 1)
+    broken = [
+        words < WORD_COUNT[0], words > WORD_COUNT[1], (get("spaced") * 2 > words) & ((length < WORD_LENGTH[0]) | (length > WORD_LENGTH[1])), get("dots") > SIGNS_PER_WORD * some,
+        get("bullets") > BULLET_LINES * lines, get("trails") > ELLIPSIS_LINES * lines, words < ALPHABETIC_WORDS * (words + get("numbers")), get("common") < STOP_WORDS,
+    ]
+    return np.where(total > 0, sum(b.astype(np.int64) << i for i, b in enumerate(broken)), 0)
+
+
+STATS = "n_words bigint, mean_word_length double, symbol_ratio double, closed_line_share double, bullet_line_share double, common_word_share double, not_prose_share double, reason string, failures array<string>"
 
 
 def text_quality(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,7 +311,8 @@ def text_quality(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id",
     (white space left aside) in lines that a rule finds to be no running sentences; above a half the text isn't prose and
     the reason is the rule with the most signs: list, table, symbols, actions, words (none of the usual function words, or
     random letters), garbled, repetition (the same run of words again and again). Null, empty and blank texts have the
-    reason 'empty', 0 words and null ratios. Texts are measured where they lie, many at a time; there is no shuffle.
+    reason 'empty', 0 words, null ratios and no failures. `failures` names the published rules for whole texts that a text breaks
+    (see RULES), which don't bear on the reason: they can't tell whether more than half of a text is prose. Texts are measured where they lie, many at a time; there is no shuffle.
     """
     words = [r.word for r in small_rows(common_words.select("word").distinct()) if r.word]
     rows = df.select(F.col(id_col), F.col(text_col).alias("_text"))
@@ -298,8 +326,9 @@ def text_quality(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id",
             texts = [t or "" for t in b.column(1).to_pylist()]
             for a, e in tv.groups([len(t) for t in texts], tv.PIECE):
                 m = measure(texts[a:e], common)
-                cols = [pa.array(m[k], from_pandas=True) for k in names[1:-1]]
+                cols = [pa.array(m[k], from_pandas=True) for k in names[1:-2]]
+                broken = [[r for i, r in enumerate(RULES) if f >> i & 1] for f in m["failures"].tolist()]
                 reasons = pa.array([REASONS[v] if v >= 0 else None for v in m["verdict"].tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, e - a), *cols, reasons], names=names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(a, e - a), *cols, reasons, pa.array(broken, pa.list_(pa.string()))], names=names)
 
     return rows.mapInArrow(run, schema)

@@ -91,6 +91,14 @@ def test_statistics():
     assert m["common_word_share"].tolist() == [pytest.approx(4 / 7), 0.5]
 
 
+def test_published_rules():
+    c = quality.Common([w for _, w in COMMON if w])
+    names = lambda t: [r for i, r in enumerate(quality.RULES) if int(quality.measure([t], c)["failures"][0]) >> i & 1]
+    assert names(PROSE[0] * 4) == [] and names("") == [] and names("我在北门的时候，警报就响了。" * 9) == []
+    assert names("the key of it...\nthe lamp is in a box…") == ["too_few_words", "word_length", "signs_per_word", "ellipsis_lines"]
+    assert names("- qqqqqqqqqqqqq 1 2 3\n- wwwwwwwwwwwwwww 4 5 6") == ["too_few_words", "word_length", "bullet_lines", "alphabetic_words", "stop_words"]
+
+
 def test_texts_are_measured_each_for_itself():
     c = quality.Common([w for _, w in COMMON if w])
     rng = random.Random(1)
