@@ -21,7 +21,7 @@ from loomspark.session import small_rows
 SYMBOL_SHARE, GARBLED_SHARE = 0.22, 0.05
 CLOSED_COMMON_WORDS, CLOSED_SENTENCE, FIELDS = 0.08, 40, 2
 COMMON_WORDS, COMMON_HAN, COMMON_HAN_SENTENCE = 0.17, 0.10, 0.04
-SHORT_WORDS, SHORT_HAN, ITEM_WORDS, ITEM_HAN, APART_WORDS, LONG_WORD = 9, 25, 3.5, 9, 12, 20
+SHORT_WORDS, SHORT_HAN, ITEM_WORDS, ITEM_HAN, APART_WORDS, LONG_WORD = 9, 25, 5.5, 9, 12, 20
 REPEATED_RUN, REPEATED_SHARE, DISTINCT_SHARE = 12, 0.5, 0.3
 NOT_PROSE_SHARE = 0.5
 
@@ -208,7 +208,7 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
         ((words == 0) & (han == 0), SYMBOLS),
         (~chinese & (letters > LONG_WORD * w), WORDS),
         ((ends == 0) & (items > 1) & (words + han <= (items + 1) * APART_WORDS), LIST),
-        (~chinese & (ends == 0) & (words > 5) & (seps * ITEM_WORDS >= words), LIST),
+        (~chinese & (ends == 0) & (words > 5) & (seps > 1) & (seps * ITEM_WORDS >= words), LIST),
         (chinese & (ends == 0) & (seps > 1) & (han <= seps * ITEM_HAN), LIST),
         (~chinese & (words > 5) & (common_words < np.where(ends * CLOSED_SENTENCE >= words, CLOSED_COMMON_WORDS, COMMON_WORDS) * words), WORDS),
         (chinese & (ends > 0) & (han > 5) & (common_han < COMMON_HAN_SENTENCE * han), WORDS),
