@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 #: The roles that other vocabularies name.
@@ -34,9 +35,20 @@ def has_answer(messages: Column) -> Column:
     return F.coalesce(F.exists(messages, lambda m: F.coalesce((m["role"] == "assistant") & (m["content"] != ""), F.lit(False))), F.lit(False))
 
 
+def list_size(df: DataFrame, name: str) -> Column:
+    """The length of a list column, null for a null list. Of a list of structs only one small field is read, so counting images doesn't read their bytes."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        small = [f.name for f in kind.elementType.fields if not isinstance(f.dataType, (T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+        if small:
+            inner = F.col(name)[small[0]]
+            return F.when(inner.isNotNull(), F.size(inner))
+    return F.when(F.col(name).isNotNull(), F.size(name))
+
+
 def convert(raw: DataFrame, images: str = "images", conversations: str = "conversations") -> DataFrame:
     """Rows with images and turns of which some answer isn't empty, with their `messages`."""
-    kept = raw.where((F.size(images) > 0) & (F.size(conversations) > 0))
+    kept = raw.where((list_size(raw, images) > 0) & (F.size(conversations) > 0))
     return kept.withColumn("messages", to_messages(F.col(conversations))).where(has_answer(F.col("messages")))
 
 

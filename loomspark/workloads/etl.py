@@ -30,8 +30,8 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT traj_id, dataset, CAST(len(images) AS INTEGER) AS n_images, CAST(len(conversations) AS INTEGER) AS n_turns FROM raw_trajectories")
 def s01_scan(spark: SparkSession, d: str) -> DataFrame:
-    size = lambda c: F.when(F.col(c).isNotNull(), F.size(c))
-    return _raw(spark, d).select("traj_id", "dataset", size("images").alias("n_images"), size("conversations").alias("n_turns"))
+    raw = _raw(spark, d)
+    return raw.select("traj_id", "dataset", chat.list_size(raw, "images").alias("n_images"), chat.list_size(raw, "conversations").alias("n_turns"))
 
 
 @query("SELECT shard, CAST(dense_rank() OVER (ORDER BY shard) - 1 AS INTEGER) AS chunk_id FROM (SELECT DISTINCT shard FROM raw_trajectories)")
@@ -41,8 +41,8 @@ def s02_chunk_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, CAST(sum(len(images)) AS BIGINT) AS images, CAST(sum(len(conversations)) AS BIGINT) AS turns FROM raw_trajectories")
 def s03_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
-    size = lambda c: F.sum(F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint"))
-    return _raw(spark, d).select("images", "conversations").agg(F.count("*").alias("n"), size("images").alias("images"), size("conversations").alias("turns"))
+    raw = _raw(spark, d)
+    return raw.agg(F.count("*").alias("n"), F.sum(chat.list_size(raw, "images")).alias("images"), F.sum(chat.list_size(raw, "conversations")).alias("turns"))
 
 
 @query("SELECT doc_id, row_index FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents) WHERE row_index >= 500")
@@ -91,8 +91,9 @@ def k02_image_paths(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT dataset, shard, count(*) AS n, CAST(coalesce(sum(len(images)), 0) AS BIGINT) AS images, max(exported_at) AS last FROM raw_trajectories GROUP BY dataset, shard")
 def k06_shard_stats(spark: SparkSession, d: str) -> DataFrame:
-    n = F.sum(F.when(F.col("images").isNotNull(), F.size("images")).cast("bigint"))
-    return _raw(spark, d).groupBy("dataset", "shard").agg(F.count("*").alias("n"), F.coalesce(n, F.lit(0)).alias("images"), F.max("exported_at").alias("last"))
+    raw = _raw(spark, d)
+    n = F.sum(chat.list_size(raw, "images"))
+    return raw.groupBy("dataset", "shard").agg(F.count("*").alias("n"), F.coalesce(n, F.lit(0)).alias("images"), F.max("exported_at").alias("last"))
 
 
 @query(f"SELECT traj_id, turn, {ROLE.format("t['from']")} AS role FROM ({RAW_TURNS}) WHERE {ROLE.format("t['from']")} IS NOT NULL")
@@ -111,7 +112,8 @@ def f02_field_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT traj_id FROM raw_trajectories WHERE len(images) > 0 AND len(conversations) > 0")
 def f03_has_images_and_turns(spark: SparkSession, d: str) -> DataFrame:
-    return _raw(spark, d).where((F.size("images") > 0) & (F.size("conversations") > 0)).select("traj_id")
+    raw = _raw(spark, d)
+    return raw.where((chat.list_size(raw, "images") > 0) & (chat.list_size(raw, "conversations") > 0)).select("traj_id")
 
 
 @query(f"WITH {CONVERTED} SELECT traj_id FROM kept")
@@ -339,9 +341,11 @@ def a02_with_total(spark: SparkSession, d: str) -> DataFrame:
     "CAST(coalesce(sum(u.n), 0) AS BIGINT) AS turns_skipped FROM raw_trajectories r LEFT JOIN kept k USING (traj_id) LEFT JOIN (SELECT traj_id, count(*) AS n FROM mapped WHERE role IS NULL GROUP BY traj_id) u ON u.traj_id = k.traj_id GROUP BY ROLLUP (r.shard)"
 )
 def a03_conversion_totals(spark: SparkSession, d: str) -> DataFrame:
-    ok = F.coalesce((F.size("images") > 0) & (F.size("conversations") > 0) & chat.has_answer(F.col("m")), F.lit(False))
-    t = _raw(spark, d).withColumn("m", chat.to_messages(F.col("conversations"))).select(
-        "shard", ok.alias("ok"), F.when(ok, F.size("images")).cast("bigint").alias("i"), F.when(ok, F.size("conversations") - F.size("m")).cast("bigint").alias("s")
+    raw = _raw(spark, d)
+    images, m = chat.list_size(raw, "images"), chat.to_messages(F.col("conversations"))
+    ok = F.coalesce((images > 0) & (F.size("conversations") > 0) & chat.has_answer(m), F.lit(False))
+    t = raw.select(
+        "shard", ok.alias("ok"), F.when(ok, images).cast("bigint").alias("i"), F.when(ok, F.size("conversations") - F.size(m)).cast("bigint").alias("s")
     )
     return t.rollup("shard").agg(F.count("*").alias("rows"), F.count_if("ok").alias("converted"), F.coalesce(F.sum("i"), F.lit(0)).alias("images"), F.coalesce(F.sum("s"), F.lit(0)).alias("turns_skipped"))
 
