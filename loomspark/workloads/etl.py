@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomspark.functions import chat, paths
 from loomspark.functions.hashing import order_key
 from loomspark.operators import reports, split
+from loomspark.operators.intervals import locate
 from loomspark.session import table
 from loomspark.sources.readers import catalog_rows, with_row_index
 from loomspark.sources.sinks import image_path
@@ -313,10 +314,7 @@ def j07_chunk_lookup(spark: SparkSession, d: str) -> DataFrame:
     c = _shards(spark, d)
     total = c.agg(F.sum("n")).first()[0] or 1
     q = spark.range(100).select(F.col("id").alias("pos"), (F.col("id") * 997 % total).alias("idx"))
-    # As-of: both sides in one order, the last start at or before the index.
-    both = c.select("shard", "start", F.lit(None).cast("bigint").alias("pos")).union(q.select(F.lit(None).cast("string"), F.col("idx"), F.col("pos")))
-    w = W.orderBy("start", F.col("pos").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
-    return both.withColumn("hit", F.last("shard", True).over(w)).where("pos IS NOT NULL").select("pos", F.col("start").alias("idx"), F.col("hit").alias("shard"))
+    return locate(q, "idx", c, "start", "n").select("pos", "idx", "shard")
 
 
 @query("SELECT traj_id FROM raw_trajectories r WHERE shard IS NULL OR shard NOT IN (SELECT max(shard) FROM raw_trajectories WHERE dataset IS NOT NULL GROUP BY dataset)")

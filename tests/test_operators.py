@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark.operators import packing, reports, resume, split
+from loomspark.operators.intervals import locate
 from loomspark.operators.graph import connected_components, hot_join
 
 
@@ -40,6 +41,14 @@ def test_hot_join_keeps_every_row(spark):
     assert hot_join(rows.where("false"), labels.where("false"), "k").count() == 0
 
 
+def test_locate(spark):
+    intervals = spark.createDataFrame([("a", 0, 3), ("b", 3, 1), ("c", 4, 90), ("d", 94, 0), ("e", 100, 7)], "name string, start bigint, n bigint")
+    points = spark.createDataFrame([(i,) for i in [-1, 0, 2, 3, 4, 93, 94, 99, 100, 106, 107, None]], "at bigint")
+    got = {r.at: r.name for r in locate(points, "at", intervals, "start", "n").collect()}
+    assert got == {0: "a", 2: "a", 3: "b", 4: "c", 93: "c", 100: "e", 106: "e"}
+    assert locate(points, "at", intervals.where("false"), "start", "n").collect() == []
+
+
 def test_next_fit_and_best_fit(spark):
     rows = spark.createDataFrame([("s", i, n) for i, n in enumerate([4, 5, 3, 8, 2, 6])] + [("t", 0, None), ("t", 1, 50)], "s string, i int, n int")
     got = packing.next_fit(rows, "s", "i", "n", 10)
