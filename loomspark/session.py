@@ -6,6 +6,8 @@ import atexit
 import os
 import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -26,7 +28,9 @@ def get_session(master: str = "local[*]", partitions: int = 8, **conf: str) -> S
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,10 +66,16 @@ def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list[Row]:
     return rows
 
 
-def parallelism(spark: SparkSession) -> int:
-    """The partitions of a shuffle, as the session sets them."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def repo_root() -> str:
-    return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+def ship(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, wherever they start; once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_loomspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="loomspark-ship-")) / "loomspark.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, str(Path(package.name) / file.relative_to(package)))
+    context.addPyFile(str(target))  # Spark's file server hands it to the executors
+    atexit.register(shutil.rmtree, target.parent, ignore_errors=True)
+    context._loomspark_shipped = True
