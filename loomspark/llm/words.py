@@ -12,6 +12,9 @@ GAP, WORD, HAN, DROP = 0, 1, 2, 3
 #: The ranges of Han signs.
 HAN_RANGES = [(0x3005, 0x3007), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 
+#: Letters and marks that show nothing (fillers, joiners, variation selectors).
+INVISIBLE_RANGES = [(0x034F, 0x034F), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFFA0, 0xFFA0), (0xE0100, 0xE01EF)]
+
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -24,7 +27,8 @@ def word_classes() -> np.ndarray:
             if unicodedata.category(chr(i)) in ("Cf", "Cc"):
                 t[i] = DROP
         t[[9, 10, 11, 12, 13, 28, 29, 30, 31, 133]] = GAP
-        t[0xFE00:0xFE10] = DROP  # variation selectors
+        for a, b in INVISIBLE_RANGES:
+            t[a : b + 1] = DROP
         for a, b in HAN_RANGES:
             t[a : b + 1] = HAN
         _tables["word"] = t
