@@ -10,18 +10,29 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
-from loomspark.operators.graph import small_broadcast
 from loomspark.session import cut
 
 
-def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
-    """`df` in an order over ranges, with `__place`, each row's place in it from 0.
+#: The most (range, group) pairs whose counts go to the driver; beyond it, counts are joined by a shuffle.
+COUNTED = 1 << 17
+LOCAL = (1 << 33) - 1
 
-    Rows are sorted by ranges and written to the checkpoint folder; only the number of rows of each range goes to the
-    driver. Places within a range come from the rows' ids in their partition, so nothing is shuffled a second time.
+
+def _ranged(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """`df` sorted by ranges and written to the checkpoint folder, with `__id`: the number of the range and the place in it."""
+    return cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__id", F.monotonically_increasing_id())
+
+
+def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
+    """`df` with the place of each row in an order, from 0.
+
+    Rows are sorted by ranges; only the number of rows of each range goes to the driver, so no task holds all rows. Equal
+    rows in `order` are placed in any order among themselves; give an order without ties for a fixed result. No rows give
+    no rows.
     """
-    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__id", F.monotonically_increasing_id())
+    ranged = _ranged(df, list(order))
     part = F.shiftright("__id", 33)
     counts = sorted((r["p"], r["n"]) for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
     starts, total = [], 0
@@ -29,29 +40,37 @@ def _placed(df: DataFrame, order: list[str | Column]) -> DataFrame:
         starts.append((p, total))
         total += n
     start = df.sparkSession.createDataFrame(starts, "__part bigint, __start bigint").coalesce(1)
-    local = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranged.join(F.broadcast(start), part == F.col("__part"), "left").withColumn("__place", local + F.col("__start")).drop("__id", "__part", "__start")
-
-
-def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:
-    """`df` with the place of each row in an order, from 0; no task holds all rows.
-
-    Equal rows in `order` are placed in any order among themselves; give an order without ties for a fixed result. No
-    rows give no rows.
-    """
-    return _placed(df, list(order)).withColumnRenamed("__place", name)
+    local = F.col("__id").bitwiseAND(F.lit(LOCAL))
+    return ranged.join(F.broadcast(start), part == F.col("__part"), "left").withColumn(name, local + F.col("__start")).drop("__id", "__part", "__start")
 
 
 def with_group_index(df: DataFrame, groups: list[str], order: list[str | Column], name: str = "row_index") -> DataFrame:
     """`df` with the place of each row in its group, from 0.
 
     A group may hold any part of the rows: ranges are cut by group and order, so a large one is spread over many tasks,
-    and a row's place is its place among all rows less that of its group's first. Null groups are a group.
+    and a row's place is its place in its range, less that of its group's first there, plus the group's rows in earlier
+    ranges. Counts by range and group make that offset: on the driver where there are at most COUNTED of them, else by a
+    window over the counts. Null groups are a group.
     """
-    placed = _placed(df, [*groups, *order])
-    first = placed.groupBy(*groups).agg(F.min("__place").alias("__first")).toDF(*[f"__group{i}" for i in range(len(groups))], "__first")
-    same = [placed[g].eqNullSafe(F.col(f"__group{i}")) for i, g in enumerate(groups)]
-    return placed.join(small_broadcast(first), same).withColumn(name, F.col("__place") - F.col("__first")).drop("__place", "__first", *[f"__group{i}" for i in range(len(groups))])
+    ranged = _ranged(df, [*groups, *order])
+    part, local = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit(LOCAL))
+    keys = [f"__group{i}" for i in range(len(groups))]
+    counts = ranged.groupBy(part.alias("__part"), *[F.col(g).alias(k) for g, k in zip(groups, keys, strict=True)]).agg(F.count("*").alias("n"), F.min(local).alias("first"))
+    few = counts.take(COUNTED + 1)
+    if len(few) <= COUNTED:
+        seen: dict[tuple, int] = {}
+        rows = []
+        for r in sorted(few, key=lambda r: r["__part"]):
+            group = tuple(r[k] for k in keys)
+            rows.append((r["__part"], *group, seen.get(group, 0) - r["first"]))
+            seen[group] = seen.get(group, 0) + r["n"]
+        kind = T.StructType([*counts.schema.fields[:-2], T.StructField("__shift", T.LongType())])
+        shift = F.broadcast(df.sparkSession.createDataFrame(rows, kind).coalesce(1))
+    else:
+        before = F.sum("n").over(W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+        shift = cut(counts).select("__part", *keys, (F.coalesce(before, F.lit(0)) - F.col("first")).alias("__shift"))
+    same = [part == F.col("__part"), *[ranged[g].eqNullSafe(F.col(k)) for g, k in zip(groups, keys, strict=True)]]
+    return ranged.join(shift, same).withColumn(name, local + F.col("__shift")).drop("__id", "__part", "__shift", *keys)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False) -> DataFrame:

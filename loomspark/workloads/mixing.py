@@ -112,12 +112,14 @@ def w08_rank_by_remainder(spark: SparkSession, d: str) -> DataFrame:
     "SELECT phase, slot, dataset, occurrence FROM a JOIN o USING (phase, dataset, k)"
 )
 def m07_interleaved(spark: SparkSession, d: str) -> DataFrame:
-    return M.interleave(_uses(spark, d)[1], SEED).select("phase", F.col("slot").cast("bigint").alias("slot"), "dataset", "occurrence")
+    plan, uses = _uses(spark, d)
+    return M.interleave(uses, plan).select("phase", F.col("slot").cast("bigint").alias("slot"), "dataset", "occurrence")
 
 
 @query()
 def m08_buffered(spark: SparkSession, d: str) -> DataFrame:
-    return M.buffered(M.interleave(_uses(spark, d)[1], SEED), SEED, 128).select("phase", "slot", "dataset", "occurrence")
+    plan, uses = _uses(spark, d)
+    return M.buffered(M.interleave(uses, plan), SEED, 128).select("phase", "slot", "dataset", "occurrence")
 
 
 @query(f"WITH {PLAN}, c AS (SELECT dataset, count(*) AS n, sum(count) AS total FROM quotas GROUP BY dataset) SELECT 'totals' AS \"check\", count(*) AS violations FROM plan JOIN c USING (dataset) WHERE total <> target UNION ALL SELECT 'manifest', 0")

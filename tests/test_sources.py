@@ -16,12 +16,13 @@ def test_row_index_for_any_partitioning(spark):
     assert readers.with_row_index(spark.createDataFrame([], "k int"), "k").count() == 0
 
 
-def test_group_index(spark):
+def test_group_index(spark, monkeypatch):
     data = [("a" if i % 3 else None, i % 2, i) for i in range(300)] + [("b", 0, 1000)]
     want = {}
     for g, h, i in data:
         want.setdefault((g, h), []).append(i)
-    for parts in (1, 6):
+    for parts, most in ((1, 1 << 17), (6, 1 << 17), (6, 2)):
+        monkeypatch.setattr(readers, "COUNTED", most)
         got = readers.with_group_index(spark.createDataFrame(data, "g string, h int, i int").repartition(parts), ["g", "h"], ["i"]).collect()
         assert len(got) == len(data) and all(want[(r.g, r.h)][r.row_index] == r.i for r in got)
     assert readers.with_group_index(spark.createDataFrame([], "g string, i int"), ["g"], ["i"]).count() == 0
