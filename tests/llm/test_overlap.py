@@ -138,12 +138,13 @@ def test_share_of_near_copies_found_near_the_bound(rate):
     rng = random.Random(int(rate * 1000))
     docs, n = [], 250
     for _ in range(n):
-        words = text(rng, rng.choice([60, 100, 200, 400]))
+        words = [w if w in COMMON else w + str(rng.randrange(90)) for w in text(rng, rng.choice([60, 100, 200, 400]))]
         docs += [words, change(rng, words, int(len(words) * rate))]
     h, off = word_hashes([" ".join(w) for w in docs])
     own, count = np.unique(h, return_counts=True)
     frequent = own[count * overlap.FREQUENT > len(h)]
-    doc, seed, _ = overlap.seeds_of(h, off, frequent, np.zeros(len(docs), bool))
+    doc, seed, meta = overlap.seeds_of(h, off, frequent, np.zeros(len(docs), bool))
+    assert {3, 4, 5} <= set((meta >> 60).tolist())
     by = [set(seed[doc == i].tolist()) for i in range(len(docs))]
     met = sum(bool(by[2 * i] & by[2 * i + 1]) for i in range(n))
     assert met / n >= (0.95 if rate > 0.09 else 0.99), met / n
