@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomspark.functions import chat, paths
 from loomspark.functions.hashing import order_key
 from loomspark.operators import reports, split
+from loomspark.operators.graph import small_broadcast
 from loomspark.operators.intervals import locate
 from loomspark.session import table
 from loomspark.sources.readers import catalog_rows, with_row_index
@@ -87,7 +88,7 @@ def k02_image_paths(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
     chunks = split.chunk_split(raw, "shard", 0)
     images = raw.select("traj_id", "shard", "row_index", F.posexplode("images").alias("place", "im")).where("im.bytes IS NOT NULL")
-    return images.join(F.broadcast(chunks), "shard").select("traj_id", F.col("place").cast("bigint").alias("place"), image_path(F.col("chunk_id"), F.col("row_index"), F.col("place")).alias("path"))
+    return images.join(small_broadcast(chunks), "shard").select("traj_id", F.col("place").cast("bigint").alias("place"), image_path(F.col("chunk_id"), F.col("row_index"), F.col("place")).alias("path"))
 
 
 @query("SELECT dataset, shard, count(*) AS n, CAST(coalesce(sum(len(images)), 0) AS BIGINT) AS images, max(exported_at) AS last FROM raw_trajectories GROUP BY dataset, shard")
@@ -321,7 +322,7 @@ def j07_chunk_lookup(spark: SparkSession, d: str) -> DataFrame:
 def j08_held_out(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
     out = raw.where("dataset IS NOT NULL").groupBy("dataset").agg(F.max("shard").alias("shard")).select("shard").distinct()
-    return raw.join(F.broadcast(out), "shard", "left_anti").select("traj_id")
+    return raw.join(small_broadcast(out), "shard", "left_anti").select("traj_id")
 
 
 @query("SELECT coalesce(channel, 'unknown') AS channel, count(*) AS n FROM train GROUP BY 1")
