@@ -318,11 +318,11 @@ def j07_chunk_lookup(spark: SparkSession, d: str) -> DataFrame:
     return locate(q, "idx", c, "start", "n").select("pos", "idx", "shard")
 
 
-@query("SELECT traj_id FROM raw_trajectories r WHERE shard IS NULL OR shard NOT IN (SELECT max(shard) FROM raw_trajectories WHERE dataset IS NOT NULL GROUP BY dataset)")
+@query(f"WITH h AS (SELECT shard FROM (SELECT DISTINCT shard FROM raw_trajectories WHERE shard IS NOT NULL) ORDER BY sha256('{SEED}:' || shard), shard LIMIT 8) SELECT traj_id FROM raw_trajectories WHERE shard IS NULL OR shard NOT IN (SELECT shard FROM h)")
 def j08_held_out(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
-    out = raw.where("dataset IS NOT NULL").groupBy("dataset").agg(F.max("shard").alias("shard")).select("shard").distinct()
-    return raw.join(small_broadcast(out), "shard", "left_anti").select("traj_id")
+    held = split.sample(raw.where("shard IS NOT NULL").select("shard").distinct(), "shard", SEED, 8)
+    return raw.join(small_broadcast(held), "shard", "left_anti").select("traj_id")
 
 
 @query("SELECT coalesce(channel, 'unknown') AS channel, count(*) AS n FROM train GROUP BY 1")
