@@ -19,7 +19,8 @@ from loomspark.session import small_rows
 
 #: Fixed thresholds of the rules. Shares are of a line's signs without white space, or of its words.
 SYMBOL_SHARE, GARBLED_SHARE = 0.22, 0.05
-CLOSED_COMMON_WORDS, CLOSED_SENTENCE, FIELDS = 0.08, 40, 2
+CLOSED_COMMON_WORDS, CLOSED_SENTENCE, FIELDS, ITEM_NUMBER = 0.08, 40, 2, 4
+WRAP_WIDTH, WRAP_FILL = 100, 0.7
 COMMON_WORDS, COMMON_HAN, COMMON_HAN_SENTENCE = 0.17, 0.10, 0.04
 SHORT_WORDS, SHORT_HAN, ITEM_WORDS, ITEM_HAN, APART_WORDS, LONG_WORD = 9, 25, 5.5, 9, 12, 20
 REPEATED_RUN, REPEATED_SHARE, DISTINCT_SHARE = 12, 0.5, 0.3
@@ -152,7 +153,11 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     before[1:] = kind[:-1]
     after = np.full(n, LINE, np.uint8)
     after[:-1] = kind[1:]
+    before[starts] = GAP  # neither side looks beyond its line, or its text
+    after[starts[1:] - 1] = LINE
     end = (kind == END) & ((before == LETTER) | (before == HAN) | (before == MARK) | (before == END)) & (after != LETTER) & (after != DIGIT)
+    # After a number only where it can't be the number of an item.
+    end |= (kind == END) & (before == DIGIT) & ((after == GAP) | (after == LINE)) & (np.arange(n) - starts[unit] > ITEM_NUMBER)
     end |= np.isin(codes, [ord(c) for c in HAN_ENDS])
     ends = count(end)
     tab = codes == 9
@@ -162,7 +167,12 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
         wide = blank[:-2] & blank[1:-1] & blank[2:]
         gap3[2:] = wide
         gap3[3:] &= ~wide[:-1]
-    columns = count(gap3) + 2 * count(tab)
+    gap2 = np.zeros(n, bool)
+    if n > 2:
+        gap2[2:] = blank[1:-1] & blank[:-2] & ~blank[2:]
+        gap2[3:] &= ~blank[:-3]
+    wide_gaps = count(gap3)
+    columns = wide_gaps + np.where(wide_gaps > 0, count(gap2), 0) + 2 * count(tab)
     pipes = count(codes == ord("|"))
     fields = count(codes == ord("="))
     apart = np.isin(codes, [ord(c) for c in BETWEEN])
@@ -215,6 +225,18 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
         (chinese & (ends == 0) & ~short & (common_han < COMMON_HAN * han), WORDS),
     ):
         reason[(reason < 0) & (size > 0) & hit] = why
+    # Lines of one width in which sentences end are prose that is wrapped, whatever one line looks like.
+    width = np.bincount(unit[kind != LINE], minlength=units)[:units]
+    par = np.cumsum(np.concatenate([[True], (size[1:] == 0) | (size[:-1] == 0) | (doc[1:] != doc[:-1]) | (unit_span[1:] != unit_span[:-1])])) - 1
+    pars = int(par[-1]) + 1
+    widest = np.zeros(pars)
+    np.maximum.at(widest, par, width)
+    last_of = np.concatenate([par[1:] != par[:-1], [True]])
+    narrow = _sum(par[~last_of & (width < WRAP_FILL * widest[par])], None, pars)
+    par_words, par_ends, par_lines = _sum(par, words + han, pars), _sum(par, ends, pars), _sum(par[size > 0], None, pars)
+    wrapped = (par_lines > 1) & (narrow == 0) & (widest <= WRAP_WIDTH) & (par_ends > 0) & (par_ends * CLOSED_SENTENCE >= par_words) & (unit_span[np.searchsorted(par, np.arange(pars))] == 0)
+    rescued = wrapped[par] & ((reason == WORDS) | (reason == LIST))
+    reason[rescued] = -1
     # Three short lines in a row without an end of sentence are a list, unless the text's short lines read on as sentences.
     open_ = (reason < 0) & (size > 0)
     loose = open_ & (short | tiny)
@@ -222,8 +244,8 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     loose_words = _sum(doc[loose], (words + han)[loose], d)
     reads_on = (_sum(doc[loose], ends[loose], d) * 30 >= loose_words) & (_sum(doc[loose], (common_words + common_han)[loose], d) >= 0.22 * _sum(doc[loose], words[loose], d) + COMMON_HAN * _sum(doc[loose], han[loose], d))
     solid_units = np.flatnonzero(size > 0)
-    s = (short & open_)[solid_units] & ~reads_on[doc[solid_units]]
-    item = s | (reason[solid_units] == LIST) | (reason[solid_units] == SYMBOLS)
+    s = (short & open_ & ~wrapped[par])[solid_units] & ~reads_on[doc[solid_units]]
+    item = s | (reason[solid_units] >= 0)
     change = np.ones(len(solid_units), bool)
     change[1:] = (item[1:] != item[:-1]) | (doc[solid_units][1:] != doc[solid_units][:-1])
     run = np.cumsum(change) - 1

@@ -102,9 +102,9 @@ def test_published_rules():
 def test_texts_are_measured_each_for_itself():
     c = quality.Common([w for _, w in COMMON if w])
     rng = random.Random(1)
-    tt = [t or "" for t in [*PROSE, *[t for ts in JUNK.values() for t in ts]]] * 3
+    tt = [t or "" for t in ["Lio never left two frames of smoke; instead, it waited until the second wave begins.", "It was level 79.", *PROSE, *[t for ts in JUNK.values() for t in ts]]] * 3
     rng.shuffle(tt)
     whole = quality.measure(tt, c)
-    for i in rng.sample(range(len(tt)), 40):
+    for i in range(len(tt)):
         one = quality.measure([tt[i]], c)
         assert all(str(whole[k][i]) == str(one[k][0]) for k in whole), tt[i]
