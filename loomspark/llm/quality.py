@@ -101,7 +101,8 @@ def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     """Statistics and verdict of each text; the arrays have one entry for each text."""
-    texts = [MARKUP.sub(" ", unicodedata.normalize("NFC", t)) for t in texts]
+    # Each text ends its last line, so that no rule looks into the next one.
+    texts = [MARKUP.sub(" ", unicodedata.normalize("NFC", t)) + "\n" for t in texts]
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     off = np.concatenate([[0], np.cumsum(lens)])
     n = int(off[-1])
