@@ -18,17 +18,18 @@ from loomspark.llm.words import word_hashes
 from loomspark.operators.graph import small_broadcast
 from loomspark.session import cut
 
-#: Words that make up more than 1 / FREQUENT of all words of the evaluation table stay out of fingerprints; there are fewer than FREQUENT of them.
+#: Runs with words that make up more than 1 / FREQUENT of all words of the evaluation table are looked by last; there are fewer than FREQUENT such words.
 FREQUENT = 1024
 #: Fixed by the definition: at most one word in so many of the longer text differs.
 ONE_IN = 10
-#: Texts of fewer words take every run of 5 words; others with fewer than FEW rare words every run of 8; MORE and MANY part the others.
-SHORT, FEW, MORE, MANY = 40, 20, 40, 90
-#: A pair of texts with many rare words shares one seed more for so many of them; about ten times as many are to be expected.
-PER_SEED = 120
+#: (tier, least words, words below which, words of a run): a pair within the definition has a tier in common, as tiers overlap by a tenth.
+SHORT, MORE, MANY = 40, 150, 400
+TIERS = ((1, 1, SHORT, 5), (3, SHORT, MORE, 3), (4, MORE, MANY, 3), (5, MANY, None, 3))
+#: A pair shares one seed, and one more for so many words of the shorter text.
+PER_SEED = 40
 CLIP = (1 << 20) - 1
-#: Seeds in more than HOT texts of the evaluation table are hot, the MOST_HOT most frequent at most; a text whose other seeds are COOL of all doesn't look by them.
-HOT, MOST_HOT, COOL = 64, 1 << 18, 0.8
+#: Seeds in more than HOT texts of the evaluation table are hot, the MOST_HOT most frequent at most; texts look by them last.
+HOT, MOST_HOT = 8, 1 << 18
 #: Buckets of a text's sketch, in which its words are counted up to 255.
 SKETCH = 32
 DOC = "id bigint, h bigint, n int, sketch binary"
@@ -83,56 +84,54 @@ def winnow(h: np.ndarray, off: np.ndarray, docs: np.ndarray, k: int, w: int) ->
 
 
 def seeds_of(h: np.ndarray, off: np.ndarray, frequent: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, seed, tier | length | words looked at | place) of a batch of texts; `skip` marks texts that give none.
+    """(document, seed, tier | length | frequent words | place) of a batch of texts; `skip` marks texts that give none.
 
-    Two texts that differ in d words of the longer one, d at most a tenth, share a run of unchanged words; which runs are
-    looked at depends on the text's length and its number of rare words, with room for d, so both texts look alike:
-    every run of 5 words of a short text and every run of 8 of one with few rare words are sure to meet; of texts with
-    more rare words the runs of 6 (window 3), 8 (window 3) or 10 (window 5) rare words.
+    A seed is a run of words and the number of its earlier occurrences in the text; where a text has a run several times,
+    none of them has a certain place. `rarest` picks the seeds to look by.
     """
     n = np.diff(off)
     at = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
-    rare = frequent[at] != h if len(frequent) else np.ones(len(h), bool)
-    cum = np.concatenate([[0], np.cumsum(rare)])
-    kept, kept_off = h[rare], cum[off]
-    r, d = np.diff(kept_off), n // (ONE_IN - 1)
-    some = ~skip & (n > 0)
-    long = n >= SHORT
+    cum = np.concatenate([[0], np.cumsum(frequent[at] == h if len(frequent) else np.zeros(len(h), bool))])
     parts = []
-    for tier, docs, k, w in (
-        (1, some & (n < SHORT * ONE_IN // (ONE_IN - 1) + 2), 5, 1),
-        (2, some & long & (r < FEW + d), 8, 1),
-        (3, some & long & (r >= FEW) & (r < MORE + d), 6, 3),
-        (4, some & long & (r >= MORE) & (r < MANY + d), 8, 3),
-        (5, some & long & (r >= MANY), 10, 5),
-    ):
-        docs = np.flatnonzero(docs)
-        words, at, size = (h, off, n) if tier < 3 else (kept, kept_off, r)
-        doc, place, g = winnow(words, at, docs, k, w)
-        meta = tier << 60 | np.minimum(n[doc], CLIP) << 40 | np.minimum(size[doc], CLIP) << 20 | np.minimum(place, CLIP)
-        parts.append((doc, g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64)), meta))
+    for tier, least, below, k in TIERS:
+        docs = np.flatnonzero(~skip & (n >= least) & (n < below * ONE_IN // (ONE_IN - 1) + 2 if below else True))
+        doc, place, g = winnow(h, off, docs, k, 1)
+        start = off[doc] + place
+        order = np.lexsort((place, g, doc))
+        doc, place, g, start = doc[order], place[order], g[order], start[order]
+        new = np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])]) if len(g) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(g)))
+        earlier = np.arange(len(g)) - np.repeat(first, times)
+        place = np.where(np.repeat(times, times) > 1, CLIP, np.minimum(place, CLIP))
+        meta = tier << 60 | np.minimum(n[doc], CLIP) << 40 | (cum[start + k] - cum[start]) << 20 | place
+        with np.errstate(over="ignore"):
+            seed = (g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64))) + earlier.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+        parts.append((doc, seed, meta))
     doc, seed, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
-    # A seed that a text has several times is one seed at no certain place.
-    with np.errstate(over="ignore"):
-        _, first, times = np.unique(seed + doc.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03), return_index=True, return_counts=True)
-    meta[first[times > 1]] |= CLIP
-    return doc[first], seed[first], meta[first]
+    return doc, seed, meta
 
 
-def without_hot(doc: np.ndarray, seed: np.ndarray, meta: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Which seeds to look by: a text leaves out its hot ones where the others are enough.
+def rarest(doc: np.ndarray, seed: np.ndarray, meta: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which seeds to look by: so many of each text's rarest that a pair within the definition is sure to share those wanted.
 
-    Enough is, where every run is a seed, so many that d edits can't break them all; else COOL of the text's seeds and 8 at
-    least. A text that lives on hot seeds, as one of very many near copies does, keeps them.
+    An edit breaks at most k runs of k words of a text, or k - 1 where a word was put in. So of all runs of either text
+    at most `broken` are not in the other one, and the first `wanted` common ones, in an order that is the same for all
+    texts, are among the first broken + wanted of both. The order is by the count of hot seeds (rows of `hot`), then by
+    frequent words. Of the edits, as many as the other text is longer put words in.
     """
-    is_hot = hot[np.minimum(np.searchsorted(hot, seed), max(0, len(hot) - 1))] == seed if len(hot) else np.zeros(len(seed), bool)
-    if not is_hot.any():
-        return ~is_hot
-    _, first, back = np.unique(doc * 8 + (meta >> 60), return_index=True, return_inverse=True)
-    whole, cool = np.bincount(back), np.bincount(back, ~is_hot)
-    tier, d = meta[first] >> 60, (meta[first] >> 40 & CLIP) // (ONE_IN - 1)
-    need = np.where(tier == 1, 5 * d + 1, np.where(tier == 2, 8 * d + 1, np.maximum(8, np.ceil(COOL * whole))))
-    return ~(is_hot & (cool >= need)[back])
+    at = np.minimum(np.searchsorted(hot[:, 0], seed), max(0, len(hot) - 1))
+    count = np.where(hot[at, 0] == seed, hot[at, 1], 0) if len(hot) else np.zeros(len(seed), np.uint64)
+    tier, n = meta >> 60, meta >> 40 & CLIP
+    text = doc * 8 + tier
+    order = np.lexsort((seed, meta >> 20 & CLIP, count, text))
+    rank = np.empty(len(seed), np.int64)
+    rank[order] = np.arange(len(seed)) - np.searchsorted(text[order], text[order])
+    k = np.zeros(8, np.int64)
+    k[[t[0] for t in TIERS]] = [t[3] for t in TIERS]
+    k, more = k[tier], ONE_IN - n % ONE_IN
+    broken = np.maximum(k * (n // ONE_IN), k * ((n + more) // ONE_IN) - more)
+    return (rank < broken + 1 + n // PER_SEED) | (n >= CLIP)
 
 
 def text_hash(h: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -187,15 +186,16 @@ def documents(rows: DataFrame) -> DataFrame:
 
 
 def hot_seeds(found: DataFrame) -> np.ndarray:
-    """Sorted seeds (columns of SEED) that occur more than HOT times and more than 1 / MOST_HOT of all: at most MOST_HOT."""
+    """(seed, count), sorted, of seeds (columns of SEED) that occur more than HOT times and more than 1 / MOST_HOT of all: fewer than MOST_HOT."""
     counts = cut(found.groupBy("seed").agg(F.count("*").alias("c")))
     total = counts.agg(F.sum("c")).first()[0] or 0
-    rows = counts.where(F.col("c") > max(HOT, total // MOST_HOT)).select("seed").take(MOST_HOT + 1)
-    return np.sort(np.array([r.seed for r in rows], np.int64).view(np.uint64))
+    rows = counts.where(F.col("c") > max(HOT, total // MOST_HOT + 1)).toArrow()
+    hot = np.stack([rows["seed"].to_numpy().view(np.uint64), rows["c"].to_numpy().astype(np.uint64)], axis=1)
+    return hot[np.argsort(hot[:, 0])]
 
 
 def seeds(rows: DataFrame, frequent: np.ndarray, hot: np.ndarray | None = None) -> DataFrame:
-    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again. With `hot` seeds, see `without_hot`."""
+    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again. With `hot` seeds, see `rarest`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -211,7 +211,7 @@ def seeds(rows: DataFrame, frequent: np.ndarray, hot: np.ndarray | None = None)
                     seen.clear()
                 doc, seed, meta = seeds_of(h, off, frequent, skip)
                 if hot is not None:
-                    use = without_hot(doc, seed, meta, hot)
+                    use = rarest(doc, seed, meta, hot)
                     doc, seed, meta = doc[use], seed[use], meta[use]
                 yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)[doc]), pa.array(seed.view(np.int64)), pa.array(meta)], names=["h", "seed", "meta"])
 
@@ -226,11 +226,10 @@ def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
     """
     part = lambda m, k: F.shiftrightunsigned(F.col(m), 20 * k).bitwiseAND(F.lit(CLIP))
     longer, shorter = F.greatest(part("mt", 2), part("mv", 2)), F.least(part("mt", 2), part("mv", 2))
-    most, before, apart = F.floor(longer / ONE_IN), part("mt", 0) - part("mv", 0), part("mt", 1) - part("mv", 1)
-    anywhere, clipped = F.greatest(part("mt", 0), part("mv", 0)) >= CLIP, F.greatest(part("mt", 1), part("mv", 1)) >= CLIP
-    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (anywhere | (F.abs(before) <= most) & (clipped | (F.abs(before) + F.abs(apart - before) <= most)))
-    need = F.when(F.shiftright("mt", 60) < 4, 1).otherwise(1 + F.floor(F.least(part("mt", 1), part("mv", 1)) / PER_SEED))
-    hits = train.toDF("ht", "seed", "mt").join(val.toDF("hv", "seed", "mv"), "seed").where(fit).select("ht", "hv", need.alias("need"))
+    most, before, apart = F.floor(longer / ONE_IN), part("mt", 0) - part("mv", 0), part("mt", 2) - part("mv", 2)
+    anywhere = (F.greatest(part("mt", 0), part("mv", 0)) >= CLIP) | (longer >= CLIP)
+    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (anywhere | (F.abs(before) + F.abs(apart - before) <= most))
+    hits = train.toDF("ht", "seed", "mt").join(val.toDF("hv", "seed", "mv"), "seed").where(fit).select("ht", "hv", (1 + F.floor(shorter / PER_SEED)).alias("need"))
     return hits.groupBy("ht", "hv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("ht", "hv")
 
 
@@ -338,7 +337,7 @@ def same_text(train: DataFrame, val: DataFrame) -> tuple[DataFrame, DataFrame, D
     frequent = frequent_words(val.select("text"))
     t, v = cut(documents(train)), cut(documents(val))
     hot = hot_seeds(seeds(val, frequent))
-    pairs = cut(plausible(candidates(seeds(train, frequent), seeds(val, frequent, hot)), t, v))
+    pairs = cut(plausible(candidates(seeds(train, frequent, hot), seeds(val, frequent, hot)), t, v))
 
     def words(rows: DataFrame, docs: DataFrame, h: str) -> DataFrame:
         """(h, words) of one row for each text in pairs."""

@@ -150,6 +150,40 @@ def test_share_of_near_copies_found_near_the_bound(rate):
     assert met / n >= (0.95 if rate > 0.09 else 0.99), met / n
 
 
+def spaced(words, step):
+    return [f"new{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+
+
+def test_evenly_spaced_edits_are_all_found(spark):
+    """Every tenth to sixteenth word replaced, and passages repeated many times with one word replaced: no pair is lost."""
+    rng = random.Random(11)
+    rich = lambda n: [w if w in COMMON else w + str(rng.randrange(90)) for w in text(rng, n)]
+    train, val = [], []
+    for i in range(240):
+        words = rich(rng.choice([9, 10, 19, 29, 39, 40, 41, 49, 60, 100, 149, 166, 200, 399, 444, 600]))
+        kind, d = i % 3, len(words) // 10
+        other = spaced(words, rng.choice([10, 12, 14, 16])) if kind == 0 else [w for j, w in enumerate(words) if j % 10 != 9] if kind == 1 else list(words)
+        if kind == 2:  # words put in, evenly spaced, so many that they are a tenth of the longer text
+            d = len(words) // 9
+            for j in range(d, 0, -1):
+                other.insert(j * len(words) // (d + 1), f"put{j}")
+        train.append((i, " ".join(words)))
+        val.append((10**6 + i, " ".join(other)))
+    for i, (length, times) in enumerate([(120, 40)] * 6 + [(60, 40)] * 6):
+        passage = rich(length)
+        once = passage * times
+        once[rng.randrange(len(once))] = "changed"
+        train.append((500 + i, " ".join(passage * times)))
+        val.append((10**6 + 500 + i, " ".join(once)))
+    df = lambda part: spark.createDataFrame(part, "id bigint, text string")
+    links, t, v = overlap.same_text(df(train), df(val))
+    ht, hv = {r.h: r.id for r in t.collect()}, {r.h: r.id for r in v.collect()}
+    got = {(ht[r.ht], hv[r.hv]) for r in links.collect()}
+    words = {i: word_hashes([w])[0].tolist() for i, w in train + val}
+    want = {(i, 10**6 + i) for i, _ in train if words[i] != words[10**6 + i] and plain_or_equal(words[i], words[10**6 + i])}
+    assert len(want) > 220 and want <= got, (len(want), sorted(want - got))
+
+
 def test_frames(spark):
     rng = random.Random(3)
     train = [(i, rng.choice(["a", "b", None]), sorted({f"0/{rng.randrange(4)}/{rng.randrange(5)}" for _ in range(rng.randrange(6))})) for i in range(200)]
