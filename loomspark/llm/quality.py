@@ -261,7 +261,15 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
     tokens = np.concatenate([hashes, codes[kind == HAN].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)])
     places = np.concatenate([word_at, np.flatnonzero(kind == HAN)])
     order = np.argsort(places, kind="stable")
-    return _results(texts, off, doc_of, stats, doc, size, reason, tokens[order], doc_of[places[order]])
+    tokens, places = tokens[order], places[order]
+    again = _again(tokens, doc_of[places])
+    # A sign that is no word goes with the word before it.
+    owner = np.searchsorted(places, np.arange(n), side="right") - 1
+    said = np.zeros(n, bool)
+    if len(places):
+        said = (owner >= 0) & (doc_of[places[owner]] == doc_of) & _covered(again, len(places))[owner]
+    repeated = _sum(doc_of[solid & said & (reason[unit] < 0)], None, d)
+    return _results(texts, off, doc_of, stats, doc, size, reason, tokens, doc_of[places], again, repeated)
 
 
 def _lower(text: str) -> str:
@@ -269,23 +277,31 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def _repeats(tokens: np.ndarray, doc: np.ndarray, d: int) -> np.ndarray:
+def _again(tokens: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places of the runs of words that occur before in their text."""
+    k = REPEATED_RUN
+    if len(tokens) < k:
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        g = np.zeros(len(tokens) - k + 1, np.uint64)
+        for j in range(k):
+            g = g * np.uint64(0x9E3779B97F4A7C15) + tokens[j : len(tokens) - k + 1 + j]
+    whole = np.flatnonzero(doc[: len(g)] == doc[k - 1 :])
+    order = whole[np.lexsort((g[whole], doc[whole]))]
+    same = (doc[order][1:] == doc[order][:-1]) & (g[order][1:] == g[order][:-1])
+    return order[1:][same]
+
+
+def _covered(again: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words are in the runs at the given places."""
+    change = np.bincount(again, minlength=n + 1)[: n + 1] - np.bincount(again + REPEATED_RUN, minlength=n + 1)[: n + 1]
+    return np.cumsum(change)[:n] > 0
+
+
+def _repeats(tokens: np.ndarray, doc: np.ndarray, places: np.ndarray, d: int) -> np.ndarray:
     """Whether a text says the same again and again: most of its runs of words occur before, or few of its words differ."""
     n = np.bincount(doc, minlength=d)
-    g, again = tokens.copy(), np.zeros(d)
-    k = REPEATED_RUN
-    if len(tokens) >= k:
-        with np.errstate(over="ignore"):
-            g = np.zeros(len(tokens) - k + 1, np.uint64)
-            for j in range(k):
-                g = g * np.uint64(0x9E3779B97F4A7C15) + tokens[j : len(tokens) - k + 1 + j]
-        whole = doc[: len(g)] == doc[k - 1 :]
-        key = np.stack([doc[: len(g)][whole].astype(np.uint64), g[whole]], 1)
-        if len(key):
-            order = np.lexsort((key[:, 1], key[:, 0]))
-            same = np.zeros(len(key), bool)
-            same[1:] = (key[order][1:] == key[order][:-1]).all(1)
-            again = _sum(key[order][same, 0].astype(np.int64), None, d)
+    k, again = REPEATED_RUN, _sum(doc[places], None, d)
     order = np.lexsort((tokens, doc))
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[order][1:] != tokens[order][:-1]) | (doc[order][1:] != doc[order][:-1])
@@ -293,7 +309,7 @@ def _repeats(tokens: np.ndarray, doc: np.ndarray, d: int) -> np.ndarray:
     return (n >= k) & (again > REPEATED_SHARE * np.maximum(n - k + 1, 1)) | (n >= 6) & (n < 4 * k) & (distinct < DISTINCT_SHARE * n)
 
 
-def _results(texts, off, doc_of, stats, doc, size, reason, tokens=None, token_doc=None) -> dict[str, np.ndarray]:  # noqa: ANN001
+def _results(texts, off, doc_of, stats, doc, size, reason, tokens=None, token_doc=None, again=None, repeated=None) -> dict[str, np.ndarray]:  # noqa: ANN001
     d = len(texts)
     z = np.zeros(d)
     get = lambda k: stats.get(k, z)
@@ -303,7 +319,9 @@ def _results(texts, off, doc_of, stats, doc, size, reason, tokens=None, token_do
     bad = by.sum(0)
     verdict = np.where(bad > NOT_PROSE_SHARE * total, by.argmax(0), -1)
     if tokens is not None and len(tokens):
-        verdict = np.where((verdict < 0) & _repeats(tokens, token_doc, d), REPETITION, verdict)
+        verdict = np.where((verdict < 0) & _repeats(tokens, token_doc, again, d), REPETITION, verdict)
+        # Neither may be a half alone.
+        verdict = np.where((verdict < 0) & (bad > 0) & (bad + repeated > NOT_PROSE_SHARE * total), np.where(repeated > by.max(0), REPETITION, by.argmax(0)), verdict)
     verdict = np.where(total == 0, EMPTY, verdict)
     return {
         "n_words": get("words").astype(np.int64), "mean_word_length": ratio(get("letters"), get("words")), "symbol_ratio": ratio(get("signs"), total),
@@ -333,7 +351,8 @@ def text_quality(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id",
     Words are runs of letters and digits with a letter among them, and single Han signs. `not_prose_share` is the share of the signs
     (white space left aside) in lines that a rule finds to be no running sentences; above a half the text isn't prose and
     the reason is the rule with the most signs: list, table, symbols, actions, words (none of the usual function words, or
-    random letters), garbled, repetition (the same run of words again and again). Null, empty and blank texts have the
+    random letters), garbled, repetition (the same run of words again and again). Signs of other lines in runs of words that
+    occur before in the text count towards the half, too. Null, empty and blank texts have the
     reason 'empty', 0 words, null ratios and no failures. `failures` names the published rules for whole texts that a text breaks
     (see RULES), which don't bear on the reason: they can't tell whether more than half of a text is prose. Texts are measured where they lie, many at a time; there is no shuffle.
     """

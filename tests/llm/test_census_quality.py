@@ -83,6 +83,19 @@ def test_half_decides(spark):
     assert got == {1: None, 2: "table"}
 
 
+def test_lists_and_repetition_add_up():
+    """Neither the table nor the repeated sentence is a half, but both together are; with half as much of each the text is prose."""
+    c = quality.Common([w for _, w in COMMON if w])
+    prose = " ".join(f"The agent was at the {x} gate, and it waited for the {y} to go off." for x, y in zip("north south east west upper lower outer inner old new".split(), "alarm lamp bell horn light siren whistle clock gong drum".split(), strict=True))
+    sentence, rows = "We had a key with us, and it was in the bag of the agent. ", [f"| a{i} | the key{i} | {i} |\n" for i in range(60)]
+    make = lambda k, m: prose + "\n" + sentence * k + "\n" + "".join(rows[:m])
+    size = lambda t: len("".join(t.split()))
+    both, less = make(12, 40), make(5, 15)
+    assert size("".join(rows[:40])) < size(both) / 2 and size(sentence * 12) < size(both) / 2
+    got = quality.measure([both, less, make(8, 0), make(0, 20)], c)
+    assert (got["verdict"] >= 0).tolist() == [True, False, False, False]
+
+
 def test_statistics():
     c = quality.Common([w for _, w in COMMON if w])
     m = quality.measure(["The key is in a box!\n- lamp", "我在北门。"], c)
