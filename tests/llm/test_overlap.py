@@ -155,7 +155,7 @@ def spaced(words, step):
 
 
 def test_evenly_spaced_edits_are_all_found(spark):
-    """Every tenth to sixteenth word replaced, and passages repeated many times with one word replaced: no pair is lost."""
+    """Every tenth to sixteenth word replaced, every tenth left out, or words put in: no pair is lost."""
     rng = random.Random(11)
     rich = lambda n: [w if w in COMMON else w + str(rng.randrange(90)) for w in text(rng, n)]
     train, val = [], []
@@ -169,19 +169,30 @@ def test_evenly_spaced_edits_are_all_found(spark):
                 other.insert(j * len(words) // (d + 1), f"put{j}")
         train.append((i, " ".join(words)))
         val.append((10**6 + i, " ".join(other)))
-    for i, (length, times) in enumerate([(120, 40)] * 6 + [(60, 40)] * 6):
-        passage = rich(length)
-        once = passage * times
-        once[rng.randrange(len(once))] = "changed"
-        train.append((500 + i, " ".join(passage * times)))
-        val.append((10**6 + 500 + i, " ".join(once)))
     df = lambda part: spark.createDataFrame(part, "id bigint, text string")
     links, t, v = overlap.same_text(df(train), df(val))
     ht, hv = {r.h: r.id for r in t.collect()}, {r.h: r.id for r in v.collect()}
     got = {(ht[r.ht], hv[r.hv]) for r in links.collect()}
     words = {i: word_hashes([w])[0].tolist() for i, w in train + val}
     want = {(i, 10**6 + i) for i, _ in train if words[i] != words[10**6 + i] and plain_or_equal(words[i], words[10**6 + i])}
-    assert len(want) > 220 and want <= got, (len(want), sorted(want - got))
+    assert len(want) > 210 and want <= got, (len(want), sorted(want - got))
+
+
+def test_passages_repeated_many_times_share_the_seeds_wanted(spark):
+    """Texts that say one passage of rare words 40 times and differ in a word: few different runs, but no pair is lost."""
+    rng = random.Random(12)
+    train, val = [], []
+    for i in range(12):
+        passage = [rng.choice(WORDS) + str(rng.randrange(90)) for _ in range(120 if i % 2 else 60)]
+        other = passage * 40
+        other[rng.randrange(len(other))] = "changed"
+        train.append((i, " ".join(passage * 40)))
+        val.append((10**6 + i, " ".join(other)))
+    val.append((10**7, " ".join(rng.choice(WORDS) + str(rng.randrange(90)) for _ in range(60_000))))  # so that no word is frequent
+    df = lambda part: spark.createDataFrame(part, "id bigint, text string")
+    links, t, v = overlap.same_text(df(train), df(val))
+    ht, hv = {r.h: r.id for r in t.collect()}, {r.h: r.id for r in v.collect()}
+    assert {(ht[r.ht], hv[r.hv]) for r in links.collect()} == {(i, 10**6 + i) for i in range(12)}
 
 
 def test_frames(spark):
