@@ -54,9 +54,9 @@ def windowed_packs(df: DataFrame, stream: str, order: str, length: str, budget:
     """(stream, order, length, pack, place): best fit decreasing over windows of rows in order.
 
     Of each window the least filled pack is carried into the next one; at a stream's end everything is emitted. Rows
-    longer than the budget are dropped beforehand.
+    longer than the budget are dropped beforehand; a null length counts as 0.
     """
-    rows = df.select(stream, order, F.col(length).cast("bigint").alias(length)).where(F.col(length) <= budget)
+    rows = df.select(stream, order, F.coalesce(F.col(length).cast("bigint"), F.lit(0)).alias(length)).where(F.col(length) <= budget)
     ordered = rows.repartition(stream).sortWithinPartitions(stream, order)
 
     def run(batches):  # noqa: ANN001, ANN202

@@ -74,6 +74,12 @@ def test_windowed_packs_hold_every_row_once(spark):
         assert max(fill.values()) <= 100 and sum(fill.values()) / (100 * len(fill)) > 0.85
 
 
+def test_windowed_packs_keep_rows_of_null_length(spark):
+    df = spark.createDataFrame([("a", i, None if i % 3 == 0 else 40) for i in range(30)], "s string, i int, n bigint")
+    out = packing.windowed_packs(df, "s", "i", "n", 100, 8).collect()
+    assert sorted((r.i, r.n) for r in out) == [(i, 0 if i % 3 == 0 else 40) for i in range(30)]
+
+
 def test_lock_step_and_shapes(spark):
     df = spark.createDataFrame([(0, i) for i in range(5)] + [(1, i) for i in range(7)], "rank int, ordinal bigint")
     used = packing.lock_step(df, "rank", "ordinal", 2).groupBy("rank").agg(F.count("*").alias("n"), F.max("step").alias("s")).collect()
