@@ -105,3 +105,27 @@ def small_broadcast(df: DataFrame, most: int = 1 << 18) -> DataFrame:
     """`df` with a broadcast hint where it has at most `most` rows (narrow ones, a few MB), else `df` as it is, for a join by shuffle."""
     df = cut(df)
     return F.broadcast(df) if df.count() <= most else df
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], share: int = 256, parts: int = 8) -> DataFrame:
+    """Inner join on columns both sides have, whose keys may each hold any part of the rows of either side.
+
+    Keys with more than 1/share of a side's rows (fewer than `share` a side) are spread: a row of the left side gets one of
+    `parts` numbers and comes once for each number of the right side, and the other way round, so such a key is joined by
+    parts * parts tasks. The other keys join as usual. Null keys match nothing. Both sides are read more than once.
+    """
+    spark = left.sparkSession
+    sides = [df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)) for df in (left, right)]
+    hot = set()
+    for df in sides:
+        most = max(1, df.count() // share)
+        hot |= {tuple(r) for r in df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > max(most, share)).select(*keys).take(share + 1)}
+    if not hot:
+        return sides[0].join(sides[1], keys)
+    named = F.broadcast(spark.createDataFrame(sorted(hot), sides[0].select(*keys).schema).coalesce(1))
+    numbers = F.array(*[F.lit(i) for i in range(parts)])
+    own = F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")
+    a = sides[0].join(named, keys, "left_semi").withColumn("__a", own).withColumn("__b", F.explode(numbers))
+    b = sides[1].join(named, keys, "left_semi").withColumn("__b", own).withColumn("__a", F.explode(numbers))
+    spread = a.join(b, [*keys, "__a", "__b"]).drop("__a", "__b")
+    return spread.unionByName(sides[0].join(named, keys, "left_anti").join(sides[1].join(named, keys, "left_anti"), keys))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loomspark.operators import packing, reports, resume, split
 from loomspark.operators.intervals import locate
-from loomspark.operators.graph import connected_components, hot_join
+from loomspark.operators.graph import connected_components, hot_join, spread_join
 
 
 def brute_components(edges):
@@ -134,3 +134,16 @@ def test_resume(spark, tmp_path):
     assert resume.latest_valid(["checkpoint-4", "checkpoint-30", "x/checkpoint-20", "other"], valid) == "x/checkpoint-20"
     with pytest.raises(ValueError, match="no weights"):
         resume.latest_valid(["checkpoint-30"], valid)
+
+
+def test_spread_join_equals_join(spark):
+    """A key that half of both sides have, one that only one side has often, nulls, and two key columns."""
+    a = spark.range(4000).selectExpr("id AS x", "IF(id % 2 = 0, 0, IF(id % 5 = 0, NULL, id % 97)) AS k", "'p' AS j")
+    b = spark.range(900).selectExpr("id AS y", "IF(id % 2 = 0, 0, IF(id % 3 = 0, 5, id)) AS k", "'p' AS j")
+    for keys in (["k"], ["k", "j"]):
+        left, right = (a, b) if len(keys) == 2 else (a.drop("j"), b.drop("j"))
+        got, want = spread_join(left, right, keys), left.join(right, keys)
+        assert sorted(got.columns) == sorted(want.columns)
+        order = sorted(want.columns)
+        assert sorted(map(tuple, got.select(order).collect())) == sorted(map(tuple, want.select(order).collect()))
+    assert spread_join(a.where("false"), b, ["k", "j"]).count() == 0
