@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,25 +16,26 @@ from loomspark.functions.frames import own_frames, shared_keys
 from loomspark.functions.names import channel_keys, known_game
 from loomspark.llm import textvec as tv
 from loomspark.llm.words import word_hashes
-from loomspark.operators.graph import small_broadcast
+from loomspark.operators.graph import small_broadcast, spread_join
 from loomspark.session import cut
 
-#: Runs with words that make up more than 1 / FREQUENT of all words of the evaluation table are looked by last; there are fewer than FREQUENT such words.
-FREQUENT = 1024
 #: Fixed by the definition: at most one word in so many of the longer text differs.
 ONE_IN = 10
-#: (tier, least words, words below which, words of a run): a pair within the definition has a tier in common, as tiers overlap by a tenth.
-SHORT, MORE, MANY = 40, 150, 400
-TIERS = ((1, 1, SHORT, 5), (3, SHORT, MORE, 3), (4, MORE, MANY, 3), (5, MANY, None, 3))
-#: A pair shares one seed, and one more for so many words of the shorter text.
-PER_SEED = 40
-CLIP = (1 << 20) - 1
-#: Seeds in more than HOT texts of the evaluation table are hot, the MOST_HOT most frequent at most; texts look by them last.
-HOT, MOST_HOT = 8, 1 << 18
+#: Words of a run in texts of the training table below SHORT words, and from there on.
+SHORT, SHORT_RUN, RUN = 40, 4, 6
+#: Counts of the evaluation table's runs lie in 2 ** TABLE_BITS cells of two bytes; parts of the table travel in SLICES.
+TABLE_BITS, SLICES = 22, 64
+#: Runs counted more often are hot: they meet only within a class of lengths (steps of LENGTH_STEP) and a place in the text (PLACE_SHARE of that length).
+HOT, LENGTH_STEP, PLACE_SHARE = 512, 1.25, 0.25
+#: Bits of a run's hash that travel; runs that agree in them by chance are only more candidates.
+SEED_BITS = 47
+#: Hits that a task looks at in one go.
+AT_ONCE = 1 << 20
 #: Buckets of a text's sketch, in which its words are counted up to 255.
 SKETCH = 32
-DOC = "id bigint, h bigint, n int, sketch binary"
-SEED = "h bigint, seed bigint, meta bigint"
+DOC = "id bigint, h bigint, g bigint, n int, sketch binary"
+SEED = "key bigint, meta bigint, id bigint"
+PLACE = (1 << 31) - 1
 
 
 def spoken(messages: Column) -> Column:
@@ -57,196 +59,317 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
     return g
 
 
-def winnow(h: np.ndarray, off: np.ndarray, docs: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, place, hash) of the smallest run of k words in each w neighbouring runs, in the given documents."""
-    lens = np.diff(off)[docs]
-    if not lens.sum():
-        z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64)
-    starts = np.concatenate([[0], np.cumsum(lens)])
-    own = h[np.repeat(off[docs] - starts[:-1], lens) + np.arange(starts[-1])]
-    g = rolling(own, k)
-    doc = np.repeat(np.arange(len(docs)), lens)
-    windows = len(own) - k - w + 2
-    if windows < 1:
-        z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64)
-    low, at = g[:windows].copy(), np.zeros(windows, np.int64)
-    for j in range(1, w):
-        less = g[j : windows + j] < low
-        low[less] = g[j : windows + j][less]
-        at[less] = j
-    inside = np.flatnonzero(doc[:windows] == doc[k + w - 2 : windows + k + w - 2])
-    place = inside + at[inside]
-    place = place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
-    d = doc[place]
-    return docs[d], place - starts[d], g[place]
-
-
-def seeds_of(h: np.ndarray, off: np.ndarray, frequent: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, seed, tier | length | frequent words | place) of a batch of texts; `skip` marks texts that give none.
-
-    A seed is a run of words and the number of its earlier occurrences in the text; where a text has a run several times,
-    none of them has a certain place. `rarest` picks the seeds to look by.
+def runs(h: np.ndarray, off: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, hash) of every run of k words in the given documents."""
+    g = rolling(h, k)
+    n = np.maximum(np.diff(off)[docs] - k + 1, 0)
+    doc = np.repeat(docs, n)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    return doc, place, g[off[doc] + place] ^ np.uint64(k * 0x632BE59BD9B4E019 % (1 << 64))
+
+
+def asked(h: np.ndarray, off: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of texts of the evaluation table, of each length that a text within the definition may be cut into."""
+    n = np.diff(off)[docs]
+    near = n < SHORT + SHORT // (ONE_IN - 1) + 1, n >= SHORT - SHORT // ONE_IN - 1
+    parts = [runs(h, off, docs[w], k) for w, k in zip(near, (SHORT_RUN, RUN), strict=True)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def most_edits(n: np.ndarray) -> np.ndarray:
+    """The most edits between a text of n words and any text within the definition: a longer one has up to n // 9 words more."""
+    return n // (ONE_IN - 1)
+
+
+def blocks_of(n: np.ndarray) -> np.ndarray:
+    """How many blocks a text of n words gives: one more than edits can break, which it always has from 9 words on."""
+    return np.where(n >= ONE_IN - 1, most_edits(n) + 1, 0)
+
+
+def cell(seed: np.ndarray, bits: int) -> np.ndarray:
+    return (seed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def chosen(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, hash, count) of the blocks by which texts of the training table look for near copies.
+
+    A text is cut into blocks of k words side by side. An edit breaks one block at most (a word put in between two breaks
+    none), so of any most_edits + 1 blocks one is a run of every text within the definition. Those are taken whose runs
+    are rarest by `table`; a block whose run the evaluation table lacks (count 0) has its place among them, but isn't sent.
     """
     n = np.diff(off)
-    at = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
-    cum = np.concatenate([[0], np.cumsum(frequent[at] == h if len(frequent) else np.zeros(len(h), bool))])
     parts = []
-    for tier, least, below, k in TIERS:
-        docs = np.flatnonzero(~skip & (n >= least) & (n < below * ONE_IN // (ONE_IN - 1) + 2 if below else True))
-        doc, place, g = winnow(h, off, docs, k, 1)
-        start = off[doc] + place
-        order = np.lexsort((place, g, doc))
-        doc, place, g, start = doc[order], place[order], g[order], start[order]
-        new = np.concatenate([[True], (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])]) if len(g) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(g)))
-        earlier = np.arange(len(g)) - np.repeat(first, times)
-        place = np.where(np.repeat(times, times) > 1, CLIP, np.minimum(place, CLIP))
-        meta = tier << 60 | np.minimum(n[doc], CLIP) << 40 | (cum[start + k] - cum[start]) << 20 | place
-        with np.errstate(over="ignore"):
-            seed = (g ^ np.uint64(tier * 0x632BE59BD9B4E019 % (1 << 64))) + earlier.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-        parts.append((doc, seed, meta))
-    doc, seed, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return doc, seed, meta
-
-
-def rarest(doc: np.ndarray, seed: np.ndarray, meta: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """Which seeds to look by: so many of each text's rarest that a pair within the definition is sure to share those wanted.
-
-    An edit breaks at most k runs of k words of a text, or k - 1 where a word was put in. So of all runs of either text
-    at most `broken` are not in the other one, and the first `wanted` common ones, in an order that is the same for all
-    texts, are among the first broken + wanted of both. The order is by the count of hot seeds (rows of `hot`), then by
-    frequent words. Of the edits, as many as the other text is longer put words in.
-    """
-    at = np.minimum(np.searchsorted(hot[:, 0], seed), max(0, len(hot) - 1))
-    count = np.where(hot[at, 0] == seed, hot[at, 1], 0) if len(hot) else np.zeros(len(seed), np.uint64)
-    tier, n = meta >> 60, meta >> 40 & CLIP
-    text = doc * 8 + tier
-    order = np.lexsort((seed, meta >> 20 & CLIP, count, text))
-    rank = np.empty(len(seed), np.int64)
-    rank[order] = np.arange(len(seed)) - np.searchsorted(text[order], text[order])
-    k = np.zeros(8, np.int64)
-    k[[t[0] for t in TIERS]] = [t[3] for t in TIERS]
-    k, more = k[tier], ONE_IN - n % ONE_IN
-    broken = np.maximum(k * (n // ONE_IN), k * ((n + more) // ONE_IN) - more)
-    return (rank < broken + 1 + n // PER_SEED) | (n >= CLIP)
-
-
-def text_hash(h: np.ndarray, off: np.ndarray) -> np.ndarray:
+    for short, k in ((True, SHORT_RUN), (False, RUN)):
+        doc, place, g = runs(h, off, docs[(n[docs] < SHORT) == short], k)
+        grid = place % k == 0
+        parts.append((doc[grid], place[grid], g[grid]))
+    doc, place, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+    count = table[cell(g, len(table).bit_length() - 1)]
+    order = np.lexsort((g, count, doc))
+    rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
+    use = order[(rank < blocks_of(n)[doc[order]]) & (count[order] > 0)]
+    return doc[use], place[use], g[use], count[use]
+
+
+_EDGES = np.unique(np.ceil((ONE_IN - 1) * LENGTH_STEP ** np.arange(90)).astype(np.int64))
+_WIDTH = np.maximum(1, (np.append(_EDGES, 2 * _EDGES[-1]) * PLACE_SHARE).astype(np.int64))
+
+
+def _length_class(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(_EDGES, n, side="right")
+
+
+def _place_class(centre: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Class of a place, as twice its distance from the middle of the text, among texts of a class of lengths."""
+    return centre // _WIDTH[length]
+
+
+def _within(seed: np.ndarray, length: np.ndarray, place: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = seed ^ (length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        x += place.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _keys(seed: np.ndarray, side: int) -> np.ndarray:
+    """What rows are joined and sorted by: the seed, then the side (0: evaluation table)."""
+    return ((seed >> np.uint64(64 - SEED_BITS)).astype(np.int64) << 1) | side
+
+
+def asked_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, key, length and place) of all runs of texts of the evaluation table."""
+    doc, place, g = asked(h, off, docs)
+    m = np.diff(off)[doc]
+    hot = np.flatnonzero(table[cell(g, len(table).bit_length() - 1)] > HOT)
+    length = _length_class(m[hot])
+    g[hot] = _within(g[hot], length, _place_class(2 * place[hot] - m[hot], length))
+    return doc, _keys(g, 0), m << 31 | place
+
+
+def chosen_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of the chosen blocks of texts of the training table; a hot run once for each class that may have a match."""
+    doc, place, g, count = chosen(h, off, docs, table)
+    n = np.diff(off)[doc]
+    hot = count > HOT
+    parts = [(doc[~hot], _keys(g[~hot], 1), (n << 31 | place)[~hot])]
+    doc, place, g, n = doc[hot], place[hot], g[hot], n[hot]
+    most, centre = most_edits(n), 2 * place - n
+    low, high = _length_class(n - n // ONE_IN), _length_class(n + most)
+    for j in range(int((high - low).max(initial=0)) + 1):
+        length = np.minimum(low + j, high)
+        a, b = _place_class(centre - most, length), _place_class(centre + most, length)
+        for q in range(int((b - a).max(initial=0)) + 1):
+            ok = (low + j <= high) & (a + q <= b)
+            parts.append((doc[ok], _keys(_within(g[ok], length[ok], (a + q)[ok]), 1), (n << 31 | place)[ok]))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def text_hash(h: np.ndarray, off: np.ndarray, salt: int = 0x9FB21C651E98DF25) -> np.ndarray:
     """One hash of each sequence of words."""
     n = np.diff(off)
     out = np.zeros(len(n), np.uint64)
     full = np.flatnonzero(n)
-    if len(full):
-        pos = np.arange(len(h)) - np.repeat(off[:-1], n)
-        out[full] = np.add.reduceat(tv.mix(((h >> np.uint64(32)) ^ h) & np.uint64(0xFFFFFFFF), pos) ^ (h * np.uint64(0x9FB21C651E98DF25)), off[:-1][full])
     with np.errstate(over="ignore"):
+        if len(full):
+            pos = np.arange(len(h)) - np.repeat(off[:-1], n)
+            out[full] = np.add.reduceat(tv.mix(((h >> np.uint64(32)) ^ h) & np.uint64(0xFFFFFFFF), pos) ^ (h * np.uint64(salt)), off[:-1][full])
         return out * np.uint64(0x9E3779B97F4A7C15) + n.astype(np.uint64)
 
 
+def text_hashes(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each sequence of words, which together stand for it."""
+    return text_hash(h, off), text_hash(h, off, 0xA24BAED4963EE407)
+
+
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[str]]]:
     texts = [t or "" for t in batch.column(column).to_pylist()]
     for a, b in tv.groups([len(t) for t in texts], tv.PIECE):
         yield a, b, texts[a:b]
 
 
-def frequent_words(texts: DataFrame) -> np.ndarray:
-    """Sorted hashes of the words that are more than 1 / FREQUENT of all words of the only column."""
+class _Fresh:
+    """Which texts a task hasn't met yet; what it forgets only makes more candidates."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, _, part in _texts(b, 0):
-                w, c = np.unique(word_hashes(part)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], names=["w", "c"])
+    def __init__(self) -> None:
+        self.seen: set[tuple[int, int]] = set()
 
-    counts = cut(texts.mapInArrow(run, "w bigint, c bigint").groupBy("w").agg(F.sum("c").alias("c")))
-    total = counts.agg(F.sum("c")).first()[0] or 0
-    return np.sort(np.array([r.w for r in counts.where(F.col("c") * FREQUENT > total).take(FREQUENT)], np.int64).view(np.uint64))
+    def of(self, a: np.ndarray, b: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        new = []
+        for i, x in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+            if wanted[i] and x not in self.seen:
+                self.seen.add(x)
+                new.append(i)
+        if len(self.seen) > 1 << 20:
+            self.seen.clear()
+        return np.array(new, np.int64)
 
 
-def documents(rows: DataFrame) -> DataFrame:
-    """Columns of DOC for rows (id, text): the hash of the text's words, their number and their sketch."""
+def _binary(parts: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Binary cells that lie one after the other in an array, cut at the given bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(parts.tobytes())])
+
+
+def documents(rows: DataFrame, table: Broadcast | None = None) -> DataFrame:
+    """Columns of DOC for rows (id, text): two hashes of the text's words, their number and their sketch.
+
+    With a table of counts a column `seeds` follows: keys and places of the chosen blocks (see `chosen_rows`) of a text that
+    the task hasn't met before, empty for others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = _Fresh()
         for batch in batches:
             for a, b, part in _texts(batch, 1):
                 h, off = word_hashes(part)
                 n = np.diff(off)
                 counts = np.bincount(np.repeat(np.arange(b - a), n) * SKETCH + (h % np.uint64(SKETCH)).astype(np.int64), minlength=(b - a) * SKETCH)
-                sketch = np.minimum(counts, 255).astype(np.uint8).tobytes()
-                at = pa.py_buffer((np.arange(b - a + 1, dtype=np.int32) * SKETCH).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(text_hash(h, off).view(np.int64)), pa.array(n.astype(np.int32)),
-                     pa.Array.from_buffers(pa.binary(), b - a, [None, at, pa.py_buffer(sketch)])], names=["id", "h", "n", "sketch"],
-                )
+                one, two = text_hashes(h, off)
+                cells = [batch.column(0).slice(a, b - a), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n.astype(np.int32)), _binary(np.minimum(counts, 255).astype(np.uint8), np.arange(b - a + 1) * SKETCH)]
+                if table is not None:
+                    doc, key, meta = chosen_rows(h, off, fresh.of(one, two, n >= ONE_IN - 1), table.value)
+                    order = np.argsort(doc, kind="stable")
+                    packed = np.stack([key[order], meta[order]], axis=1)
+                    cells.append(_binary(packed, np.searchsorted(doc[order], np.arange(b - a + 1)) * 16))
+                yield pa.RecordBatch.from_arrays(cells, names=["id", "h", "g", "n", "sketch", "seeds"][: len(cells)])
+
+    return rows.mapInArrow(run, DOC if table is None else f"{DOC}, seeds binary")
+
+
+def run_counts(rows: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
+    """How often the runs of the evaluation table's different texts occur, added up in 2 ** bits cells up to 65535.
+
+    A task adds up its texts and hands on its table in slices, which are summed slice by slice; the driver gets one table of
+    fixed size, whatever the rows. Cells that several runs share only make some runs look less rare.
+    """
+    size, step = 1 << bits, (1 << bits) // SLICES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, fresh, waiting = np.zeros(size, np.uint32), _Fresh(), []
 
-    return rows.mapInArrow(run, DOC)
+        def add() -> None:
+            if waiting:
+                counts[:] += np.bincount(np.concatenate(waiting), minlength=size).astype(np.uint32)
+                waiting.clear()
 
+        for batch in batches:
+            for _, _, part in _texts(batch, 1):
+                h, off = word_hashes(part)
+                _, _, g = asked(h, off, fresh.of(*text_hashes(h, off), np.diff(off) >= ONE_IN - 1))
+                waiting.append(cell(g, bits))
+                if sum(map(len, waiting)) > AT_ONCE:
+                    add()
+        add()
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([np.minimum(counts[i * step : (i + 1) * step], 65535).astype(np.uint16).tobytes() for i in range(SLICES)])], names=["slice", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for s, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                sums[s] = np.minimum(sums.get(s, np.zeros(step, np.uint32)) + np.frombuffer(c, np.uint16), 65535)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.uint16).tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
 
-def hot_seeds(found: DataFrame) -> np.ndarray:
-    """(seed, count), sorted, of seeds (columns of SEED) that occur more than HOT times and more than 1 / MOST_HOT of all: fewer than MOST_HOT."""
-    counts = cut(found.groupBy("seed").agg(F.count("*").alias("c")))
-    total = counts.agg(F.sum("c")).first()[0] or 0
-    rows = counts.where(F.col("c") > max(HOT, total // MOST_HOT + 1)).toArrow()
-    hot = np.stack([rows["seed"].to_numpy().view(np.uint64), rows["c"].to_numpy().astype(np.uint64)], axis=1)
-    return hot[np.argsort(hot[:, 0])]
+    schema = "slice int, counts binary"
+    out = np.zeros(size, np.uint16)
+    for r in rows.mapInArrow(run, schema).repartition(8, "slice").mapInArrow(total, schema).collect():
+        out[r["slice"] * step : (r["slice"] + 1) * step] = np.frombuffer(r["counts"], np.uint16)
+    return out
 
 
-def seeds(rows: DataFrame, frequent: np.ndarray, hot: np.ndarray | None = None) -> DataFrame:
-    """Columns of SEED for rows (id, text), see `seeds_of`; a text met before in the partition gives none again. With `hot` seeds, see `rarest`."""
+def asked_seeds(rows: DataFrame, table: Broadcast) -> DataFrame:
+    """Columns of SEED for all runs of rows (id, text) of the evaluation table; a text met before in the task gives none again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        fresh = _Fresh()
         for batch in batches:
-            for a, b, part in _texts(batch, 1):
+            ids = np.asarray(batch.column(0))
+            for a, _, part in _texts(batch, 1):
                 h, off = word_hashes(part)
-                whole = text_hash(h, off)
-                skip = np.zeros(b - a, bool)
-                for i, x in enumerate(whole.tolist()):
-                    skip[i] = x in seen
-                    seen.add(x)
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                doc, seed, meta = seeds_of(h, off, frequent, skip)
-                if hot is not None:
-                    use = rarest(doc, seed, meta, hot)
-                    doc, seed, meta = doc[use], seed[use], meta[use]
-                yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)[doc]), pa.array(seed.view(np.int64)), pa.array(meta)], names=["h", "seed", "meta"])
+                new = fresh.of(*text_hashes(h, off), np.diff(off) >= ONE_IN - 1)
+                doc, key, meta = asked_rows(h, off, new, table.value)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(meta), pa.array(ids[a + doc])], names=["key", "meta", "id"])
 
     return rows.mapInArrow(run, SEED)
 
 
-def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
-    """Pairs (ht, hv) of different texts with enough seeds in common at places that fit; train and val have the columns of SEED.
+def chosen_seeds(docs: DataFrame) -> DataFrame:
+    """Columns of SEED for the column `seeds` of `documents`."""
 
-    Places fit where the lengths differ by no more words than allowed, and so do the words before the seed and those
-    behind it together. Seeds of common phrases pair many texts, so filters work in the join, before anything is shuffled.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cells = b.column(1).to_pylist()
+            packed = np.frombuffer(b"".join(cells), np.int64).reshape(-1, 2)
+            ids = np.repeat(np.asarray(b.column(0)), [len(c) // 16 for c in cells])
+            yield pa.RecordBatch.from_arrays([pa.array(packed[:, 0]), pa.array(packed[:, 1]), pa.array(ids)], names=["key", "meta", "id"])
+
+    return docs.where("length(seeds) > 0").select("id", "seeds").mapInArrow(run, SEED)
+
+
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(it, iv, need) for each chosen block and run of one seed whose lengths and places fit; rows of SEED come sorted by key and meta.
+
+    Lengths fit where they differ by no more words than allowed, places where the words before the seed and those behind
+    it together do. Of a seed's rows only those of the evaluation table are kept while its others pass by.
     """
-    part = lambda m, k: F.shiftrightunsigned(F.col(m), 20 * k).bitwiseAND(F.lit(CLIP))
-    longer, shorter = F.greatest(part("mt", 2), part("mv", 2)), F.least(part("mt", 2), part("mv", 2))
-    most, before, apart = F.floor(longer / ONE_IN), part("mt", 0) - part("mv", 0), part("mt", 2) - part("mv", 2)
-    anywhere = (F.greatest(part("mt", 0), part("mv", 0)) >= CLIP) | (longer >= CLIP)
-    fit = (F.col("ht") != F.col("hv")) & (longer - shorter <= most) & (anywhere | (F.abs(before) + F.abs(apart - before) <= most))
-    hits = train.toDF("ht", "seed", "mt").join(val.toDF("hv", "seed", "mv"), "seed").where(fit).select("ht", "hv", (1 + F.floor(shorter / PER_SEED)).alias("need"))
-    return hits.groupBy("ht", "hv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("ht", "hv")
+    held = np.zeros((3, 0), np.int64)
+    for b in batches:
+        rows = np.stack([np.asarray(b.column(i)) for i in range(3)])
+        if not rows.shape[1]:
+            continue
+        rows = np.concatenate([held[:, held[0] >> 1 == rows[0, 0] >> 1], rows], axis=1)
+        v, t = rows[:, rows[0] & 1 == 0], rows[:, rows[0] & 1 == 1]
+        held = v[:, v[0] >> 1 == rows[0, -1] >> 1]
+        if not t.shape[1] or not v.shape[1]:
+            continue
+        seeds, at = np.unique(v[0] >> 1, return_inverse=True)
+        j = np.searchsorted(seeds, t[0] >> 1)
+        known = seeds[np.minimum(j, len(seeds) - 1)] == t[0] >> 1
+        t, j = t[:, known], j[known]
+        n = t[1] >> 31
+        order = at << 31 | v[1] >> 31
+        low = np.searchsorted(order, j << 31 | n - n // ONE_IN)
+        count = np.searchsorted(order, j << 31 | n + most_edits(n), side="right") - low
+        ends = np.cumsum(count)
+        a = 0
+        while a < len(count):
+            e = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE, side="right")))
+            c = count[a:e]
+            x = np.repeat(np.arange(a, e), c)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[a:e], c)
+            m, before = v[1, y] >> 31, (t[1, x] & PLACE) - (v[1, y] & PLACE)
+            most, apart = np.maximum(n[x], m) // ONE_IN, n[x] - m
+            fit = (np.abs(apart) <= most) & (np.abs(before) + np.abs(apart - before) <= most)
+            x, y = x[fit], y[fit]
+            yield pa.RecordBatch.from_arrays([pa.array(t[2, x]), pa.array(v[2, y]), pa.array((blocks_of(n[x]) - most[fit]).astype(np.int32))], names=["it", "iv", "need"])
+            a = e
+
+
+def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
+    """Pairs (it, iv) of rows that share as many chosen blocks as the edits allowed must leave; train and val have the columns of SEED."""
+    both = train.union(val).repartition((F.shiftright("key", 1)).alias("seed")).sortWithinPartitions("key", "meta")
+    hits = both.mapInArrow(meet, "it bigint, iv bigint, need int")
+    return hits.groupBy("it", "iv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("it", "iv")
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
 
 
 def plausible(pairs: DataFrame, train: DataFrame, val: DataFrame) -> DataFrame:
-    """The pairs whose sketches differ by no more words than allowed: a bound on the edits from below, so no match is lost. train, val: columns of DOC."""
-    of = lambda df, side: df.groupBy("h").agg(F.first("n").alias("n"), F.first("sketch").alias("s")).select(F.col("h").alias(f"h{side}"), F.col("n").alias(f"n{side}"), F.col("s").alias(f"s{side}"))
-    both = pairs.join(small_broadcast(of(val, "v")), "hv").join(of(train, "t"), "ht").select("ht", "hv", "nt", "nv", "st", "sv")
+    """The pairs of different texts whose sketches differ by no more words than allowed: a bound on the edits from below, so no match is lost. train, val: columns of DOC."""
+    of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g", "n", "sketch")])
+    wanted = val.join(small_broadcast(pairs.select(F.col("iv").alias("id")).distinct()), "id", "left_semi")
+    both = pairs.join(of(train, "t"), "it").join(small_broadcast(of(wanted, "v")), "iv").where("ht <> hv OR gt <> gv").select("it", "iv", "nt", "nv", "st", "sv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            most = np.maximum(np.array(b.column(2)), np.array(b.column(3))) // ONE_IN
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16) for k in (4, 5))
-            diff = x - y
+            most = np.maximum(np.asarray(b.column(2)), np.asarray(b.column(3))) // ONE_IN
+            diff = _sketches(b.column(4)) - _sketches(b.column(5))
             keep = pa.array((diff.clip(0).sum(1) <= most) & ((-diff).clip(0).sum(1) <= most))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["ht", "hv"])
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["it", "iv"])
 
-    return both.mapInArrow(run, "ht bigint, hv bigint")
+    return both.mapInArrow(run, "it bigint, iv bigint")
 
 
 def edits(x: list[int], y: list[int]) -> int:
@@ -328,42 +451,50 @@ def align(x: list[int], y: list[int], k: int = 5) -> tuple[int, int] | None:
     return total, covered
 
 
-def same_text(train: DataFrame, val: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(links, train texts, val texts) for rows (id, text) of both sides.
 
-    links: ht, hv, edits, covered for each pair of different texts of which at most a tenth of the longer one's words
-    differ; texts: id, h, n, with equal h for equal texts (n = 0: no words, matches nothing). Texts, not rows, are joined.
+    links: ht, gt, hv, gv, edits, covered for each pair of different texts of which at most a tenth of the longer one's words
+    differ; texts: id, h, g, n, with equal h and g for equal texts (n = 0: no words, matches nothing). Texts, not rows, are
+    joined: each task lets only the first row of a text look, and found pairs are named by the texts' hashes, so the result
+    doesn't depend on partitions. `table_bits` (of the counts by which blocks are chosen) bears on the work only.
     """
-    frequent = frequent_words(val.select("text"))
-    t, v = cut(documents(train)), cut(documents(val))
-    hot = hot_seeds(seeds(val, frequent))
-    pairs = cut(plausible(candidates(seeds(train, frequent, hot), seeds(val, frequent, hot)), t, v))
-
-    def words(rows: DataFrame, docs: DataFrame, h: str) -> DataFrame:
-        """(h, words) of one row for each text in pairs."""
-        wanted = docs.join(small_broadcast(pairs.select(F.col(h).alias("h")).distinct()), "h").groupBy("h").agg(F.min("id").alias("id"))
-        text = rows.join(small_broadcast(cut(wanted)), "id").select("h", "text")
+    table = train.sparkSession.sparkContext.broadcast(run_counts(val, table_bits))
+    looking = cut(documents(train, table))
+    t, v = cut(looking.drop("seeds")), cut(documents(val))
+    pairs = cut(plausible(cut(candidates(chosen_seeds(looking), asked_seeds(val, table))), t, v))
+    of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g")])
+    named = cut(pairs.join(of(t, "t"), "it").join(of(v, "v"), "iv"))
+
+    def words(rows: DataFrame, side: str) -> DataFrame:
+        """(h, g, w) of each text in `named`, from one of its rows; the names end in the side."""
+        wanted = named.groupBy(f"h{side}", f"g{side}").agg(F.min(f"i{side}").alias("id")).select("id").distinct()
+        text = rows.join(small_broadcast(wanted), "id", "left_semi")
+        names = [x + side for x in "hgw"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for a, b, part in _texts(batch, 1):
+                for _, _, part in _texts(batch, 1):
                     w, off = word_hashes(part)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(w.view(np.int64)))], names=[h, "w" + h[1]])
+                    one, two = (pa.array(x.view(np.int64)) for x in text_hashes(w, off))
+                    yield pa.RecordBatch.from_arrays([one, two, pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(w.view(np.int64)))], names=names)
 
-        return text.mapInArrow(run, f"{h} bigint, w{h[1]} array<bigint>").dropDuplicates([h])
+        return text.mapInArrow(run, f"{names[0]} bigint, {names[1]} bigint, {names[2]} array<bigint>").dropDuplicates(names[:2])
 
-    both = pairs.join(words(val, v, "hv"), "hv").join(words(train, t, "ht"), "ht").select("ht", "hv", "wt", "wv")
+    both = named.select("ht", "gt", "hv", "gv").distinct().join(words(val, "v"), ["hv", "gv"]).join(words(train, "t"), ["ht", "gt"]).select("ht", "gt", "hv", "gv", "wt", "wv")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for ht, hv, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            keep, out = [], []
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
                 if found := align(x, y):
-                    out.append((ht, hv, *found))
-            cols = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[k], pa.int64()) for k in range(4)], names=["ht", "hv", "edits", "covered"])
+                    keep.append(i)
+                    out.append(found)
+            new = [pa.array([f[k] for f in out], pa.int64()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(keep, pa.int64())) for k in range(4)), *new], names=["ht", "gt", "hv", "gv", "edits", "covered"])
 
-    return cut(both.mapInArrow(verify, "ht bigint, hv bigint, edits bigint, covered bigint")), t.select("id", "h", "n"), v.select("id", "h", "n")
+    links = cut(both.mapInArrow(verify, "ht bigint, gt bigint, hv bigint, gv bigint, edits bigint, covered bigint"))
+    return links, t.select("id", "h", "g", "n"), v.select("id", "h", "g", "n")
 
 
 def same_frames(train: DataFrame, val: DataFrame) -> DataFrame:
@@ -381,7 +512,7 @@ def same_frames(train: DataFrame, val: DataFrame) -> DataFrame:
     # Frames that train lacks are the rarest, so they use up places of the m - ceil(m / 2) + 1.
     use = F.col("m") - F.ceil(F.col("m") / 2) + 1 - (F.col("m") - F.size("found"))
     rarest = ranked.where(use > 0).select(F.col("id").alias("val_id"), F.explode(F.slice("found", F.lit(1), use.cast("int"))["k"]).alias("k"))
-    pairs = cut(rarest.join(tk, "k").select(F.col("id").alias("train_id"), "val_id").distinct())
+    pairs = cut(spread_join(tk, rarest, ["k"]).select(F.col("id").alias("train_id"), "val_id").distinct())
     full = pairs.join(val.select(F.col("id").alias("val_id"), F.col("game").alias("vg"), F.col("frames").alias("vf")), "val_id").join(
         train.select(F.col("id").alias("train_id"), "game", F.col("frames").alias("tf")), "train_id"
     )
@@ -400,9 +531,10 @@ def overlaps(train: DataFrame, val: DataFrame, channels: DataFrame, shared_frame
     keys, shared = channel_keys(channels), shared_keys(shared_frames)
     side = lambda df, i: df.where(F.col(i).isNotNull()).select(F.col(i).alias("id"), spoken(F.col("messages")).alias("text"))
     links, t, v = same_text(side(train, "train_id"), side(val, "val_id"))
-    t, v = t.where("n > 0").select(F.col("id").alias("train_id"), F.col("h").alias("ht")), v.where("n > 0").select(F.col("id").alias("val_id"), F.col("h").alias("hv"), "n")
-    equal = t.join(v, t.ht == v.hv).select("train_id", "val_id", F.lit(0).cast("bigint").alias("edits"), F.lit(1.0).alias("covered"))
-    near = links.join(v, "hv").join(t, "ht").select("train_id", "val_id", "edits", (F.col("covered") / F.col("n")).alias("covered"))
+    t, v = t.where("n > 0").select(F.col("id").alias("train_id"), F.col("h").alias("ht"), F.col("g").alias("gt")), v.where("n > 0").select(F.col("id").alias("val_id"), F.col("h").alias("hv"), F.col("g").alias("gv"), "n")
+    same = spread_join(t, v.select("val_id", F.col("hv").alias("ht"), F.col("gv").alias("gt")), ["ht", "gt"])
+    equal = same.select("train_id", "val_id", F.lit(0).cast("bigint").alias("edits"), F.lit(1.0).alias("covered"))
+    near = spread_join(t, spread_join(v, links, ["hv", "gv"]), ["ht", "gt"]).select("train_id", "val_id", "edits", (F.col("covered") / F.col("n")).alias("covered"))
     shots = lambda df, i: df.where(F.col(i).isNotNull()).select(F.col(i).alias("id"), known_game(keys, F.col("channel"), F.col("game")).alias("game"), own_frames(F.col("images"), shared).alias("frames"))
     seen = same_frames(cut(shots(train, "train_id")), cut(shots(val, "val_id")))
     none = F.lit(None)
