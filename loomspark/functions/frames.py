@@ -31,11 +31,23 @@ def frame_key(path: Column) -> Column:
 
     Null for null and blank paths.
     """
-    quick = F.regexp_replace(path, RAW_FRAME, "$1/$2/$3")
-    return F.when(F.substr(quick, F.lit(1), F.lit(1)).between("0", "9") & quick.rlike(r"^\d+/\d+/\d+$"), quick).otherwise(_slow_key(plain_path(path)))
+    return F.when(path.isNotNull(), F.element_at(F.transform(F.array(path), _quick), 1)["k"])
 
 
-def _slow_key(p: Column) -> Column:
+def _quick(path: Column) -> Column:
+    """A struct of `k`: the numbers by one pattern where the path is in one of the usual spellings, else by its normal form.
+
+    The numbers are bound to a lambda's variable, so the pattern is tried once for each path, however often they are read.
+    """
+    one = F.array(F.regexp_replace(path, RAW_FRAME, "$1/$2/$3"))
+    return F.element_at(F.transform(one, lambda q: F.struct(F.when(F.substr(q, F.lit(1), F.lit(1)).between("0", "9") & q.rlike(r"^\d+/\d+/\d+$"), q).otherwise(_slow_key(plain_path(path))).alias("k"))), 1)
+
+
+def _slow_key(path: Column) -> Column:
+    return F.element_at(F.transform(F.array(path), _key_of_plain), 1)
+
+
+def _key_of_plain(p: Column) -> Column:
     inside = F.regexp_extract(p, FRAME, 1)
     common = F.regexp_extract(p, SHARED_FOLDER, 1)
     return (
@@ -47,7 +59,7 @@ def _slow_key(p: Column) -> Column:
 
 def frame_keys(images: Column) -> Column:
     """The distinct frame keys of a list of paths; empty for a null list."""
-    keys = F.transform(images, frame_key)
+    keys = F.transform(F.filter(images, lambda p: p.isNotNull()), lambda p: _quick(p)["k"])
     return F.coalesce(F.array_distinct(F.filter(keys, lambda k: k.isNotNull())), F.expr("CAST(array() AS ARRAY<STRING>)"))
 
 
