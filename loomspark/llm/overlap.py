@@ -306,8 +306,8 @@ def chosen_seeds(docs: DataFrame) -> DataFrame:
     return docs.where("length(seeds) > 0").select("id", "seeds").mapInArrow(run, SEED)
 
 
-def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(it, iv, need) for each chosen block and run of one seed whose lengths and places fit; rows of SEED come sorted by key and meta.
+def hits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Rows it, iv, need for each chosen block and run of one seed whose lengths and places fit; rows of SEED come sorted by key and meta.
 
     Lengths fit where they differ by no more words than allowed, places where the words before the seed and those behind
     it together do. Of a seed's rows only those of the evaluation table are kept while its others pass by.
@@ -341,15 +341,70 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             most, apart = np.maximum(n[x], m) // ONE_IN, n[x] - m
             fit = (np.abs(apart) <= most) & (np.abs(before) + np.abs(apart - before) <= most)
             x, y = x[fit], y[fit]
-            yield pa.RecordBatch.from_arrays([pa.array(t[2, x]), pa.array(v[2, y]), pa.array((blocks_of(n[x]) - most[fit]).astype(np.int32))], names=["it", "iv", "need"])
+            yield np.stack([t[2, x], v[2, y], blocks_of(n[x]) - most[fit]])
             a = e
 
 
-def candidates(train: DataFrame, val: DataFrame) -> DataFrame:
-    """Pairs (it, iv) of rows that share as many chosen blocks as the edits allowed must leave; train and val have the columns of SEED."""
+def _packed(hits: np.ndarray) -> bytes:
+    """Hits column by column, sorted, the first column as differences, compressed."""
+    hits = hits[:, np.lexsort((hits[1], hits[0]))]
+    hits[0, 1:] -= hits[0, :-1].copy()
+    return pa.Codec("zstd", 1).compress(hits.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    hits = np.frombuffer(pa.Codec("zstd").decompress(data, n * 24, asbytes=True), np.int64).reshape(3, n).copy()
+    hits[0] = np.cumsum(hits[0])
+    return hits
+
+
+def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
+    """Pairs (it, iv) of rows that share as many chosen blocks as the edits allowed must leave; train and val have the columns of SEED.
+
+    Hits are many more than pairs, so they travel packed, by one of `parts` parts of the training rows, and a task counts them part by part.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            hits = np.concatenate(waiting, axis=1)
+            waiting.clear()
+            part = (tv.mix(hits[0].astype(np.uint64) & np.uint64(0xFFFFFFFF), hits[0] >> 32) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            at = np.searchsorted(part[order], np.arange(parts + 1))
+            full = np.flatnonzero(np.diff(at))
+            cells = [_packed(hits[:, order[at[i] : at[i + 1]]]) for i in full]
+            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(np.diff(at)[full].astype(np.int32)), pa.array(cells, pa.binary())], names=["part", "n", "hits"])
+
+        for hits in hits_of(batches):
+            waiting.append(hits)
+            if sum(h.shape[1] for h in waiting) > AT_ONCE:
+                yield flush()
+        if waiting:
+            yield flush()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = -1, []
+
+        def pairs() -> pa.RecordBatch:
+            hits = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int64)
+            hits = hits[:, np.lexsort((hits[1], hits[0]))]
+            first = np.flatnonzero(np.concatenate([[True], (hits[:2, 1:] != hits[:2, :-1]).any(0)])) if hits.shape[1] else np.zeros(0, np.int64)
+            enough = first[np.diff(np.append(first, hits.shape[1])) >= hits[2, first]]
+            return pa.RecordBatch.from_arrays([pa.array(hits[0, enough]), pa.array(hits[1, enough])], names=["it", "iv"])
+
+        for b in batches:
+            for part, n, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                if part != now:
+                    yield pairs()
+                    now, held = part, []
+                held.append(_unpacked(data, n))
+        yield pairs()
+
     both = train.union(val).repartition((F.shiftright("key", 1)).alias("seed")).sortWithinPartitions("key", "meta")
-    hits = both.mapInArrow(meet, "it bigint, iv bigint, need int")
-    return hits.groupBy("it", "iv").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("it", "iv")
+    hits = both.mapInArrow(meet, "part int, n int, hits binary")
+    return hits.repartition("part").sortWithinPartitions("part").mapInArrow(count, "it bigint, iv bigint")
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -462,7 +517,8 @@ def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS) ->
     table = train.sparkSession.sparkContext.broadcast(run_counts(val, table_bits))
     looking = cut(documents(train, table))
     t, v = cut(looking.drop("seeds")), cut(documents(val))
-    pairs = cut(plausible(cut(candidates(chosen_seeds(looking), asked_seeds(val, table))), t, v))
+    parts = max(64, looking.count() >> 16)
+    pairs = cut(plausible(cut(candidates(chosen_seeds(looking), asked_seeds(val, table), parts)), t, v))
     of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g")])
     named = cut(pairs.join(of(t, "t"), "it").join(of(v, "v"), "iv"))
 
@@ -506,13 +562,15 @@ def same_frames(train: DataFrame, val: DataFrame) -> DataFrame:
     """
     key = lambda df: df.select("id", F.explode("frames").alias("f"), "game", "frames").select("id", F.xxhash64("game", "f").alias("k"), F.size("frames").alias("m"))
     train, val = (df.where("game IS NOT NULL AND size(frames) > 0") for df in (train, val))
-    tk, vk = key(train).select("id", "k"), key(val)
+    vk = key(val)
+    # Train's other frames play no part.
+    tk = cut(key(train).select("id", "k").join(small_broadcast(vk.select("k").distinct()), "k", "left_semi"))
     often = tk.groupBy("k").agg(F.count("*").alias("c"))
-    ranked = vk.join(often, "k").groupBy("id", "m").agg(F.array_sort(F.collect_list(F.struct("c", "k"))).alias("found"))
+    ranked = vk.join(small_broadcast(often), "k").groupBy("id", "m").agg(F.array_sort(F.collect_list(F.struct("c", "k"))).alias("found"))
     # Frames that train lacks are the rarest, so they use up places of the m - ceil(m / 2) + 1.
     use = F.col("m") - F.ceil(F.col("m") / 2) + 1 - (F.col("m") - F.size("found"))
-    rarest = ranked.where(use > 0).select(F.col("id").alias("val_id"), F.explode(F.slice("found", F.lit(1), use.cast("int"))["k"]).alias("k"))
-    pairs = cut(spread_join(tk, rarest, ["k"]).select(F.col("id").alias("train_id"), "val_id").distinct())
+    rarest = cut(ranked.where(use > 0).select(F.col("id").alias("val_id"), F.explode(F.slice("found", F.lit(1), use.cast("int"))["k"]).alias("k")))
+    pairs = cut(spread_join(tk.join(small_broadcast(rarest.select("k").distinct()), "k", "left_semi"), rarest, ["k"]).select(F.col("id").alias("train_id"), "val_id").distinct())
     full = pairs.join(val.select(F.col("id").alias("val_id"), F.col("game").alias("vg"), F.col("frames").alias("vf")), "val_id").join(
         train.select(F.col("id").alias("train_id"), "game", F.col("frames").alias("tf")), "train_id"
     )

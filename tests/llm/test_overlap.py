@@ -79,7 +79,7 @@ def test_every_text_has_the_blocks_wanted():
 
 @pytest.mark.parametrize("hot", [overlap.HOT, 0])
 def test_some_block_meets_whatever_the_edits(hot, monkeypatch):
-    """Rows of both sides through `meet`: any text within the definition shares the blocks wanted, for random and for evenly spread edits, with and without classes of places."""
+    """Rows of both sides through `hits_of`: any text within the definition shares the blocks wanted, for random and for evenly spread edits, with and without classes of places."""
     monkeypatch.setattr(overlap, "HOT", hot)
     rng = random.Random(4)
     train = random_texts(rng, [rng.choice([9, 10, 12, 17, 18, 27, 39, 40, 41, 45, 60, 100, 150, 279, 400, 900]) for _ in range(400)], 60)
@@ -106,8 +106,9 @@ def test_some_block_meets_whatever_the_edits(hot, monkeypatch):
     rows = rows[:, np.lexsort((rows[1], rows[0]))]
     batches = [pa.RecordBatch.from_arrays([pa.array(rows[k, a : a + 997]) for k in range(3)], names=["key", "meta", "id"]) for a in range(0, rows.shape[1], 997)]
     count, need = {}, {}
-    for b in overlap.meet(iter(batches)):
-        for x, y, least in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+    for hits in overlap.hits_of(iter(batches)):
+        assert (overlap._unpacked(overlap._packed(hits), hits.shape[1]) == hits[:, np.lexsort((hits[1], hits[0]))]).all()
+        for x, y, least in hits.T.tolist():
             count[x, y], need[x, y] = count.get((x, y), 0) + 1, least
     lost = [i for i in range(400) if len(train[i]) >= 9 and train[i] != val[i] and count.get((i, i), 0) < need.get((i, i), 1)]
     assert lost == [] and sum(train[i] != val[i] for i in range(400)) > 300
