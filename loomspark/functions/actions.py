@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The tags of the language.
+#: The tags of the language, its forms, and the movement above which a step counts as moved.
 START, SEP, STOP = "<|action_start|>", "<|action_sep|>", "<|action_end|>"
 WHOLE = r"(?s)<\|action_start\|>(.*?)<\|action_end\|>"
 PREFIX = r"<\|action_start\|>\s*(-?\d+)\s+(-?\d+)\s+(-?\d+)"
@@ -66,9 +66,23 @@ def moved_but_still(pred: Column, gt: Column) -> Column:
     return (magnitude(mouse(gt)) > MOVED) & (magnitude(mouse(pred)) == 0)
 
 
+def single_parts(text: Column) -> Column:
+    """The three integers and the rest of the first action of the single form, as a list of four texts; null where there is none.
+
+    The text is searched once, and only where it has a start tag; the parts are cut from what was found.
+    """
+    found = F.when(contains_start(text), F.regexp_extract(text, SINGLE, 0))
+    return F.when(found != "", F.split(F.regexp_replace(found, SINGLE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", 4))
+
+
+def key_in(rest: Column) -> Column:
+    """Whether the part of an action behind its integers has a key."""
+    return strip(F.replace(rest, F.lit(SEP), F.lit(" "))) != ""
+
+
 def has_key(text: Column) -> Column:
     """Whether an action of the single form has a key."""
-    return strip(F.replace(F.regexp_extract(text, SINGLE, 4), F.lit(SEP), F.lit(" "))) != ""
+    return key_in(F.regexp_extract(text, SINGLE, 4))
 
 
 def keys(text: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 #: The roles that other vocabularies name.
 ROLES = {"system": "system", "human": "user", "user": "user", "gpt": "assistant", "assistant": "assistant"}
@@ -63,15 +62,31 @@ def lower_roles(messages: Column) -> Column:
     return F.transform(messages, lambda m: F.struct(role_of(F.lower(F.trim(m["role"]))).alias("role"), m["content"].alias("content")))
 
 
-def answered(turns_df: DataFrame, key: str) -> DataFrame:
-    """User turns directly followed by an assistant turn: (key, turn, k-th pair from 0, users so far, question, answer)."""
-    w = W.partitionBy(key).orderBy("turn")
-    t = turns_df.select(
-        key, "turn", "role", "content", F.lead("role").over(w).alias("next_role"), F.lead("content").over(w).alias("answer"),
-        F.count_if(F.col("role") == "user").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("users_so_far"),
-    )
-    pairs = t.where("role = 'user' AND next_role = 'assistant'")
-    return pairs.select(key, "turn", (F.row_number().over(w) - 1).alias("pair"), "users_so_far", F.col("content").alias("question"), "answer")
+def answered_in(messages: Column, texts: bool = True) -> Column:
+    """Of a list of turns, the user turns directly followed by an assistant turn: structs of turn (from 0), users_so_far and, with `texts`, question and answer.
+
+    Null for a null list. It works in the row, in one pass over its turns.
+    """
+    asked = F.filter(F.transform(messages, lambda m, i: F.when(m["role"] == "user", i)), lambda i: i.isNotNull())
+    word = lambda t: [F.get(messages, t)["content"].alias("question"), F.get(messages, t + 1)["content"].alias("answer")] if texts else []
+    each = F.transform(asked, lambda t, k: F.struct(t.alias("turn"), (k + 1).cast("bigint").alias("users_so_far"), F.get(messages, t + 1)["role"].alias("next"), *word(t)))
+    return F.filter(each, lambda p: F.coalesce(p["next"] == "assistant", F.lit(False)))
+
+
+def answered(rows: DataFrame, *keep: str, messages: str = "messages", texts: bool = True) -> DataFrame:
+    """The columns `keep` with each pair of `answered_in`: turn, pair (from 0), users_so_far, question and answer. Rows aren't moved."""
+    p = rows.select(*keep, F.posexplode(answered_in(F.col(messages), texts)).alias("pair", "_p"))
+    return p.select(*keep, F.col("_p.turn").alias("turn"), "pair", F.col("_p.users_so_far").alias("users_so_far"), *([F.col("_p.question").alias("question"), F.col("_p.answer").alias("answer")] if texts else []))
+
+
+#: The marks of a chat template around a turn.
+TURN_BEGIN, TURN_END = "<|im_start|>", "<|im_end|>"
+
+
+def rendered(messages: Column) -> Column:
+    """The turns as one text in the chat template's form: the role in the first line, then the content; null roles and contents are empty. Empty for a null list."""
+    one = lambda m: F.concat(F.lit(TURN_BEGIN), F.coalesce(m["role"], F.lit("")), F.lit("\n"), F.coalesce(m["content"], F.lit("")), F.lit(TURN_END + "\n"))
+    return F.coalesce(F.array_join(F.transform(messages, one), ""), F.lit(""))
 
 
 def context(messages: Column, turn: Column) -> Column:

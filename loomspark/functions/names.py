@@ -38,3 +38,16 @@ def known_game(keys: dict[str, str], channel: Column, game: Column) -> Column:
     """The listed channel that `channel` names, else the one that `game` names, else null."""
     names = literal_map(keys)
     return F.coalesce(F.try_element_at(names, F.coalesce(name_key(channel), F.lit(""))), F.try_element_at(names, F.coalesce(name_key(game), F.lit(""))))
+
+
+def with_known_game(df: DataFrame, channels: DataFrame, out: str, channel: str = "channel", game: str = "game") -> DataFrame:
+    """`df` with a column `out`: the listed channel that `channel` names, else the one that `game` names, else null.
+
+    The names (a small table, see `channel_keys`) are broadcast and found by hash; for a literal map each row would search them one by one.
+    """
+    listed = sorted(channel_keys(channels).items())
+    names = df.sparkSession.createDataFrame(listed, "__key string, __name string").coalesce(1)
+    one = lambda i: F.broadcast(names.toDF(f"__key{i}", f"__name{i}"))
+    keyed = df.withColumns({"__of0": name_key(F.col(channel)), "__of1": name_key(F.col(game))})
+    both = keyed.join(one(0), F.col("__of0") == F.col("__key0"), "left").join(one(1), F.col("__of1") == F.col("__key1"), "left")
+    return both.withColumn(out, F.coalesce("__name0", "__name1")).drop("__of0", "__of1", "__key0", "__key1", "__name0", "__name1")

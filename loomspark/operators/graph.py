@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,41 +13,42 @@ from loomspark.session import cut
 
 
 #: Edges that a task unites at a time before it passes their stars on; this bounds its memory.
-UNITED = 200_000
+UNITED = 1 << 20
+
+
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node each is tied to by the edges: labels are lowered along edges and to their labels' labels until none changes."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        # The roots of both ends go to the smaller one, so that whole trees are joined at once.
+        for end in (label[x], label[y], x, y):
+            np.minimum.at(new, end, least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            return nodes, nodes[label]
+        label = new
 
 
 def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (a, b) of a partition as stars: each node with the smallest node it is tied to by UNITED edges at a time."""
-    parent: dict[int, int] = {}
+    waiting: list[np.ndarray] = []
 
     def stars() -> pa.RecordBatch:
-        low = {}
-        for x in sorted(parent):
-            low.setdefault(find(x), x)
-        pairs = [(x, low[find(x)]) for x in parent]
-        a, b = ([p[k] for p in pairs if p[0] != p[1]] for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    def find(x: int) -> int:
-        root = x
-        while (up := parent.setdefault(root, root)) != root:
-            root = up
-        while parent[x] != root:
-            parent[x], x = root, parent[x]
-        return root
-
-    seen = 0
+        nodes, root = _roots(*np.concatenate(waiting, axis=1))
+        waiting.clear()
+        tied = nodes != root
+        return pa.RecordBatch.from_arrays([pa.array(nodes[tied]), pa.array(root[tied])], names=["a", "b"])
+
     for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = find(a), find(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-        seen += batch.num_rows
-        if seen >= UNITED:
+        waiting.append(np.stack([np.asarray(batch.column(k)) for k in (0, 1)]))
+        if sum(w.shape[1] for w in waiting) >= UNITED:
             yield stars()
-            parent.clear()
-            seen = 0
-    if parent:
+    if waiting:
         yield stars()
 
 
@@ -55,29 +57,29 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     edges: columns a, b (bigint); direction, repeats and loops don't matter, rows with a null are ignored.
     Returns node, label, one row for each node. No edges give no rows. Tasks first unite the edges they hold, so that few
-    rounds are left. Each round is two shuffles of the distinct edges and halves the depth of a component's tree; the
-    rounds end when no edge changes.
-    A node of any degree is fine: neighbours are never collected into one list, the minima come from
-    partial aggregates and the edges are joined to them.
+    rounds are left. Each round halves the depth of a component's tree; the rounds end when
+    no edge changes. A node of any degree is fine: neighbours are never collected into one list, the minima come from partial
+    aggregates, and edges get them by `hot_join`, which doesn't shuffle the edges of nodes with very many.
     """
-    e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    e = cut(e)
     nodes_only = e.where("a = b").select("a", "b")
     e = cut(e.where("a > b").mapInArrow(_united, "a bigint, b bigint").distinct())
-    before = None
+    before, size = None, e.count()
     for _ in range(max_rounds):
         # Large star: the larger neighbours of each node go to its smallest neighbour.
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        large = hot_join(both.where("b > a"), low, "a", total=2 * size).select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Small star: the smaller neighbours of each node, and itself, go to the smallest of them.
         large = cut(large.distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a > b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = hot_join(large, least, "a", total=size).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a > b").distinct()
         e = cut(small)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, size = now, now[0]
     else:
         raise RuntimeError("components did not settle; raise max_rounds")
     labels = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
@@ -85,13 +87,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return labels.union(roots).groupBy("node").agg(F.min("label").alias("label"))
 
 
-def hot_join(rows: DataFrame, labels: DataFrame, key: str, share: int = 256) -> DataFrame:
+def hot_join(rows: DataFrame, labels: DataFrame, key: str, share: int = 256, total: int | None = None) -> DataFrame:
     """Inner join of `rows` with `labels`, whose `key` is unique and whose column `n` counts the rows of a key.
 
     Keys with more than 1/share of all rows (fewer than `share` keys, so a proven bound) are broadcast and their rows
-    are never shuffled; the other keys join by a shuffle in which no key is large.
+    are never shuffled; the other keys join by a shuffle in which no key is large. `total` is the number of rows, where it is known.
     """
-    total = labels.agg(F.sum("n")).first()[0] or 0
+    total = (labels.agg(F.sum("n")).first()[0] or 0) if total is None else total
     labels = labels.withColumn("_hot", F.col("n") > max(1, total // share))
     hot, cold = labels.where("_hot").drop("_hot"), labels.where("NOT _hot").drop("_hot")
     hot_keys = [r[0] for r in hot.select(key).take(share + 1)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -117,3 +117,23 @@ def batch_shape(world: int, tensor: int, pipeline: int, micro: int, global_batch
     if global_batch % (micro * readers):
         raise ValueError("the global batch is no multiple of micro batch * readers")
     return readers, global_batch // (micro * readers)
+
+
+def finite_rounds(batches: DataFrame, rank: str, round_: str, empty: dict[str, object]) -> DataFrame:
+    """Batches (rank, round from 0, values) made up to as many rounds as the longest rank has: ranks that have run out replay a batch whose values are `empty`, so it weighs nothing.
+
+    The result has a column `replayed`. A rank without batches has no rows.
+    """
+    ends = batches.groupBy(rank).agg(F.max(round_).alias("_end"))
+    last = ends.agg(F.max("_end")).first()[0]
+    more = ends.where(F.col("_end") < (last if last is not None else -1)).select(rank, F.explode(F.sequence(F.col("_end") + 1, F.lit(last or 0).cast("bigint"))).alias(round_))
+    kinds = {f.name: f.dataType for f in batches.schema.fields}
+    replays = more.select(rank, F.col(round_).cast(kinds[round_]).alias(round_), *[F.lit(v).cast(kinds[c]).alias(c) for c, v in empty.items()], F.lit(True).alias("replayed"))
+    return batches.select(rank, round_, *empty, F.lit(False).alias("replayed")).unionByName(replays)
+
+
+def carried(packs: DataFrame, stream: str, ordinal: str, came: Column) -> DataFrame:
+    """The rows of each stream's open pack when its first `came` rows (an expression over the rows) have come in."""
+    seen = packs.where(F.col(ordinal) < came)
+    open_ = seen.groupBy(stream).agg(F.max("pack").alias("pack"))
+    return seen.join(open_, [stream, "pack"], "left_semi")

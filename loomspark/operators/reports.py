@@ -60,10 +60,10 @@ def action_summary(sums: DataFrame, live: bool) -> DataFrame:
 
 def idle_profile(answers: DataFrame, text: str = "content") -> DataFrame:
     """Actions of the single form: without mouse movement with and without keys, and with movement, in counts and percent. Null percents for no actions."""
-    m = A.mouse(F.col(text), A.SINGLE)
-    a = answers.select(m.alias("m"), A.has_key(F.col(text)).alias("key")).where("m IS NOT NULL")
-    zero = (F.col("m")[0] == 0) & (F.col("m")[1] == 0)
-    s = a.agg(F.count("*").alias("steps"), F.count_if(zero).alias("zero"), F.count_if(zero & F.col("key")).alias("zero_key"), F.count_if(zero & ~F.col("key")).alias("zero_empty"), F.count_if(~zero).alias("moving"))
+    a = answers.select(A.single_parts(F.col(text)).alias("m"))
+    x, y = (F.col("m")[k].try_cast("int") for k in (0, 1))
+    zero, key, step = (x == 0) & (y == 0), A.key_in(F.col("m")[3]), F.col("m").isNotNull()
+    s = a.agg(F.count("m").alias("steps"), F.count_if(step & zero).alias("zero"), F.count_if(step & zero & key).alias("zero_key"), F.count_if(step & zero & ~key).alias("zero_empty"), F.count_if(step & ~zero).alias("moving"))
     pct = lambda a, b: F.round(F.lit(100.0) * F.col(a) / F.nullif(F.col(b), F.lit(0)), 4)
     return s.withColumns({"zero_pct": pct("zero", "steps"), "key_of_zero_pct": pct("zero_key", "zero"), "empty_of_zero_pct": pct("zero_empty", "zero"), "moving_pct": pct("moving", "steps")})
 
@@ -75,3 +75,22 @@ def violations(checks: list[tuple[str, DataFrame]]) -> DataFrame:
     for p in parts[1:]:
         out = out.union(p)
     return out
+
+
+def counted_against(union: DataFrame, whole: DataFrame) -> DataFrame:
+    """One row: the lines of a union, those expected, and whether they agree."""
+    both = union.select(F.lit(1).alias("l"), F.lit(0).alias("e")).unionAll(whole.select(F.lit(0), F.lit(1)))
+    return both.agg(F.sum("l").alias("lines"), F.sum("e").alias("expected")).withColumn("ok", F.col("lines") == F.col("expected"))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """100 * part / whole to one place, halves up, by whole numbers; null where the whole is 0."""
+    return F.when(whole > 0, F.floor((2000 * part + whole) / (2 * whole)) / 10)
+
+
+def weighted_loss(batches: DataFrame, by: str, batch: list[str]) -> DataFrame:
+    """By group: loss weighted by `weight`, the weights' sum, the batches, and how many rows were replays (equal in all columns of `batch`, which count once)."""
+    b = batches.groupBy(by, *batch).agg(F.count("*").alias("copies"))
+    return b.groupBy(by).agg(
+        F.round(F.sum(F.col("loss") * F.col("weight")) / F.nullif(F.sum("weight"), F.lit(0)), 9).alias("loss"), F.sum("weight").alias("tokens"), F.count("*").alias("batches"), (F.sum("copies") - F.count("*")).alias("replayed")
+    )

@@ -31,10 +31,10 @@ def head_split(df: DataFrame, key: str, seed: int, val_size: int) -> DataFrame:
 
 def chunk_split(chunks: DataFrame, chunk: str, val_chunks: int) -> DataFrame:
     """Chunk names, numbered in order, and their split: the last max(1, min(val_chunks, n div 2)) are 'val', none for val_chunks 0."""
-    names = chunks.select(chunk).distinct()
+    names = with_row_index(chunks.select(chunk).distinct(), chunk, name="chunk_id")
     n = names.count()
     val = max(1, min(val_chunks, n // 2)) if val_chunks else 0
-    ids = names.select(chunk, (F.dense_rank().over(W.orderBy(chunk)) - 1).alias("chunk_id"))
+    ids = names.select(chunk, F.col("chunk_id").cast("int").alias("chunk_id"))
     return ids.withColumn("split", F.when(F.col("chunk_id") >= n - val, "val").otherwise("train"))
 
 
@@ -60,3 +60,19 @@ def difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 def overlength(length: Column, most: int) -> Column:
     return F.coalesce(length, F.lit(0)) > most
+
+
+def drop_overlength(df: DataFrame, length: str, most: int, by: str) -> DataFrame:
+    """The rows that aren't longer than `most`, with a null column `dropped`, and a row for each value of `by` that lost rows: how many, all else null."""
+    long = overlength(F.col(length), most)
+    lost = df.where(long).groupBy(by).agg(F.count("*").alias("dropped"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields if f.name != by]
+    return df.where(~long).withColumn("dropped", F.lit(None).cast("bigint")).unionByName(lost.select(by, *empty, "dropped"))
+
+
+def view(df: DataFrame, name: str, strict: bool = False) -> DataFrame:
+    """Rows as a source of their own: game and channel are its name. Rows without messages or images are left out; with `strict` they are an error."""
+    whole = F.col("messages").isNotNull() & F.col("images").isNotNull()
+    if strict:
+        whole = F.when(whole, F.lit(True)).otherwise(F.raise_error(F.lit(f"{name}: a row lacks messages or images")).cast("boolean"))
+    return df.where(whole).withColumns({"game": F.lit(name), "channel": F.lit(name)})

@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import hashlib
-import json
-import os
 from pathlib import Path
+from urllib.parse import unquote
 
+import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from loomspark.session import cut
-
+from loomspark.session import cut, small_rows
+from loomspark.sources import files
 
 #: The most (range, group) pairs whose counts go to the driver; beyond it, counts are joined by a shuffle.
 COUNTED = 1 << 17
 LOCAL = (1 << 33) - 1
+#: The most files of a table whose row counts go to the driver.
+FILES = 1 << 17
 
 
 def _ranged(df: DataFrame, order: list[str | Column]) -> DataFrame:
@@ -83,28 +86,44 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, recursive:
     return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").json(path)
 
 
+#: Bytes of a file that one task reads.
+CHUNK = 1 << 25
+
+
 def read_lines(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
     """(offset, value) of the lines of a file that begin at byte `start` or later and before `stop`."""
-    size = os.path.getsize(path)
-    stop = size if stop is None else min(stop, size)
-    chunk = 1 << 25
-    ranges = spark.range(0, max(1, -(-(stop - start) // chunk)), 1).select((F.col("id") * chunk + start).alias("a"))
+    return read_segments(spark, [(path, start, stop)]).drop("path")
 
-    def run(batches):  # noqa: ANN001, ANN202
-        import pandas as pd
 
+def read_segments(spark: SparkSession, segments: list[tuple[str, int, int | None]]) -> DataFrame:
+    """(path, offset, value) of the lines that begin in the byte ranges [start, stop) of files; stop None is the end of the file.
+
+    Ranges are cut into chunks of CHUNK bytes, which tasks read side by side; a line that begins in a chunk is read to its end.
+    """
+    parts = []
+    for path, start, stop in segments:
+        size = files.info(path).size
+        if size is None:
+            raise FileNotFoundError(path)
+        stop = size if stop is None else min(stop, size)
+        parts += [(path, a, min(a + CHUNK, stop)) for a in range(start, stop, CHUNK)]
+    if not parts:
+        return spark.createDataFrame([], "path string, offset bigint, value string")
+
+    def run(batches):  # noqa: ANN001, ANN202
         for b in batches:
-            for a in b["a"]:
+            for path, a, e in zip(b["path"], b["a"], b["e"], strict=True):
                 out = []
-                with open(path, "rb") as f:
+                with files.open_bytes(path) as f:
                     f.seek(max(0, a - 1))
                     if a and f.read(1) != b"\n":
                         f.readline()
-                    while (at := f.tell()) < min(a + chunk, stop) and (line := f.readline()):
-                        out.append((at, line.rstrip(b"\r\n").decode("utf-8")))
-                yield pd.DataFrame(out, columns=["offset", "value"])
+                    while (at := f.tell()) < e and (line := f.readline()):
+                        out.append((path, at, line.rstrip(b"\r\n").decode("utf-8")))
+                yield pd.DataFrame(out, columns=["path", "offset", "value"])
 
-    return ranges.mapInPandas(run, "offset bigint, value string")
+    chunks = spark.createDataFrame(parts, "path string, a bigint, e bigint").repartition(min(len(parts), 4096))
+    return chunks.mapInPandas(run, "path string, offset bigint, value string")
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -117,21 +136,81 @@ def catalog_rows(entries: DataFrame) -> DataFrame:
     return entries.select("canonical_name", F.col("stats.output_rows").alias("output_rows")).where("canonical_name IS NOT NULL AND output_rows > 0")
 
 
-def line_index(path: str, index_dir: str) -> tuple[str, int]:
-    """(index file, rows) of a JSON Lines file: the offset of every line, made anew when size or time of the file change."""
-    stat = os.stat(path)
-    key = hashlib.sha256(f"{os.path.abspath(path)}:{stat.st_size}:{stat.st_mtime_ns}".encode()).hexdigest()[:24]
-    target = Path(index_dir) / f"{key}.json"
-    if target.exists():
-        return str(target), json.loads(target.read_text())["rows"]
-    offsets, at = [], 0
-    with open(path, "rb") as f:
-        for line in f:
-            if line.strip():
-                offsets.append(at)
-            at += len(line)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_suffix(f".{os.getpid()}.tmp")
-    part.write_text(json.dumps({"size": stat.st_size, "mtime_ns": stat.st_mtime_ns, "rows": len(offsets), "offsets": offsets}))
-    os.replace(part, target)
-    return str(target), len(offsets)
+def line_index(spark: SparkSession, path: str, index_dir: str) -> tuple[str, int]:
+    """(folder of the index, rows) of a JSON Lines file: a table (row_index, offset) of its lines that aren't blank.
+
+    The name holds a hash of path, size and time of the file, so it is made anew when they change, and only then. Tasks find
+    the offsets chunk by chunk; a folder counts when its writer has committed it.
+    """
+    stat = files.info(path)
+    if stat.size is None:
+        raise FileNotFoundError(path)
+    key = hashlib.sha256(f"{path}:{stat.size}:{stat.mtime_ns}".encode()).hexdigest()[:24]
+    target = f"{index_dir.rstrip('/')}/{key}"
+    if not files.exists(f"{target}/_SUCCESS"):
+        lines = read_lines(spark, path).where("trim(value) <> ''").select("offset")
+        with_row_index(lines, "offset").select("row_index", "offset").write.mode("overwrite").parquet(target)
+    return target, spark.read.parquet(target).count()
+
+
+def rows_at(spark: SparkSession, path: str, index_dir: str, refs: DataFrame) -> DataFrame:
+    """`refs` (row_index and others) with the `value` of that line of a JSON Lines file; refs to lines it hasn't drop out.
+
+    Offsets come from the file's line index; refs are sorted by offset over ranges, so a task opens the file once and reads on.
+    """
+    index, _ = line_index(spark, path, index_dir)
+    wanted = refs.join(spark.read.parquet(index), "row_index").repartitionByRange("offset").sortWithinPartitions("offset")
+
+    def run(batches):  # noqa: ANN001, ANN202
+        f = None
+        for b in batches:
+            f = f or files.open_bytes(path)
+            values = []
+            for at in b["offset"]:
+                f.seek(at)
+                values.append(f.readline().rstrip(b"\r\n").decode("utf-8"))
+            yield b.drop(columns="offset").assign(value=values)
+
+    fields = [f for f in wanted.schema.fields if f.name != "offset"]
+    return wanted.mapInPandas(run, T.StructType([*fields, T.StructField("value", T.StringType())]))
+
+
+def footers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, row_group, rows, ordinal) of the row groups of Parquet files or folders, in the order of the paths, then of file names.
+
+    Tasks read the files' footers, no data. `ordinal` counts the row groups of all files.
+    """
+    found = [(i, f) for i, path in enumerate(paths) for f in sorted(spark.read.parquet(path).inputFiles())]
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            out = []
+            for i, path in zip(b["i"], b["path"], strict=True):
+                with files.open_bytes(unquote(path)) as f:
+                    meta = pq.ParquetFile(f).metadata
+                    out += [(i, path, g, meta.row_group(g).num_rows) for g in range(meta.num_row_groups)]
+            yield pd.DataFrame(out, columns=["i", "path", "row_group", "rows"])
+
+    listed = spark.createDataFrame(found, "i int, path string").repartition(min(max(1, len(found)), 4096))
+    groups = with_row_index(listed.mapInPandas(run, "i int, path string, row_group int, rows bigint"), "i", "path", "row_group", name="ordinal")
+    return groups.select(F.col("path").alias("file"), "row_group", "rows", "ordinal")
+
+
+def row_addresses(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """The columns of a Parquet table with `row_index`, the place of each row in its files taken in the order of their names.
+
+    The place in a file comes from the scan, the rows of earlier files from the footers: no row is moved or sorted. The rows
+    of each file go to the driver, at most FILES of them.
+    """
+    df = spark.read.parquet(path)
+    rows = df.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("row_index"))
+    if len(df.inputFiles()) < 2:
+        return rows.drop("__file")
+    # A scan and a listing write `file:/` with one slash or three.
+    plain = lambda c: F.regexp_replace(c, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+    starts, at = [], 0
+    for r in sorted(small_rows(footers(spark, [path]).groupBy("file").agg(F.sum("rows").alias("rows")), FILES)):
+        starts.append((r.file, at))
+        at += r.rows
+    start = spark.createDataFrame(starts, "__file string, __start bigint").coalesce(1).withColumn("__file", plain("__file"))
+    return rows.withColumn("__file", plain("__file")).join(F.broadcast(start), "__file").withColumn("row_index", F.col("row_index") + F.col("__start")).drop("__file", "__start")

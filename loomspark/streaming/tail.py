@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from loomspark.sources import files
+
+MOST = 1 << 26
+
 
 class TailSource(DataSource):
-    """Lines appended to a file: format `tail`, option path. The offset is a byte; a last line without its end waits for it."""
+    """Lines appended to a file: format `tail`, options path and maxBytes (of a batch, 64 MB unless given).
+
+    The offset is a byte; a last line without its end waits for it. A line longer than maxBytes is a batch of its own.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -21,12 +27,12 @@ class TailSource(DataSource):
         return "offset bigint, value string"
 
     def simpleStreamReader(self, schema):  # noqa: ANN001, ANN201, N802
-        return TailReader(self.options["path"])
+        return TailReader(self.options["path"], int(self.options.get("maxbytes", self.options.get("maxBytes", MOST))))
 
 
 class TailReader(SimpleDataSourceStreamReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, most: int = 1 << 26):
+        self.path, self.most = path, most
 
     def initialOffset(self) -> dict:  # noqa: N802
         return {"byte": 0}
@@ -41,18 +47,19 @@ class TailReader(SimpleDataSourceStreamReader):
         """Nothing is kept, so there is nothing to release."""
 
     def _lines(self, at: int, stop: int | None) -> tuple[Iterator[tuple], dict]:
-        if not os.path.exists(self.path):
+        if not files.exists(self.path):
             return iter(()), {"byte": at}
-        with open(self.path, "rb") as f:
-            f.seek(at)
-            data = f.read(-1 if stop is None else stop - at)
-        whole = data[: data.rfind(b"\n") + 1]
         out, place = [], at
-        for line in whole.split(b"\n")[:-1]:
-            if line.strip():
-                out.append((place, line.rstrip(b"\r").decode("utf-8", "replace")))
-            place += len(line) + 1
-        return iter(out), {"byte": at + len(whole)}
+        with files.open_bytes(self.path) as f:
+            f.seek(at)
+            while (stop is None and place - at < self.most) or (stop is not None and place < stop):
+                line = f.readline()
+                if not line.endswith(b"\n"):
+                    break
+                if line.strip():
+                    out.append((place, line.rstrip(b"\r\n").decode("utf-8", "replace")))
+                place += len(line)
+        return iter(out), {"byte": place}
 
 
 def channel_totals(events: DataFrame) -> DataFrame:
@@ -60,11 +67,23 @@ def channel_totals(events: DataFrame) -> DataFrame:
     return events.groupBy(F.coalesce("channel", F.lit("unknown")).alias("channel")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
 
 
-def push_once(sink: dict, key: str):  # noqa: ANN201
-    """A foreachBatch function that keeps the last row of each key: a batch delivered twice changes nothing."""
+def continued_totals(saved: DataFrame, events: DataFrame) -> DataFrame:
+    """Totals saved by `channel_totals`, carried on with later rows (channel, tokens)."""
+    both = saved.unionByName(channel_totals(events))
+    return both.groupBy("channel").agg(F.sum("tokens").alias("tokens"), F.sum("rows").alias("rows"))
 
-    def run(batch: DataFrame, _: int) -> None:
-        for r in batch.collect():  # a micro-batch of a training log
-            sink[r[key]] = r.asDict(recursive=True)
+
+def push_once(path: str):  # noqa: ANN201
+    """A foreachBatch function that writes each batch to a folder named by its number: a batch delivered again takes the place of the first delivery."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
 
     return run
+
+
+def pushed(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """What `push_once` wrote, one row for each key: that of the last batch."""
+    rows = spark.read.parquet(path)
+    names = [c for c in rows.columns if c != "batch"]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*names), "batch").alias("_r")).select("_r.*")

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import chat, paths
 from loomspark.functions.hashing import order_key
-from loomspark.operators import reports, split
+from loomspark.operators import reports, resume, split
 from loomspark.operators.graph import small_broadcast
 from loomspark.operators.intervals import locate
-from loomspark.session import table
-from loomspark.sources.readers import catalog_rows, with_row_index
+from loomspark.session import small_rows, table
+from loomspark.sources.readers import catalog_rows, footers, row_addresses, with_row_index
 from loomspark.sources.sinks import image_path
 from loomspark.workloads import query
 
@@ -47,20 +47,20 @@ def s03_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
     return raw.agg(F.count("*").alias("n"), F.sum(chat.list_size(raw, "images")).alias("images"), F.sum(chat.list_size(raw, "conversations")).alias("turns"))
 
 
-@query("SELECT doc_id, row_index FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents) WHERE row_index >= 500")
+#: Rows in the order of the files, which DuckDB keeps as well.
+PLACED = "(SELECT *, row_number() OVER () - 1 AS row_index FROM documents)"
+
+
+@query(f"SELECT doc_id, row_index FROM {PLACED} WHERE row_index >= 500")
 def s04_resume_scan(spark: SparkSession, d: str) -> DataFrame:
-    return with_row_index(table(spark, d, "documents").select("doc_id"), "doc_id").where("row_index >= 500")
+    return row_addresses(spark, f"{d}/documents.parquet", "doc_id").where("row_index >= 500")
 
 
-@query(
-    "WITH r AS (SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents), n AS (SELECT count(*) AS n FROM documents), "
-    "refs AS (SELECT i AS pos, i * 37 % n AS row_index FROM range(64) t(i), n) SELECT pos, doc_id, source FROM refs JOIN r USING (row_index)"
-)
+@query(f"SELECT row_index // 50 AS pos, doc_id, source FROM {PLACED} WHERE row_index % 50 = 0")
 def s05_point_lookup(spark: SparkSession, d: str) -> DataFrame:
-    docs = with_row_index(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
-    n = docs.count()
-    refs = spark.range(64).select(F.col("id").alias("pos"), (F.col("id") * 37 % n).alias("row_index"))
-    return docs.join(F.broadcast(refs), "row_index").select("pos", "doc_id", "source")
+    docs = row_addresses(spark, f"{d}/documents.parquet", "doc_id", "source")
+    refs = spark.range(0, table(spark, d, "documents").count(), 50).select(F.expr("id div 50").alias("pos"), F.col("id").alias("row_index"))
+    return docs.join(small_broadcast(refs), "row_index").select("pos", "doc_id", "source")
 
 
 @query("SELECT canonical_name, stats['output_rows'] AS output_rows FROM canonical_index WHERE canonical_name IS NOT NULL AND stats['output_rows'] > 0")
@@ -70,8 +70,10 @@ def s11_catalog(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT 'train' AS name, count(*) AS n FROM train UNION ALL SELECT 'val', count(*) FROM val UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'lineitem', count(*) FROM lineitem")
 def s12_counts(spark: SparkSession, d: str) -> DataFrame:
-    parts = [table(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), "n") for t in ("train", "val", "documents", "lineitem")]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    """Row counts from the files' footers."""
+    named = {f"{d}/{t}.parquet": t for t in ("train", "val", "documents", "lineitem")}
+    name = F.regexp_extract("file", r"/([^/]+)\.parquet", 1)
+    return footers(spark, list(named)).groupBy(name.alias("name")).agg(F.sum("rows").alias("n"))
 
 
 @query("SELECT i AS id, 'Return the integer after ' || i || '.' AS question, CAST(i + 1 AS VARCHAR) AS answer FROM range(256) t(i)")
@@ -158,19 +160,23 @@ def f11_image_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 TRAIN_PATHS = "SELECT train_id, unnest(images) AS p FROM train"
+#: Parts of a path as a fold over its pieces, and a path made of them.
+PARTS = "list_reduce(list_prepend([]::VARCHAR[], list_transform(string_split({0}, '/'), lambda x: [x])), lambda a, x: CASE WHEN x[1] IN ('', '.') THEN a WHEN x[1] = '..' AND len(a) > 0 AND a[-1] <> '..' THEN a[:-2] WHEN x[1] = '..' AND {0} LIKE '/%' THEN a ELSE list_concat(a, x) END)"
 
 
-@query(
-    f"SELECT train_id, regexp_replace(regexp_replace(CASE WHEN starts_with(p, '/') THEN p ELSE '/data/bc/' || p END, '/(\\./|/)+', '/', 'g'), '/{{2,}}', '/', 'g') AS path FROM ({TRAIN_PATHS})"
-)
+@query(f"WITH a AS (SELECT train_id, p, CASE WHEN p LIKE '/%' THEN p ELSE '/data/./bc/../bc/' || p END AS q FROM ({TRAIN_PATHS})) SELECT train_id, CASE WHEN p IS NULL THEN NULL ELSE '/' || array_to_string({PARTS.format('q')}, '/') END AS path FROM a")
 def f12_absolute(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "train").select("train_id", F.explode("images").alias("p"))
-    return p.select("train_id", F.when(F.col("p").isNotNull(), paths.absolute(F.col("p"), "/data/bc")).alias("path"))
+    return p.select("train_id", paths.normal(paths.absolute(F.col("p"), "/data/./bc/../bc")).alias("path"))
 
 
-@query(f"SELECT train_id, CASE WHEN starts_with(p, '/data/bc/') THEN substr(p, 10) ELSE p END AS path FROM ({TRAIN_PATHS})")
+@query(
+    f"WITH a AS (SELECT train_id, p, {PARTS.format('p')} AS x FROM ({TRAIN_PATHS})), k AS (SELECT *, CASE WHEN x[1] IS DISTINCT FROM 'images' THEN 0 WHEN x[2] IS DISTINCT FROM 'common' THEN 1 ELSE 2 END AS same FROM a) "
+    "SELECT train_id, CASE WHEN p IS NULL THEN NULL WHEN len(x) = 2 AND same = 2 THEN '.' ELSE array_to_string(list_concat(['..', '..'][:2 - same], x[same + 1:]), '/') END AS path FROM k"
+)
 def f13_relative(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "train").select("train_id", F.explode("images").alias("p")).select("train_id", paths.relative(F.col("p"), "/data/bc").alias("path"))
+    p = table(spark, d, "train").select("train_id", F.explode("images").alias("p"))
+    return p.select("train_id", paths.relative(F.col("p"), "images/common").alias("path"))
 
 
 @query("SELECT train_id, list_transform(images, lambda p: replace(p, 'images/chunk_', 'frames/chunk_')) AS images FROM train")
@@ -190,12 +196,18 @@ def f15_missing_images(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "SELECT coalesce(nullif(channel, ''), 'none') AS game, count(*) AS n, CAST(sum(coalesce(len(images), 0)) AS BIGINT) AS images, count(*) FILTER (WHERE messages IS NULL OR images IS NULL) AS lacking FROM train GROUP BY 1"
+    "SELECT name AS game, name AS channel, count(*) AS n, CAST(coalesce(sum(len(images)), 0) AS BIGINT) AS images, max(refused) AS refused FROM (SELECT 'train' AS name, messages, images FROM train UNION ALL SELECT 'val', messages, images FROM val) t "
+    "JOIN (SELECT 'train' AS name, count(*) FILTER (WHERE messages IS NULL OR images IS NULL) AS refused FROM train UNION ALL SELECT 'val', count(*) FILTER (WHERE messages IS NULL OR images IS NULL) FROM val) r USING (name) WHERE messages IS NOT NULL AND images IS NOT NULL GROUP BY name"
 )
 def f16_view(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "train").withColumn("game", F.coalesce(F.nullif("channel", F.lit("")), F.lit("none")))
-    n = F.sum(F.when(F.col("images").isNotNull(), F.size("images")).otherwise(0).cast("bigint"))
-    return t.groupBy("game").agg(F.count("*").alias("n"), n.alias("images"), F.count_if(F.col("messages").isNull() | F.col("images").isNull()).alias("lacking"))
+    """Rows and images of each view; rows that lack messages or images aren't in it (with `strict` they are an error) and are counted."""
+    seen, lost = [], []
+    for name in ("train", "val"):
+        rows = table(spark, d, name).select("messages", "images", "game", "channel")
+        seen.append(split.view(rows, name).select("game", "channel", F.size("images").alias("k")))
+        lost.append(rows.agg(F.count_if(F.col("messages").isNull() | F.col("images").isNull()).alias("refused")).select(F.lit(name).alias("game"), "refused"))
+    counts = seen[0].union(seen[1]).groupBy("game", "channel").agg(F.count("*").alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("images"))
+    return counts.join(lost[0].union(lost[1]), "game")
 
 
 @query("SELECT doc_id, source FROM documents WHERE source IS NOT NULL AND source NOT LIKE '%\\_notes' ESCAPE '\\' AND source NOT IN ('run_reports', 'config_dump')")
@@ -210,10 +222,12 @@ def f18_overlength(spark: SparkSession, d: str) -> DataFrame:
     return t.groupBy(split.overlength(F.col("n_chars"), 4096).alias("over")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("SELECT count(*) FILTER (WHERE n_chars <= 4096) AS kept, count(*) FILTER (WHERE n_chars > 4096) AS dropped, count(*) FILTER (WHERE n_chars IS NULL) AS without FROM documents")
+@query(
+    "SELECT source, doc_id, n_chars, CAST(NULL AS BIGINT) AS dropped FROM documents WHERE coalesce(n_chars, 0) <= 4096 UNION ALL SELECT source, NULL, NULL, count(*) FROM documents WHERE n_chars > 4096 GROUP BY source"
+)
 def f19_drop_overlength(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("n_chars")
-    return table(spark, d, "documents").agg(F.count_if(n <= 4096).alias("kept"), F.count_if(n > 4096).alias("dropped"), F.count_if(n.isNull()).alias("without"))
+    """The rows that aren't too long (a null length counts as 0) and, for each source that lost some, a line that says how many."""
+    return split.drop_overlength(table(spark, d, "documents").select("source", "doc_id", "n_chars"), "n_chars", 4096, "source")
 
 
 @query("SELECT dataset, shard, row_index, max(exported_at) AS exported_at, count(*) AS deliveries FROM raw_trajectories WHERE shard IS NOT NULL AND row_index IS NOT NULL GROUP BY dataset, shard, row_index")
@@ -226,14 +240,21 @@ def f23_public_rows(spark: SparkSession, d: str) -> DataFrame:
 def j02_config_catalog(spark: SparkSession, d: str) -> DataFrame:
     names = _raw(spark, d).select("dataset").where("dataset IS NOT NULL").distinct()
     catalog = table(spark, d, "canonical_index").select(F.col("canonical_name").alias("dataset"), "domain", F.lit(True).alias("found"))
-    return names.join(F.broadcast(catalog), "dataset", "left").select("dataset", F.coalesce("found", F.lit(False)).alias("listed"), "domain")
+    return names.join(small_broadcast(catalog), "dataset", "left").select("dataset", F.coalesce("found", F.lit(False)).alias("listed"), "domain")
 
 
-@query("WITH m AS (SELECT DISTINCT '/data/' || shard AS path, dataset FROM raw_trajectories WHERE dataset IS NOT NULL) SELECT m.path, m.dataset, c.domain FROM m JOIN (SELECT '/data/' || canonical_name || '-00000' AS path, domain FROM canonical_index) c USING (path)")
+@query(
+    "WITH m AS (SELECT DISTINCT '/data/' || shard AS path, dataset FROM raw_trajectories WHERE dataset IS NOT NULL), s AS (SELECT DISTINCT shard FROM raw_trajectories), "
+    "c AS (SELECT '/data/' || shard AS path, domain FROM s JOIN canonical_index ON regexp_replace(shard, '-[0-9]+$', '') = canonical_name) SELECT m.path, m.dataset, c.domain FROM m JOIN c USING (path)"
+)
 def j03_source_by_path(spark: SparkSession, d: str) -> DataFrame:
-    m = _raw(spark, d).where("dataset IS NOT NULL").select(F.concat(F.lit("/data/"), "shard").alias("path"), "dataset").distinct()
-    c = table(spark, d, "canonical_index").select(F.concat(F.lit("/data/"), "canonical_name", F.lit("-00000")).alias("path"), "domain")
-    return m.join(F.broadcast(c), "path").select("path", "dataset", "domain")
+    """Sources joined with a manifest of all shards by path; the manifest names the shards of each catalog entry."""
+    path = F.concat(F.lit("/data/"), "shard").alias("path")
+    m = _raw(spark, d).where("dataset IS NOT NULL").select(path, "dataset").distinct()
+    catalog = table(spark, d, "canonical_index").select("canonical_name", "domain")
+    shards = _raw(spark, d).select("shard").distinct().withColumn("canonical_name", F.regexp_replace("shard", "-[0-9]+$", ""))
+    manifest = shards.join(small_broadcast(catalog), "canonical_name").select(path, "domain")
+    return m.join(manifest, "path").select("path", "dataset", "domain")
 
 
 PAIRS = f"""t AS ({TRAIN_TURNS}), u AS (SELECT train_id, turn, m['role'] AS role, m['content'] AS content FROM t),
@@ -242,18 +263,19 @@ PAIRS = f"""t AS ({TRAIN_TURNS}), u AS (SELECT train_id, turn, m['role'] AS role
  pairs AS (SELECT train_id, turn, row_number() OVER (PARTITION BY train_id ORDER BY turn) - 1 AS pair, users_so_far, content AS question, answer FROM w WHERE role = 'user' AND next_role = 'assistant')"""
 
 
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    return chat.answered(chat.turns(table(spark, d, "train"), "train_id"), "train_id")
+def _pairs(spark: SparkSession, d: str, *keep: str, texts: bool = False) -> DataFrame:
+    return chat.answered(table(spark, d, "train"), "train_id", *keep, texts=texts)
 
 
 @query(f"WITH {PAIRS} SELECT train_id, turn, question, answer FROM pairs")
 def j04_answered_turns(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).select("train_id", F.col("turn").cast("bigint").alias("turn"), "question", "answer")
+    return _pairs(spark, d, texts=True).select("train_id", F.col("turn").cast("bigint").alias("turn"), "question", "answer")
 
 
 @query(f"WITH {PAIRS} SELECT train_id, count(*) AS pairs FROM pairs GROUP BY train_id")
 def w01_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).groupBy("train_id").agg(F.count("*").alias("pairs"))
+    pairs = F.size(chat.answered_in(F.col("messages"), texts=False)).cast("bigint")
+    return table(spark, d, "train").select("train_id", pairs.alias("pairs")).where("pairs > 0")
 
 
 @query(f"WITH {PAIRS} SELECT train_id, turn, pair FROM pairs WHERE pair < 3")
@@ -263,16 +285,16 @@ def w03_first_turns(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {PAIRS} SELECT p.train_id, pair, CAST(len(list_slice(images, 1, users_so_far)) AS INTEGER) AS n_images FROM pairs p JOIN train USING (train_id)")
 def w04_images_so_far(spark: SparkSession, d: str) -> DataFrame:
-    images = table(spark, d, "train").select("train_id", "images")
-    n = F.when(F.col("images").isNotNull(), F.size(F.slice("images", F.lit(1), F.col("users_so_far").cast("int"))))
-    return _pairs(spark, d).join(images, "train_id").select("train_id", F.col("pair").cast("bigint").alias("pair"), n.alias("n_images"))
+    rows = table(spark, d, "train").withColumn("n", F.when(F.col("images").isNotNull(), F.size("images")))
+    n = F.least("n", F.col("users_so_far").cast("int"))
+    n = F.when(F.col("n").isNotNull(), n)
+    return chat.answered(rows, "train_id", "n", texts=False).select("train_id", F.col("pair").cast("bigint").alias("pair"), n.alias("n_images"))
 
 
 @query(f"WITH {PAIRS} SELECT p.train_id, pair, list_transform(list_slice(messages, 1, turn + 1), lambda x: x['role']) AS context FROM pairs p JOIN train USING (train_id)")
 def w05_context(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "train").select("train_id", "messages")
-    roles = F.transform(chat.context(F.col("messages"), F.col("turn")), lambda m: m["role"])
-    return _pairs(spark, d).join(rows, "train_id").select("train_id", F.col("pair").cast("bigint").alias("pair"), roles.alias("context"))
+    rows = table(spark, d, "train").withColumn("roles", F.transform("messages", lambda m: m["role"]))
+    return chat.answered(rows, "train_id", "roles", texts=False).select("train_id", F.col("pair").cast("bigint").alias("pair"), chat.context(F.col("roles"), F.col("turn")).alias("context"))
 
 
 @query(
@@ -310,11 +332,11 @@ def j06_rank_overlap(spark: SparkSession, d: str) -> DataFrame:
     return j.select("shard", "rank", (F.greatest("start", a) - F.col("start")).alias("skip"), (F.least(F.col("start") + F.col("n"), b) - F.greatest("start", a)).alias("take"))
 
 
-@query(f"WITH {SHARDS}, t AS (SELECT sum(n) AS total FROM s), q AS (SELECT i AS pos, CAST(i * 997 % total AS BIGINT) AS idx FROM range(100) x(i), t) SELECT pos, idx, shard FROM q JOIN c ON idx >= start AND idx < start + n")
+@query(f"WITH {SHARDS}, t AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM s), q AS (SELECT i * 50 AS idx, i AS pos FROM t, range((total + 49) // 50) x(i)) SELECT pos, idx, shard FROM q JOIN c ON idx >= start AND idx < start + n")
 def j07_chunk_lookup(spark: SparkSession, d: str) -> DataFrame:
     c = _shards(spark, d)
-    total = c.agg(F.sum("n")).first()[0] or 1
-    q = spark.range(100).select(F.col("id").alias("pos"), (F.col("id") * 997 % total).alias("idx"))
+    total = c.agg(F.sum("n")).first()[0] or 0
+    q = spark.range(0, total, 50).select(F.expr("id div 50").alias("pos"), F.col("id").alias("idx"))
     return locate(q, "idx", c, "start", "n").select("pos", "idx", "shard")
 
 
@@ -349,10 +371,16 @@ def a03_conversion_totals(spark: SparkSession, d: str) -> DataFrame:
     return t.rollup("shard").agg(F.count("*").alias("rows"), F.count_if("ok").alias("converted"), F.coalesce(F.sum("i"), F.lit(0)).alias("images"), F.coalesce(F.sum("s"), F.lit(0)).alias("turns_skipped"))
 
 
-@query("SELECT count(*) AS lines, count(*) = 38 AS ok FROM (SELECT canonical_name FROM canonical_index UNION ALL SELECT channel FROM channels WHERE false)")
+@query(
+    "WITH u AS (SELECT package, count(*) AS lines FROM val WHERE package IS NOT NULL GROUP BY package), n AS (SELECT count(*) AS expected FROM val WHERE package IS NOT NULL) "
+    "SELECT CAST(sum(lines) AS BIGINT) AS lines, max(expected) AS expected, sum(lines) = max(expected) AS ok FROM u, n"
+)
 def a21_union_count(spark: SparkSession, d: str) -> DataFrame:
-    u = table(spark, d, "canonical_index").select("canonical_name").union(table(spark, d, "channels").where("false").select("channel"))
-    return u.agg(F.count("*").alias("lines")).withColumn("ok", F.col("lines") == 38)
+    """The lines of the union of all packages' parts against the lines of the table they were cut from."""
+    v = table(spark, d, "val").where("package IS NOT NULL").select("val_id", "package")
+    packages = sorted(r.package for r in small_rows(v.select("package").distinct()))
+    union = split.union_all([(p, v.where(F.col("package") == p).select("val_id")) for p in packages])
+    return reports.counted_against(union, v)
 
 
 ORDERED = f"o AS (SELECT train_id, channel, row_number() OVER (ORDER BY sha256('{SEED}:' || train_id), train_id) - 1 AS place FROM train)"
@@ -402,16 +430,23 @@ def o08_fraction_of_shards(spark: SparkSession, d: str) -> DataFrame:
     return s.where("before < want").select("dataset", "shard", F.least(F.col("n"), F.col("want") - F.col("before")).alias("take"))
 
 
-@query("SELECT run_id, max(step) AS step FROM metric_log WHERE loss IS NOT NULL AND NOT isnan(loss) AND grad_norm IS NOT NULL GROUP BY run_id")
+@query(
+    "WITH c AS (SELECT run_id, step, bool_or(loss IS NOT NULL AND NOT isnan(loss)) AS loss, bool_or(grad_norm IS NOT NULL) AS norm FROM metric_log WHERE step IS NOT NULL GROUP BY run_id, step), "
+    "v AS (SELECT run_id, max(step) FILTER (WHERE loss AND norm) AS step FROM c GROUP BY run_id), "
+    "w AS (SELECT c.run_id, c.step, CASE WHEN NOT loss THEN 'no loss' ELSE 'no gradient norm' END AS reason, row_number() OVER (PARTITION BY c.run_id ORDER BY c.step DESC) AS r FROM c JOIN v ON v.run_id = c.run_id AND (v.step IS NULL OR c.step > v.step)) "
+    "SELECT v.run_id, v.step, (SELECT count(*) FROM w WHERE w.run_id = v.run_id) AS skipped, (SELECT string_agg('checkpoint-' || w.step || ': ' || reason, '; ' ORDER BY r) FROM w WHERE w.run_id = v.run_id AND r <= 3) AS reasons FROM v"
+)
 def o09_latest_valid(spark: SparkSession, d: str) -> DataFrame:
-    ok = table(spark, d, "metric_log").where("loss IS NOT NULL AND NOT isnan(loss) AND grad_norm IS NOT NULL")
-    return ok.groupBy("run_id").agg(F.max("step").alias("step"))
+    """The latest checkpoint of each run that is valid, how many later ones aren't, and why the last three of them aren't."""
+    log = table(spark, d, "metric_log").where("step IS NOT NULL")
+    c = log.groupBy("run_id", "step").agg(F.bool_or(F.col("loss").isNotNull() & ~F.isnan("loss")).alias("loss"), F.bool_or(F.col("grad_norm").isNotNull()).alias("norm"))
+    wrong = F.when(~F.col("loss"), "no loss").when(~F.col("norm"), "no gradient norm")
+    return resume.latest_valid_of(c.select("run_id", "step", wrong.alias("wrong")), "run_id", "step", "wrong")
 
 
-@query("SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS place FROM part ORDER BY place LIMIT 200")
+@query("SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size DESC, p_partkey) - 1 AS place FROM part")
 def o10_largest_first(spark: SparkSession, d: str) -> DataFrame:
-    top = table(spark, d, "part").select("p_partkey", "p_size").orderBy(F.desc("p_size"), "p_partkey").limit(200)
-    return top.select("p_partkey", "p_size", F.row_number().over(W.orderBy(F.desc("p_size"), "p_partkey")).cast("bigint").alias("place"))
+    return with_row_index(table(spark, d, "part").select("p_partkey", "p_size"), F.desc("p_size"), "p_partkey", name="place")
 
 
 @query("SELECT dataset, min(shard) AS first, max(shard) AS last FROM raw_trajectories WHERE dataset IS NOT NULL GROUP BY dataset")
@@ -484,5 +519,5 @@ def c25_arrays(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"SELECT train_id, sha256('{SEED}:' || train_id) AS key FROM train")
-def c18_order_key(spark: SparkSession, d: str) -> DataFrame:
+def o01_order_key(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "train").select("train_id", order_key(SEED, F.col("train_id")).alias("key"))

@@ -18,7 +18,13 @@ BODY = r"regexp_extract(pred, '<\|action_start\|>(.*?)<\|action_end\|>', 1, 's')
 STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 PRE = r"regexp_extract({0}, '<\|action_start\|>\s*(-?\d+)\s+(-?\d+)\s+(-?\d+)', {1})"
 ONE = r"regexp_extract({0}, '<\|action_start\|>(-?\d+) (-?\d+) (-?\d+)(.*?)<\|action_end\|>', {1}, 's')"
-ASCII = "regexp_replace({0}, '[^\\x00-\\x7F]', '?', 'g')"
+#: Edits of each pair of texts. DuckDB's levenshtein counts bytes, so for texts with signs beyond ASCII the table of edits is filled row by row.
+EDITS = f"""pairs AS (SELECT DISTINCT {STRIP.format("pred")} AS a, {STRIP.format("gt")} AS b FROM eval_records WHERE pred IS NOT NULL AND gt IS NOT NULL),
+ wide AS (SELECT a, b, list_transform(range(1, length(b) + 1), lambda j: substr(b, j, 1)) AS y FROM pairs WHERE regexp_matches(a || b, '[^\x01-\x7F]')),
+ dp AS (SELECT a, b, y, 0 AS i, range(0, length(b) + 1) AS d FROM wide UNION ALL
+  SELECT a, b, y, i + 1, list_reduce(list_prepend([CAST(i + 1 AS BIGINT)], list_transform(range(1, length(b) + 1), lambda j: [least(d[j + 1] + 1, d[j] + CASE WHEN y[j] = substr(a, i + 1, 1) THEN 0 ELSE 1 END)])),
+   lambda done, x: list_append(done, least(done[-1] + 1, x[1]))) FROM dp WHERE i < length(a)),
+ edits AS (SELECT a, b, levenshtein(a, b) AS e FROM pairs WHERE NOT regexp_matches(a || b, '[^\x01-\x7F]') UNION ALL SELECT a, b, d[-1] FROM dp WHERE i = length(a))"""
 FLAGS = f"""contains(pred, '{S}') AS contains_start, contains(pred, '{E}') AS contains_end, {STRIP.format(BODY)} <> '' AS well_formed,
  regexp_matches(split_part({BODY}, '{P}', 1), '^\\s*-?\\d+\\s+-?\\d+\\s+-?\\d+\\s*$') AS parses_xyz, contains({BODY}, '{P}') AS has_action_sep, {STRIP.format("pred")} = {STRIP.format("gt")} AS exact_match"""
 
@@ -63,11 +69,9 @@ def c08_exact_match(spark: SparkSession, d: str) -> DataFrame:
     return _eval(spark, d).select("traj", "turn", (A.strip(F.col("pred")) == A.strip(F.col("gt"))).alias("exact_match"))
 
 
-@query(f"SELECT traj, turn, CAST(levenshtein({ASCII.format(STRIP.format('pred'))}, {ASCII.format(STRIP.format('gt'))}) AS INTEGER) AS edits FROM eval_records")
+@query(f"WITH RECURSIVE {EDITS} SELECT traj, turn, CAST(e AS INTEGER) AS edits FROM eval_records LEFT JOIN edits ON {STRIP.format('pred')} = a AND {STRIP.format('gt')} = b")
 def c09_edit_distance(spark: SparkSession, d: str) -> DataFrame:
-    # Signs beyond ASCII become one sign each on both sides, as the check counts bytes and this engine code points.
-    fold = lambda c: F.regexp_replace(A.strip(F.col(c)), r"[^\x00-\x7F]", "?")
-    return _eval(spark, d).select("traj", "turn", F.levenshtein(fold("pred"), fold("gt")).alias("edits"))
+    return _eval(spark, d).select("traj", "turn", F.levenshtein(A.strip(F.col("pred")), A.strip(F.col("gt"))).alias("edits"))
 
 
 MAGS = f"""m AS (SELECT *, CASE WHEN {PRE.format('pred', 1)} <> '' AND {PRE.format('gt', 1)} <> '' THEN abs(CAST({PRE.format('pred', 1)} AS INT)) + abs(CAST({PRE.format('pred', 2)} AS INT)) END AS pred_mag,
@@ -94,10 +98,15 @@ SUMS = """count(*) AS n, count(pred_mag) AS pairs, CAST(coalesce(sum(pred_mag),
 RATES = "round(pred_sum / greatest({0}, 1), 6) AS pred_mean, round(gt_sum / greatest({0}, 1), 6) AS gt_mean, round(pred_sum / greatest(gt_sum, 1), 6) AS ratio, round(pred_still / greatest({0}, 1), 6) AS still_share, round(moved_still / greatest(gt_moved, 1), 6) AS moved_still_share"
 
 
-@query(f"SELECT count(pred) AS n, count(*) FILTER (WHERE pred IS NULL) AS errors, {', '.join(f'count(*) FILTER (WHERE {c}) AS {c}' for c in ('contains_start', 'contains_end', 'well_formed', 'parses_xyz', 'has_action_sep', 'exact_match'))}, round(avg(e), 6) AS mean_edit_distance FROM (SELECT pred, {FLAGS}, levenshtein({ASCII.format(STRIP.format('pred'))}, {ASCII.format(STRIP.format('gt'))}) AS e FROM eval_records)")
+@query(f"WITH RECURSIVE {EDITS} SELECT count(pred) AS n, count(*) FILTER (WHERE pred IS NULL) AS errors, {', '.join(f'count(*) FILTER (WHERE {c}) AS {c}' for c in ('contains_start', 'contains_end', 'well_formed', 'parses_xyz', 'has_action_sep', 'exact_match'))}, round(avg(e), 6) AS mean_edit_distance FROM (SELECT pred, {FLAGS}, e FROM eval_records LEFT JOIN edits ON {STRIP.format('pred')} = a AND {STRIP.format('gt')} = b)")
 def a07_format_summary(spark: SparkSession, d: str) -> DataFrame:
-    fold = lambda c: F.regexp_replace(F.col(c), r"[^\x00-\x7F]", "?")
-    return reports.format_summary(_eval(spark, d).withColumns({"pred": fold("pred"), "gt": fold("gt")}))
+    return reports.format_summary(_eval(spark, d))
+
+
+@query(f"SELECT traj, count(*) AS n, (2000 * count(*) FILTER (WHERE {STRIP.format(BODY)} <> '') + count(pred)) // nullif(2 * count(pred), 0) / 10 AS well_formed_pct FROM eval_records GROUP BY traj")
+def c20_percent(spark: SparkSession, d: str) -> DataFrame:
+    """Percent of well-formed predictions by trajectory to one place; null where there is no prediction."""
+    return _eval(spark, d).groupBy("traj").agg(F.count("*").alias("n"), reports.percent(F.count_if(A.well_formed(F.col("pred"))), F.count("pred")).alias("well_formed_pct"))
 
 
 @query(f"WITH {MAGS}, s AS (SELECT {SUMS} FROM m WHERE pred IS NOT NULL) SELECT *, {RATES.format('n')} FROM s")
@@ -209,10 +218,17 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
     return ok.groupBy("run_id", "step").agg(F.max("loss").alias("loss"), F.max("grad_norm").alias("grad_norm"))
 
 
-@query(f"WITH {SERIES}, w AS (SELECT *, CASE WHEN step % 5 = 0 THEN 0 ELSE 1 + step % 7 END AS weight FROM l) SELECT run_id, round(sum(loss * weight) / nullif(sum(weight), 0), 9) AS loss, CAST(sum(weight) AS BIGINT) AS tokens, count(*) FILTER (WHERE weight > 0) AS batches FROM w GROUP BY run_id")
+WEIGHT = "coalesce(trained_tokens_ember_fall, 0) + coalesce(trained_tokens_tide_watch, 0) + coalesce(trained_tokens_scene_counting, 0)"
+
+
+@query(
+    f"WITH b AS (SELECT run_id, step, loss, {WEIGHT} AS weight, count(*) AS copies FROM metric_log WHERE loss IS NOT NULL AND NOT isnan(loss) GROUP BY ALL) "
+    "SELECT run_id, round(sum(loss * weight) / nullif(sum(weight), 0), 9) AS loss, CAST(sum(weight) AS BIGINT) AS tokens, count(*) AS batches, CAST(sum(copies) - count(*) AS BIGINT) AS replayed FROM b GROUP BY run_id"
+)
 def a16_weighted_loss(spark: SparkSession, d: str) -> DataFrame:
-    w = _series(spark, d).withColumn("weight", F.when(F.col("step") % 5 == 0, 0).otherwise(1 + F.col("step") % 7))
-    return w.groupBy("run_id").agg(F.round(F.sum(F.col("loss") * F.col("weight")) / F.nullif(F.sum("weight"), F.lit(0)), 9).alias("loss"), F.sum("weight").alias("tokens"), F.count_if(F.col("weight") > 0).alias("batches"))
+    """Loss weighted by supervised tokens; a batch logged again is a replay and has weight 0."""
+    ok = table(spark, d, "metric_log").where("loss IS NOT NULL AND NOT isnan(loss)").withColumn("weight", F.expr(WEIGHT))
+    return reports.weighted_loss(ok, "run_id", ["step", "loss", "weight"])
 
 
 @query("WITH t AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS step, user_id % 4 AS rank, sum(value) AS whole, sum(value) FILTER (WHERE event_type = 'view') AS part FROM events GROUP BY ALL), m AS (SELECT step, max(whole) AS whole, max(coalesce(part, 0)) AS part FROM t GROUP BY step) SELECT step, round(whole, 6) AS whole, round(greatest(0, whole - part), 6) AS rest, round(greatest(0, whole - part) / nullif(whole, 0), 6) AS share FROM m")
@@ -260,9 +276,14 @@ def c23_warm_up(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "metric_log").select("step").distinct().select("step", F.round(logs.warm_up(F.col("step"), 1e-7, 1e-5, 100), 12).alias("lr"))
 
 
-@query("SELECT run_id, min(step) AS first, max(step) AS last, count(DISTINCT step) AS steps FROM metric_log GROUP BY run_id")
+@query(
+    "SELECT run_id, step, 'train/' || name AS name, value FROM (UNPIVOT (SELECT run_id, step, loss, eval_loss, mtp_1_loss, grad_norm, lr, CAST(global_step AS DOUBLE) AS global_step, CAST(trained_tokens_ember_fall AS DOUBLE) AS trained_tokens_ember_fall, "
+    "CAST(trained_tokens_tide_watch AS DOUBLE) AS trained_tokens_tide_watch, CAST(trained_tokens_scene_counting AS DOUBLE) AS trained_tokens_scene_counting FROM metric_log) "
+    "ON loss, eval_loss, mtp_1_loss, grad_norm, lr, global_step, trained_tokens_ember_fall, trained_tokens_tide_watch, trained_tokens_scene_counting INTO NAME name VALUE value) WHERE NOT isnan(value)"
+)
 def k09_metric_push(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "metric_log").groupBy("run_id").agg(F.min("step").alias("first"), F.max("step").alias("last"), F.count_distinct("step").alias("steps"))
+    """What goes to a tracker: every numeric value of the log under its name with a prefix, with its step."""
+    return logs.numeric_pairs(table(spark, d, "metric_log"), ["run_id", "step"])
 
 
 @query(f"SELECT traj, turn, len(string_split({BODY}, '{P}')) - 1 AS segments FROM eval_records WHERE {STRIP.format(BODY)} <> ''")
@@ -280,5 +301,14 @@ def c14_visual_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"SELECT doc_id, CASE WHEN regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') = '' THEN 0 ELSE len(regexp_split_to_array(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\s+')) END AS tokens FROM documents")
-def c16_word_proxy(spark: SparkSession, d: str) -> DataFrame:
+def c16_words(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", tokens.word_count(F.col("text")).alias("tokens"))
+
+
+TEMPLATE = "list_transform(messages, lambda m: '<|im_start|>' || coalesce(m['role'], '') || chr(10) || coalesce(m['content'], '') || '<|im_end|>' || chr(10))"
+
+
+@query(rf"WITH r AS (SELECT train_id, regexp_replace(coalesce(array_to_string({TEMPLATE}, ''), ''), '^\s+|\s+$', '', 'g') AS t FROM train) SELECT train_id, CASE WHEN t = '' THEN 0 ELSE len(regexp_split_to_array(t, '\s+')) END AS tokens FROM r")
+def c16_chat_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens of each conversation in its chat template, by the proxy of white space; `tokens.token_count` takes a tokenizer instead."""
+    return table(spark, d, "train").select("train_id", tokens.word_count(chat.rendered(F.col("messages"))).alias("tokens"))

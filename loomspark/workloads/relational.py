@@ -18,7 +18,7 @@ def spark_pricing_summary(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT n_name, count(DISTINCT o_orderkey) AS orders, round(sum(l_extendedprice), 2) AS price FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 def spark_orders_by_nation(spark: SparkSession, d: str) -> DataFrame:
     c, o, i, n = (table(spark, d, x) for x in ("customer", "orders", "lineitem", "nation"))
-    j = o.join(i, o.o_orderkey == i.l_orderkey).join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = o.join(i, o.o_orderkey == i.l_orderkey).join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return j.groupBy("n_name").agg(F.count_distinct("o_orderkey").alias("orders"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 
 

@@ -39,8 +39,25 @@ def test_chat(spark):
     df = spark.createDataFrame([(1, turns, ["i"]), (2, None, ["i"]), (3, [], ["i"]), (4, [("gpt", "")], ["i"]), (5, turns, None)], "id int, conversations array<struct<from string, value string>>, images array<string>")
     got = {r.id: [tuple(m) for m in r.messages] for r in chat.convert(df).collect()}
     assert got == {1: [("user", "a"), ("assistant", ""), ("assistant", "b")]}
-    t = chat.turns(spark.createDataFrame([(1, [("user", "q"), ("user", "r"), ("assistant", "s"), ("user", "t")]), (2, None)], "id int, messages array<struct<role string, content string>>"), "id")
-    assert [(r.turn, r.pair, r.users_so_far, r.question, r.answer) for r in chat.answered(t, "id").collect()] == [(1, 0, 2, "r", "s")]
+    rows = spark.createDataFrame([(1, [("user", "q"), ("user", "r"), ("assistant", "s"), ("user", "t")]), (2, None), (3, []), (4, [("user", "a"), ("assistant", None), None, ("user", "b"), (None, "c"), ("user", "d"), ("assistant", "e")])], "id int, messages array<struct<role string, content string>>")
+    pairs = chat.answered(rows, "id")
+    assert [(r.id, r.turn, r.pair, r.users_so_far, r.question, r.answer) for r in pairs.orderBy("id", "pair").collect()] == [(1, 1, 0, 2, "r", "s"), (4, 0, 0, 1, "a", None), (4, 5, 1, 3, "d", "e")]
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert [r.t for r in rows.orderBy("id").select(chat.rendered(F.col("messages")).alias("t")).collect()][1:3] == ["", ""]
+    assert rows.where("id = 1").select(chat.rendered(F.slice("messages", 1, 1))).first()[0] == "<|im_start|>user\nq<|im_end|>\n"
+
+
+def test_normal_and_relative_paths(spark):
+    import posixpath
+
+    cases = ["a/b/../c", "/../a//b/./c/", "../../x/y", "a/../..", "/", ".", "", "a/b", "/a/b/c", "/a/x", "//a/./b/../b/c", None]
+    df = spark.createDataFrame([(c,) for c in cases], "p string")
+    got = [tuple(r) for r in df.select("p", paths.normal(F.col("p"))).collect()]
+    assert got == [(c, None if c is None else ("/" + posixpath.normpath(c).lstrip("/") if c.startswith("/") else posixpath.normpath(c))) for c in cases]
+    for base in ("/a/b", "/"):
+        part = [c for c in cases if c and c.startswith("/")]
+        rel = [r[0] for r in spark.createDataFrame([(c,) for c in part], "p string").select(paths.relative(F.col("p"), base)).collect()]
+        assert rel == [posixpath.relpath("/" + c.lstrip("/"), base) for c in part]
 
 
 def test_frames(spark):
@@ -90,3 +107,13 @@ def test_image_heads(spark):
     assert [images.image_size(x) for x in (jpeg, png, jpeg[:20], b"", None, b"GIF89a", b"\xff\xd8\xff\xc0\x00\x11\x08\x00\x00\x00\x00\x03")] == [(1280, 720), (960, 544), None, None, None, None, None]
     df = spark.createDataFrame([(bytearray(jpeg),), (None,)], "b binary")
     assert [r[0] for r in df.select(images.dimensions("b")).collect()] == ["1280x720", None]
+
+
+def test_games_by_join_are_those_of_the_map(spark):
+    channels = spark.createDataFrame([("ember_fall", ["Ember Fall HD", None]), ("tide_watch", None), (None, ["x"])], "channel string, aliases array<string>")
+    df = spark.createDataFrame([("EMBER-fall", None), (" ember fall hd", "tide_watch"), ("?", "Tide Watch"), (None, "nothing"), ("", None)], "channel string, game string")
+    keys = names.channel_keys(channels)
+    want = [r[0] for r in df.select(names.known_game(keys, F.col("channel"), F.col("game"))).collect()]
+    assert want == ["ember_fall", "ember_fall", "tide_watch", None, None]
+    assert [r.known for r in names.with_known_game(df, channels, "known").collect()] == want
+    assert [r.known for r in names.with_known_game(df, channels.where("false"), "known").collect()] == [None] * 5

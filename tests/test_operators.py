@@ -123,6 +123,9 @@ def test_resume(spark, tmp_path):
     whole = [r.k for r in order.orderBy("place").collect()]
     for k in (0, 1, 17, 50):
         assert [r.k for r in resume.remaining(order, "place", k).orderBy("place").collect()] == whole[k:]
+    whole = resume.State(ids[0], 9, 2, {"a": {"occurrence": 3}}, [[0, "a", 2]], [[7, 120]])
+    resume.save_state(str(tmp_path), whole)
+    assert resume.load_states(str(tmp_path), ids)[0] == whole
     a = spark.createDataFrame([(1, 5), (2, 6)], "k int, n int")
     assert resume.check_lengths(a, a, ["k"], "n").count() == 0
     assert resume.check_lengths(a, a.where("k = 1").withColumn("n", F.lit(4)), ["k"], "n").count() == 2
@@ -147,3 +150,35 @@ def test_spread_join_equals_join(spark):
         order = sorted(want.columns)
         assert sorted(map(tuple, got.select(order).collect())) == sorted(map(tuple, want.select(order).collect()))
     assert spread_join(a.where("false"), b, ["k", "j"]).count() == 0
+
+
+def test_finite_rounds(spark):
+    df = spark.createDataFrame([(0, 0, 8, 5), (0, 1, 8, 6), (0, 2, 3, 1), (1, 0, 2, 9)], "rank int, round bigint, rows bigint, weight bigint")
+    got = sorted(map(tuple, packing.finite_rounds(df, "rank", "round", {"rows": 0, "weight": 0}).collect()))
+    assert got == [(0, 0, 8, 5, False), (0, 1, 8, 6, False), (0, 2, 3, 1, False), (1, 0, 2, 9, False), (1, 1, 0, 0, True), (1, 2, 0, 0, True)]
+    assert packing.finite_rounds(df.where("false"), "rank", "round", {"rows": 0, "weight": 0}).count() == 0
+
+
+def test_latest_valid_of(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, None), ("a", 3, "x"), ("a", 4, "y"), ("b", 1, "z"), ("b", 5, "q"), ("b", 2, "r"), ("b", 3, "s"), ("c", 1, None)], "run string, n bigint, wrong string")
+    got = {r.run: (r.n, r.skipped, r.reasons) for r in resume.latest_valid_of(df, "run", "n", "wrong").collect()}
+    assert got == {"a": (2, 2, "checkpoint-4: y; checkpoint-3: x"), "b": (None, 4, "checkpoint-5: q; checkpoint-3: s; checkpoint-2: r"), "c": (1, 0, None)}
+
+
+def test_view(spark):
+    df = spark.createDataFrame([([1], ["a"], "g", None), (None, ["a"], "g", "c"), ([1], None, None, None)], "messages array<int>, images array<string>, game string, channel string")
+    assert [(r.game, r.channel) for r in split.view(df, "n").collect()] == [("n", "n")]
+    with pytest.raises(Exception, match="lacks messages or images"):
+        split.view(df, "n", strict=True).collect()
+
+
+def test_components_with_a_hub_of_half_of_all_nodes(spark):
+    """A star of many nodes, a long chain that ends in it, and pairs apart; the hub's edges come from every partition."""
+    star = [(5000, i) for i in range(3000)]
+    chain = [(10_000 + i, 10_001 + i) for i in range(60)] + [(10_060, 17)]
+    pairs = [(20_000 + 2 * i, 20_001 + 2 * i) for i in range(500)]
+    edges = star + chain + pairs
+    random.Random(2).shuffle(edges)
+    got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)).collect()}
+    assert {n for n, x in got.items() if x == 0} == {*range(3000), 5000, *range(10_000, 10_061)}
+    assert all(got[a] == got[b] == a for a, b in pairs) and len(got) == 3062 + 1000

@@ -53,13 +53,44 @@ def test_lines_from_an_offset(spark, tmp_path):
     assert [r.value for r in readers.read_lines(spark, str(f), 6, 19).orderBy("offset").collect()] == ["drei ü"]
 
 
-def test_line_index_is_made_anew_for_a_changed_file(tmp_path):
+def test_segments_of_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "CHUNK", 7)
+    for name, text in (("a", "one\ntwo\nthree\n"), ("b", "x\n" * 9 + "no end")):
+        (tmp_path / name).write_text(text)
+    got = readers.read_segments(spark, [(str(tmp_path / "a"), 4, None), (f"file://{tmp_path}/b", 0, 6), (str(tmp_path / "b"), 18, None)]).collect()
+    assert sorted((r.path[-1], r.offset, r.value) for r in got) == [("a", 4, "two"), ("a", 8, "three"), ("b", 0, "x"), ("b", 2, "x"), ("b", 4, "x"), ("b", 18, "no end")]
+    assert readers.read_segments(spark, []).count() == 0
+    with pytest.raises(FileNotFoundError):
+        readers.read_segments(spark, [(str(tmp_path / "gone"), 0, None)])
+
+
+def test_lines_by_index(spark, tmp_path):
     f = tmp_path / "x.jsonl"
-    f.write_text("{}\n\n{}\n")
-    first = readers.line_index(str(f), str(tmp_path / "ix"))
-    assert first[1] == 2 and readers.line_index(str(f), str(tmp_path / "ix")) == first
+    f.write_text("".join(f'{{"i": {i}, "t": "ü\u4e2d"}}\n' + ("\n  \n" if i % 3 == 0 else "") for i in range(50)), encoding="utf-8")
+    first = readers.line_index(spark, str(f), str(tmp_path / "ix"))
+    assert first[1] == 50 and readers.line_index(spark, str(f), str(tmp_path / "ix")) == first
+    refs = spark.createDataFrame([(p, r) for p, r in enumerate([49, 0, 7, 7, 13, 50, None])], "pos int, row_index bigint")
+    got = readers.rows_at(spark, str(f), str(tmp_path / "ix"), refs).orderBy("pos").collect()
+    assert [(r.pos, json.loads(r.value)["i"]) for r in got] == [(0, 49), (1, 0), (2, 7), (3, 7), (4, 13)]
     f.write_text("{}\n{}\n{}\n")
-    assert readers.line_index(str(f), str(tmp_path / "ix"))[1] == 3
+    assert readers.line_index(spark, str(f), str(tmp_path / "ix"))[1] == 3
+    with pytest.raises(FileNotFoundError):
+        readers.line_index(spark, str(tmp_path / "gone"), str(tmp_path / "ix"))
+
+
+def test_addresses_and_footers(spark, tmp_path):
+    """Rows keep the places they have in the files, in the order of the files' names, and no row is moved."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for k, n in ((2, 5), (0, 7), (1, 4)):
+        pq.write_table(pa.table({"x": list(range(100 * k, 100 * k + n))}), tmp_path / f"part {k}.parquet", row_group_size=3)
+    want = [*range(7), *range(100, 104), *range(200, 205)]
+    rows = readers.row_addresses(spark, str(tmp_path), "x")
+    assert [r.x for r in rows.orderBy("row_index").collect()] == want and [r.row_index for r in rows.orderBy("row_index").collect()] == list(range(16))
+    assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().toString() and "rangepartitioning" not in rows._jdf.queryExecution().toString()
+    groups = readers.footers(spark, [str(tmp_path)]).orderBy("ordinal").collect()
+    assert [(r.row_group, r.rows) for r in groups] == [(0, 3), (1, 3), (2, 1), (0, 3), (1, 1), (0, 3), (1, 2)]
 
 
 def test_catalog(spark, tmp_path):
@@ -91,3 +122,11 @@ def test_images_and_package(spark, tmp_path):
         sinks.package(str(rows), str(tmp_path), str(tmp_path / "q.zip"))
     got = spark.range(1).select(sinks.image_path(F.lit(3), F.lit(12), F.lit(7))).first()[0]
     assert got == "chunk_003/row_0012/07.jpg"
+
+
+def test_missing_files_and_stats(spark, tmp_path):
+    (tmp_path / "a.jpg").write_bytes(b"x")
+    df = spark.createDataFrame([("a.jpg",), ("b.jpg",), ("b.jpg",), (None,), (f"{tmp_path}/a.jpg",)], "p string")
+    assert [r.p for r in sinks.missing_files(df, "p", str(tmp_path)).collect()] == ["b.jpg"]
+    sinks.write_stats(spark.createDataFrame([(0, 5), (1, None)], "rank int, n int"), str(tmp_path / "stats"), "rank")
+    assert (tmp_path / "stats" / "_SUCCESS").exists() and json.loads(next((tmp_path / "stats" / "rank=1").glob("*.json")).read_text()) == {"n": None}
