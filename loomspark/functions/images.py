@@ -16,8 +16,19 @@ PATCH, MERGE, MIN_PIXELS, MAX_PIXELS = 16, 2, 4 * 28 * 28, 16384 * 28 * 28
 FRAME_MARKERS = {0xC0, 0xC1, 0xC2, 0xC3, 0xC5, 0xC6, 0xC7, 0xC9, 0xCA, 0xCB, 0xCD, 0xCE, 0xCF}
 
 
+#: Bytes of a file's head that are looked at first.
+HEAD = 1 << 12
+MORE = "more"
+
+
 def image_size(data: bytes | None) -> tuple[int, int] | None:
     """(width, height) from the head of a JPEG or PNG file; None for anything else, cut heads and sizes of 0."""
+    found = _size_in(data)
+    return found if isinstance(found, tuple) else None
+
+
+def _size_in(data: bytes | None) -> tuple[int, int] | str | None:
+    """The same, and MORE where the bytes end before the size."""
     if not data:
         return None
     if data[:8] == b"\x89PNG\r\n\x1a\n" and data[12:16] == b"IHDR" and len(data) >= 24:
@@ -39,7 +50,7 @@ def image_size(data: bytes | None) -> tuple[int, int] | None:
             return (w, h) if w and h else None
         else:
             at += 2 + int.from_bytes(data[at + 2 : at + 4], "big")
-    return None
+    return MORE
 
 
 def image_tokens(width: Column, height: Column) -> Column:
@@ -67,8 +78,24 @@ def image_tokens_np(width: np.ndarray, height: np.ndarray) -> np.ndarray:
     return np.where(area > MAX_PIXELS, large, np.where(area < MIN_PIXELS, small, area / cell / cell)).astype(np.int64)
 
 
-@F.pandas_udf(T.StringType())
-def dimensions(heads: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """`WxH` of an image, null where it can't be read."""
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _sizes(heads: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """`WxH` of each of a list of files, MORE where it ends too early, null where it can't be read."""
+
+    def one(data: bytes | None) -> str | None:
+        found = _size_in(data)
+        return f"{found[0]}x{found[1]}" if isinstance(found, tuple) else found
+
     for s in heads:
-        yield s.map(lambda b: None if (size := image_size(b)) is None else f"{size[0]}x{size[1]}")
+        yield s.map(lambda row: None if row is None else [one(x) for x in row])
+
+
+def image_sizes(files: Column) -> Column:
+    """`WxH` of each of a list of image files, null where it can't be read; null for a null list.
+
+    Only the first HEAD bytes of a file go to Python; a file whose size lies further on goes whole, in a second look.
+    """
+    first = _sizes(F.transform(files, lambda x: F.substring(x, 1, HEAD)))
+    rest = F.zip_with(files, first, lambda x, a: F.when((a == MORE) & (F.octet_length(x) > HEAD), x))
+    second = _sizes(F.when(F.exists(rest, lambda x: x.isNotNull()), rest))
+    return F.zip_with(first, F.coalesce(second, first), lambda a, b: F.nullif(F.when(a == MORE, b).otherwise(a), F.lit(MORE)))

@@ -158,8 +158,8 @@ NUM = "CAST('0x' || substr(h, {0}, {1}) AS INTEGER)"
     "SELECT dataset, dims, count(*) AS images FROM w GROUP BY dataset, dims"
 )
 def a05_image_dimensions(spark: SparkSession, d: str) -> DataFrame:
-    i = table(spark, d, "raw_trajectories").select("dataset", F.explode("images").alias("im"))
-    return i.select("dataset", images.dimensions("im.bytes").alias("dims")).groupBy("dataset", "dims").agg(F.count("*").alias("images"))
+    raw = table(spark, d, "raw_trajectories").select("dataset", images.image_sizes(F.col("images.bytes")).alias("sizes"))
+    return raw.select("dataset", F.explode("sizes").alias("dims")).groupBy("dataset", "dims").agg(F.count("*").alias("images"))
 
 
 @query(

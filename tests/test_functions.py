@@ -105,8 +105,9 @@ def test_image_heads(spark):
     jpeg = b"\xff\xd8\xff\xe0\x00\x10JFIF\x00\x01\x01\x00\x00\x01\x00\x01\x00\x00\xff\xc0\x00\x11\x08\x02\xd0\x05\x00\x03"
     png = b"\x89PNG\r\n\x1a\n\x00\x00\x00\rIHDR\x00\x00\x03\xc0\x00\x00\x02 "
     assert [images.image_size(x) for x in (jpeg, png, jpeg[:20], b"", None, b"GIF89a", b"\xff\xd8\xff\xc0\x00\x11\x08\x00\x00\x00\x00\x03")] == [(1280, 720), (960, 544), None, None, None, None, None]
-    df = spark.createDataFrame([(bytearray(jpeg),), (None,)], "b binary")
-    assert [r[0] for r in df.select(images.dimensions("b")).collect()] == ["1280x720", None]
+    late = jpeg[:2] + b"\xff\xe1\xff\xff" + b"x" * 0xFFFD + jpeg[2:]
+    df = spark.createDataFrame([([bytearray(jpeg), bytearray(late), None],), (None,), ([bytearray(late[:-9]), bytearray(late[:50]), bytearray(png)],), ([],)], "b array<binary>")
+    assert [r[0] for r in df.select(images.image_sizes(F.col("b"))).collect()] == [["1280x720", "1280x720", None], None, [None, None, "960x544"], []]
 
 
 def test_games_by_join_are_those_of_the_map(spark):
