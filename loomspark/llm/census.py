@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomspark.functions.images import image_size, image_tokens_np
+from loomspark.functions.images import image_sizes, image_tokens_np
 from loomspark.functions.names import literal_map, name_key
 from loomspark.llm import textvec as tv
 from loomspark.llm.bpe import DEFAULT_TOKENIZER
 from loomspark.llm.maxmatch import matcher
-from loomspark.llm.words import HAN, plain, word_classes, word_hashes
+from loomspark.llm.words import word_hashes, word_kinds
 from loomspark.session import cut, small_rows
 
 UNKNOWN = "und"
@@ -32,26 +32,15 @@ class Languages:
 
     def of(self, texts: list[str], declared: list[str | None]) -> list[str]:
         """'zh' where Han signs are a tenth or more of the words; else the language most of whose words occur, the declared one among equals; the declared one where none occurs."""
-        out = []
-        h, off = word_hashes(texts)
-        hits = np.zeros((len(texts), len(self.names)), np.int64)
-        for k, t in enumerate(self.tables):
-            at = np.minimum(np.searchsorted(t, h), len(t) - 1) if len(t) else None
-            hit = t[at] == h if at is not None else np.zeros(len(h), bool)
-            cum = np.concatenate([[0], np.cumsum(hit)])
-            hits[:, k] = np.diff(cum[off])
-        for i, text in enumerate(texts):
-            codes = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-            han = int((word_classes()[codes] == HAN).sum())
-            n = int(off[i + 1] - off[i])
-            if n and han * 10 >= n:
-                out.append("zh")
-            elif len(self.names) and hits[i].max(initial=0) > 0:
-                best = [x for x, c in zip(self.names, hits[i], strict=True) if c == hits[i].max()]
-                out.append(declared[i] if declared[i] in best else best[0])
-            else:
-                out.append(declared[i] or UNKNOWN)
-        return out
+        h, off, han = word_kinds(texts)
+        count = lambda hit: np.diff(np.concatenate([[0], np.cumsum(hit)])[off])
+        hits = np.stack([count(np.isin(h, t)) for t in self.tables] or [np.zeros(len(texts), np.int64)], axis=1)
+        n, han = np.diff(off), count(han)
+        own = np.array([self.names.index(x) if x in self.names else 0 for x in declared], np.int64)
+        every = np.arange(len(texts))
+        best = np.where(hits[every, own] == hits.max(1), own, hits.argmax(1))
+        spoken = [self.names[k] if self.names else UNKNOWN for k in best]
+        return ["zh" if z else s if some else d or UNKNOWN for z, some, s, d in zip((n > 0) & (han * 10 >= n), hits.max(1) > 0, spoken, declared, strict=True)]
 
 
 def dataset_name(names: list[str], *columns: Column) -> Column:
@@ -79,7 +68,7 @@ def count_conversations(raw: DataFrame, common_words: DataFrame, keep: list[str]
         words.setdefault(r.lang, []).append(r.word)
     declared = F.lower(F.regexp_extract(F.col("lang"), r"^\s*([A-Za-z]{2,3})(?:[-_].*)?\s*$", 1))
     declared = F.when(declared.isin(["", UNKNOWN]), None).otherwise(declared)
-    rows = raw.select(*keep, F.col("conversations")["value"].alias("_values"), F.transform("images", lambda x: x["bytes"]).alias("_bytes"), declared.alias("_lang"))
+    rows = raw.select(*keep, F.col("conversations")["value"].alias("_values"), image_sizes(F.col("images")["bytes"]).alias("_sizes"), declared.alias("_lang"))
     schema = T.StructType([*rows.schema.fields[:-3], *T.StructType.fromDDL(COUNTED).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +79,9 @@ def count_conversations(raw: DataFrame, common_words: DataFrame, keep: list[str]
             texts = [[t or "" for t in v or []] for v in values]
             at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             each = np.concatenate([[0], np.cumsum(count([t for ts in texts for t in ts]))])
-            sizes = [[image_size(x) for x in row or []] for row in images]
+            sizes = [row or [] for row in images]
             known = sorted({s for row in sizes for s in row if s})
-            cost = dict(zip(known, image_tokens_np(*map(np.array, zip(*known, strict=True))).tolist(), strict=True)) if known else {}
+            cost = dict(zip(known, image_tokens_np(*np.array([s.split("x") for s in known], np.int64).T).tolist(), strict=True)) if known else {}
             visual, bad, missing = [], [], []
             for ts, row in zip(texts, sizes, strict=True):
                 read = [cost[s] for s in row if s]

@@ -22,7 +22,7 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
-def draw_rates(sources: dict[str, tuple[float, float, int]], size: int, fill: bool = False) -> dict[str, float]:
+def draw_rates(sources: dict[str, tuple[float, float, int]], size: int, fill: bool = True) -> dict[str, float]:
     """How often each source {name: (weight, max_passes, tokens)} is used for a mixture of so many tokens; see `mix_sources`."""
     rates = {n: min(cap, w * size / t) if t else 0.0 for n, (w, cap, t) in sources.items()}
     while fill:
@@ -42,13 +42,14 @@ class Mixture:
     shares: DataFrame
 
 
-def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, fill: bool = False, path: str = DEFAULT_TOKENIZER, id_col: str = "doc_id") -> Mixture:
+def mix_sources(documents: DataFrame, targets: DataFrame, seed: int = 42, fill: bool = True, path: str = DEFAULT_TOKENIZER, id_col: str = "doc_id") -> Mixture:
     """Draw documents so that each source of `targets` (source, weight, max_passes) gets its weight of all documents' tokens.
 
     A source's rate is weight * all tokens / its tokens, at most max_passes; each of its documents comes out floor(rate)
     times and once more with the rate's fraction as probability, decided by a hash of seed and id. What a capped or
-    absent source leaves open is not given to the others, so every other source keeps its weight of the wanted size; with `fill` the others share it by their weights, until the
-    size is reached or all are capped, and then have more than their weight.
+    absent source leaves open the others share by their weights, until the mixture is as large as all documents or all
+    sources are capped, so the others have more than their weight. Without `fill` it stays open: every source keeps its
+    weight of the wanted size, and the mixture is smaller.
     Sources are compared by `source_key`; documents of a null or unlisted source aren't drawn but count for the size.
     A target with a null or negative weight or cap draws nothing; of a source listed twice the weights are added and the
     larger cap holds. Documents without tokens come out by the same rule. Rows with the same id and source are drawn

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions.frames import own_frames, shared_keys
-from loomspark.functions.names import channel_keys, known_game
+from loomspark.functions.names import with_known_game
 from loomspark.llm import textvec as tv
 from loomspark.llm.words import word_hashes
 from loomspark.operators.graph import small_broadcast, spread_join
@@ -586,14 +586,15 @@ def overlaps(train: DataFrame, val: DataFrame, channels: DataFrame, shared_frame
     nothing by text, rows without own frames or a known game nothing by frames; rows with a null id are left out. Copies
     of a text are joined as one text and only the found pairs are spread to the rows, as the result has a row for each.
     """
-    keys, shared = channel_keys(channels), shared_keys(shared_frames)
+    shared = shared_keys(shared_frames)
     side = lambda df, i: df.where(F.col(i).isNotNull()).select(F.col(i).alias("id"), spoken(F.col("messages")).alias("text"))
     links, t, v = same_text(side(train, "train_id"), side(val, "val_id"))
     t, v = t.where("n > 0").select(F.col("id").alias("train_id"), F.col("h").alias("ht"), F.col("g").alias("gt")), v.where("n > 0").select(F.col("id").alias("val_id"), F.col("h").alias("hv"), F.col("g").alias("gv"), "n")
     same = spread_join(t, v.select("val_id", F.col("hv").alias("ht"), F.col("gv").alias("gt")), ["ht", "gt"])
     equal = same.select("train_id", "val_id", F.lit(0).cast("bigint").alias("edits"), F.lit(1.0).alias("covered"))
     near = spread_join(t, spread_join(v, links, ["hv", "gv"]), ["ht", "gt"]).select("train_id", "val_id", "edits", (F.col("covered") / F.col("n")).alias("covered"))
-    shots = lambda df, i: df.where(F.col(i).isNotNull()).select(F.col(i).alias("id"), known_game(keys, F.col("channel"), F.col("game")).alias("game"), own_frames(F.col("images"), shared).alias("frames"))
+    named = lambda df, i: with_known_game(df.where(F.col(i).isNotNull()).select(F.col(i).alias("id"), "channel", "game", "images"), channels, "known")
+    shots = lambda df, i: named(df, i).select("id", F.col("known").alias("game"), own_frames(F.col("images"), shared).alias("frames"))
     seen = same_frames(cut(shots(train, "train_id")), cut(shots(val, "val_id")))
     none = F.lit(None)
     both = equal.union(near).select("*", none.cast("int").alias("frames")).union(seen.select("train_id", "val_id", none.cast("bigint"), none.cast("double"), "frames"))
@@ -602,9 +603,8 @@ def overlaps(train: DataFrame, val: DataFrame, channels: DataFrame, shared_frame
 
 def overlap_report(found: DataFrame, val: DataFrame, channels: DataFrame) -> DataFrame:
     """By package and channel of val: rows, rows found in train by text, by frames and at all, and the mean covered share of those found by text."""
-    keys = channel_keys(channels)
     each = found.groupBy("val_id").agg(F.count("*").alias("pairs"), F.max("covered").alias("covered"), F.max("frames").alias("frames"))
-    rows = val.select("val_id", "package", known_game(keys, F.col("channel"), F.col("game")).alias("channel"))
+    rows = with_known_game(val.select("val_id", "package", "channel", "game"), channels, "known").select("val_id", "package", F.col("known").alias("channel"))
     return rows.join(each, "val_id", "left").groupBy("package", "channel").agg(
         F.count("*").alias("rows"), F.count("pairs").alias("found"), F.count("covered").alias("by_text"), F.count("frames").alias("by_frames"),
         F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.avg("covered").alias("mean_covered"),

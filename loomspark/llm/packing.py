@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions.images import image_tokens
-from loomspark.functions.names import channel_keys, known_game, literal_map
+from loomspark.functions.names import with_known_game
+from loomspark.operators.graph import small_broadcast
 from loomspark.llm.bpe import DEFAULT_TOKENIZER
 from loomspark.llm.tokens import bpe_counter, with_tokens
 from loomspark.session import cut, small_rows
@@ -25,14 +26,13 @@ def row_lengths(train: DataFrame, channels: DataFrame, path: str = DEFAULT_TOKEN
     An image is any path that isn't null or blank and counts by the frame size of the row's channel, of `default_size`
     where no channel is known. Null messages, contents and images count 0.
     """
-    sizes = {r.channel: (r.frame_width, r.frame_height) for r in small_rows(channels.select("channel", "frame_width", "frame_height"))}
-    keys = channel_keys(channels)
-    names = known_game(keys, F.col("channel"), F.col("game"))
-    by_size = lambda k, default: F.coalesce(F.try_element_at(literal_map({c: s[k] for c, s in sizes.items() if s[k]}), F.coalesce(names, F.lit(""))).cast("int"), F.lit(default))
-    each = image_tokens(by_size(0, default_size[0]), by_size(1, default_size[1]))
+    sizes = channels.where("channel IS NOT NULL").groupBy("channel").agg(*[F.max(F.nullif(F.col(c), F.lit(0))).alias(c) for c in ("frame_width", "frame_height")])
+    frames = train.sparkSession.createDataFrame([tuple(r) for r in small_rows(sizes)], "known string, frame_width int, frame_height int").coalesce(1)
+    each = image_tokens(*[F.coalesce(c, F.lit(d)) for c, d in zip(("frame_width", "frame_height"), default_size, strict=True)])
     shown = F.coalesce(F.size(F.filter("images", lambda p: F.trim(p) != "")), F.lit(0))
     shown = F.when(F.col("images").isNull(), 0).otherwise(shown)
-    counted = with_tokens(train, [F.col("train_id"), (shown * each).alias("visual")], F.col("messages.content"), bpe_counter(path))
+    named = with_known_game(train.select("train_id", "channel", "game", "images", "messages"), channels, "known")
+    counted = with_tokens(named.join(F.broadcast(frames), "known", "left"), [F.col("train_id"), (shown * each).alias("visual")], F.col("messages.content"), bpe_counter(path))
     return counted.select("train_id", (F.col("tokens") + F.col("visual")).alias("tokens"))
 
 
@@ -125,10 +125,11 @@ def pack_items(items: DataFrame, limits: DataFrame, windows: int = 64, shard_row
     an item, the fullest is closed when none fits. The items of containers still open at a shard's end go, from
     `fan_in` shards at a time, to the next level, longest first, until one shard is left; a task never holds more than
     fan_in * windows containers. Null and negative lengths count as 0, items of length 0 lie in any container; a row
-    with a null id is packed as well, repeated ids are separate items. Limits that are null or below 1 are left out;
-    without limits or items there are no rows. The result depends on the rows only, not on partitions or their order.
+    with a null id is packed as well, repeated ids are separate items. Limits that are null or below 1 are left out, of a
+    name with several capacities the smallest holds; without limits or items there are no rows. The result depends on the rows only, not on partitions or their order.
     """
-    caps = sorted((r.pack_name, int(r.max_tokens)) for r in small_rows(limits.select("pack_name", "max_tokens")) if r.pack_name is not None and (r.max_tokens or 0) >= 1)
+    usable = limits.where("pack_name IS NOT NULL AND max_tokens >= 1").groupBy("pack_name").agg(F.min("max_tokens").alias("max_tokens"))
+    caps = sorted((r.pack_name, int(r.max_tokens)) for r in small_rows(usable))
     spark = items.sparkSession
     if not caps:
         return spark.createDataFrame([], PACKS).drop("open")
@@ -161,7 +162,7 @@ def pack_report(packs: DataFrame, limits: DataFrame) -> DataFrame:
     """For each pack_name the containers, items, cut items, tokens, and the share of the capacity that is used."""
     each = packs.groupBy("pack_name", "pack_id").agg(F.sum("length").alias("used"), F.count("*").alias("pieces"), F.sum((F.col("piece") > 0).cast("int")).alias("cuts"))
     total = each.groupBy("pack_name").agg(F.count("*").alias("packs"), F.sum("pieces").alias("pieces"), F.sum("cuts").alias("cuts"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"))
-    return total.join(F.broadcast(limits.select("pack_name", "max_tokens").coalesce(1)), "pack_name").withColumn("used_share", F.col("tokens") / (F.col("packs") * F.col("max_tokens")))
+    return total.join(small_broadcast(limits.where("pack_name IS NOT NULL AND max_tokens >= 1").groupBy("pack_name").agg(F.min("max_tokens").alias("max_tokens"))), "pack_name").withColumn("used_share", F.col("tokens") / (F.col("packs") * F.col("max_tokens")))
 
 
 def pack_train(train: DataFrame, channels: DataFrame, limits: DataFrame, path: str = DEFAULT_TOKENIZER) -> DataFrame:

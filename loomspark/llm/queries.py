@@ -78,8 +78,8 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).shares
 
 
-def p6_filled_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"), fill=True).shares
+def p6_strict_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"), fill=False).shares
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +91,7 @@ def p7_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p6_filled_shares, p7_found, p7_stats)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p6_strict_shares, p7_found, p7_stats)}
 
 
 #: Frames of recordings as the SQL sees them; it knows the spellings of the test tables, not all that the operator reads.

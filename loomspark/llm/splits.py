@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomspark.functions.frames import own_frames, recordings, shared_keys
-from loomspark.functions.names import channel_keys, known_game, literal_map
-from loomspark.operators.graph import connected_components, hot_join
+from loomspark.functions.names import channel_keys, with_known_game
+from loomspark.operators.graph import connected_components, hot_join, small_broadcast
 from loomspark.session import cut, small_rows
 
 #: Groups with more than this share of all rows are placed one by one on the driver; there are at most 1 / BIG of them.
@@ -22,10 +22,10 @@ def recording_ids(train: DataFrame, channels: DataFrame, shared_frames: DataFram
     A recording is a bigint made of game, chunk and row; numbers too large for it give a negative hash. Rows without a
     known game, without images or with shared frames only have no recordings. Rows with a null id are left out.
     """
-    keys = channel_keys(channels)
-    games = {c: str(i) for i, c in enumerate(sorted(set(keys.values())))}
-    number = F.coalesce(F.try_element_at(literal_map(games), F.coalesce("label", F.lit(""))).cast("bigint"), F.lit(-1))
-    rows = train.select(F.col("train_id").alias("id"), known_game(keys, F.col("channel"), F.col("game")).alias("label"), F.col("images"))
+    games = sorted(set(channel_keys(channels).values()))
+    number = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(g) for g in games]), F.coalesce("label", F.lit(""))), F.lit(0)) - 1, F.lit(-1)) if games else F.lit(-1)
+    number = number.cast("bigint")
+    rows = with_known_game(train.select(F.col("train_id").alias("id"), "channel", "game", "images"), channels, "label").select("id", "label", "images")
     names = recordings(own_frames(F.col("images"), shared_keys(shared_frames)))
 
     def rec(k: Column) -> Column:
@@ -62,7 +62,7 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 7, block_grou
     """Give each group of `rows` (id, label, group_id, group_size) one split of `targets` (split, share).
 
     Returns the rows with a column split. Sizes and, within each label, counts come near the shares: groups of more than
-    BIG of all rows are placed first, largest first, where most is wanting; the others start from a split by a hash of
+    BIG of all rows are placed first, largest first, where most is wanting, and what the others should make up for follows from `_rates`; the others start from a split by a hash of
     their name, lie in blocks of about `block_groups` by another hash, and in each block `chains` annealing searches move
     single groups or swap two, with the squared deviations of size and labels, each against what is wanted, as cost; the
     best state that any chain met is kept. Null labels are a label of their own. Shares are scaled to sum 1; without
@@ -89,8 +89,7 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 7, block_grou
         s = int(np.argmin(after))
         want[s] -= v
         placed.append((group, names[s]))
-    want = want.clip(0)
-    rate = np.where(want.sum(0) > 0, want / np.maximum(want.sum(0), 1e-9), share[:, None])
+    rate = _rates(want, share)
     small = groups.where(F.col("n") <= BIG * total)
     blocks = max(1, -(-small.count() // block_groups))
     index = {x: i for i, x in enumerate(labels)}
@@ -115,6 +114,21 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 7, block_grou
     return hot_join(rows, cut(sized), "group_id").select("id", "label", "group_id", "group_size", "split")
 
 
+def _rates(want: np.ndarray, share: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """The share of each label's remaining rows that each split should get, so that the splits' sizes come out where large groups have upset the labels.
+
+    want: rows still wanted by split and label, below 0 where a large group was too much. Sizes come before labels: the
+    table is scaled by turns to the splits' sizes and the labels' rows.
+    """
+    columns, rows = want.sum(0), want.sum(1).clip(0)
+    table = want.clip(0) + 1e-6
+    rows = rows * columns.sum() / max(rows.sum(), 1e-9)
+    for _ in range(rounds):
+        table *= (rows / table.sum(1).clip(1e-12))[:, None]
+        table *= (columns / table.sum(0).clip(1e-12))[None]
+    return np.where(columns > 0, table / table.sum(0).clip(1e-12), share[:, None])
+
+
 def _search(v: np.ndarray, rate: np.ndarray, u: np.ndarray, chains: int, steps: int, seed: int) -> np.ndarray:
     """The best split of each group found by `chains` searches side by side. v: counts by group and label; rate: wanted share by split and label; u: the start."""
     splits, (n, _) = len(rate), v.shape
@@ -133,9 +147,12 @@ def _search(v: np.ndarray, rate: np.ndarray, u: np.ndarray, chains: int, steps:
         return (np.square(d) * scale[s]).sum(1) + np.square(d.sum(1)) * scale_all[s]
 
     now = sum(cost(dev[:, s], np.full(chains, s)) for s in range(splits))
-    best, best_state = now.copy(), state.copy()
     if splits < 2 or n < 1:
         return start
+    # The best state is found again from the moves up to the step at which it was met (-1: the start).
+    best, best_at = now.copy(), np.full(chains, -1)
+    moved = np.full((steps, 2, chains), -1)
+    moved_to = np.zeros((steps, 2, chains), np.int64)
     heat = np.maximum(now / max(n, 1), 1e-6) * np.geomspace(0.3, 3, chains)
     one, two = rng.integers(n, size=(steps, chains)), rng.integers(n, size=(steps, chains))
     shift, swap = rng.integers(1, splits, size=(steps, chains)), rng.random((steps, chains)) < 0.5
@@ -156,14 +173,16 @@ def _search(v: np.ndarray, rate: np.ndarray, u: np.ndarray, chains: int, steps:
             state[k, g[k]] = b[k]
             kb = k[back[k]]
             state[kb, h[kb]] = a[kb]
+            moved[t, 0, k], moved_to[t, 0, k] = g[k], b[k]
+            moved[t, 1, kb], moved_to[t, 1, kb] = h[kb], a[kb]
             now[k] += gain[k]
             better = k[now[k] < best[k] - 1e-9]
-            if len(better) and t > steps // 2:
-                best[better] = now[better]
-                best_state[better] = state[better]
-    keep = now < best
-    best[keep], best_state[keep] = now[keep], state[keep]
-    return best_state[int(np.argmin(best))]
+            best[better], best_at[better] = now[better], t
+    i = int(np.argmin(best))
+    out = start.copy()
+    groups, to = (x[: best_at[i] + 1, :, i].ravel() for x in (moved, moved_to))
+    out[groups[groups >= 0]] = to[groups >= 0]  # in order, so a group's last move counts
+    return out
 
 
 def split_train(train: DataFrame, channels: DataFrame, shared_frames: DataFrame, targets: DataFrame) -> DataFrame:
@@ -177,6 +196,6 @@ def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:
     each = assigned.select("split", F.coalesce("label", F.lit("")).alias("label")).groupBy("split", "label").agg(F.count("*").alias("rows"))
     whole = each.groupBy("label").agg(F.sum("rows").alias("all")).union(each.agg(F.lit(None).cast("string"), F.sum("rows")))
     both = each.union(each.groupBy("split").agg(F.lit(None).cast("string").alias("label"), F.sum("rows").alias("rows")).select("split", "label", "rows"))
-    return both.alias("b").join(whole.alias("w"), F.col("b.label").eqNullSafe(F.col("w.label"))).join(F.broadcast(targets.select("split", "share").coalesce(1)), "split").select(
+    return both.alias("b").join(whole.alias("w"), F.col("b.label").eqNullSafe(F.col("w.label"))).join(small_broadcast(targets.select("split", "share")), "split").select(
         "split", F.col("b.label").alias("label"), "rows", (F.col("rows") / F.col("all")).alias("reached"), "share"
     )

@@ -42,6 +42,11 @@ def plain(text: str) -> str:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(uint64 hash of each word of all texts, offsets of each text). A text without words has none."""
+    return word_kinds(texts)[:2]
+
+
+def word_kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and whether each word is a Han sign."""
     texts = [plain(t) for t in texts]
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -58,9 +63,9 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, first, doc = codes[inside], first[inside], doc[inside]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64), np.zeros(0, bool)
     size = np.diff(np.append(starts, len(codes)))
     pos = np.arange(len(codes)) - np.repeat(starts, size)
     with np.errstate(over="ignore"):
         h = np.add.reduceat(mix(codes, pos), starts) + size.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-    return h, np.searchsorted(doc[starts], np.arange(len(texts) + 1))
+    return h, np.searchsorted(doc[starts], np.arange(len(texts) + 1)), cls[inside][starts] == HAN

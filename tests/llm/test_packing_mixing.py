@@ -66,13 +66,15 @@ def test_report_and_row_lengths(spark):
     got = {r.train_id: r.tokens for r in packing.row_lengths(train, channels).collect()}
     assert got == {1: 2 + 510, 2: 0, 3: 880}
     limits = spark.createDataFrame([("x", 1000)], "pack_name string, max_tokens bigint")
+    twice = limits.union(spark.createDataFrame([("x", 900), ("x", None)], limits.schema))
+    assert packing.pack_report(packing.pack_train(train, channels, twice), twice).first().max_tokens == 900
     r = packing.pack_report(packing.pack_train(train, channels, limits), limits).first()
     assert (r.packs, r.tokens, r.fullest, r.cuts) == (2, 1392, 880, 0)
 
 
 def test_rates():
     s = {"a": (0.5, 1.0, 100), "b": (0.3, 9.0, 100), "c": (0.2, 2.0, 0), "d": (0.0, 5.0, 50)}
-    assert mixing.draw_rates(s, 1000) == {"a": 1.0, "b": 3.0, "c": 0.0, "d": 0.0}
+    assert mixing.draw_rates(s, 1000, fill=False) == {"a": 1.0, "b": 3.0, "c": 0.0, "d": 0.0}
     filled = mixing.draw_rates(s, 900, fill=True)
     assert filled["a"] == 1.0 and filled["b"] == pytest.approx(8.0) and filled["d"] == 0.0
     assert mixing.draw_rates(s, 0) == {"a": 0.0, "b": 0.0, "c": 0.0, "d": 0.0}
@@ -84,9 +86,9 @@ def test_mixture(spark):
     docs = [(i, word * rng.randrange(1, 30), rng.choice(["a", "A ", "b", "c", None, "other"])) for i in range(3000)] + [(5000, None, "a"), (5001, "", "a")]
     df = spark.createDataFrame([(i, t, s, 1) for i, t, s in docs], "doc_id bigint, text string, source string, tokens int")
     targets = spark.createDataFrame([("a", 0.5, 9.0), ("b", 0.3, 1.0), (" C", 0.1, 0.25), ("gone", 0.1, 3.0), (None, 0.5, 1.0), ("d", None, None)], "source string, weight double, max_passes double")
-    m = mixing.mix_sources(df, targets, seed=3)
+    m = mixing.mix_sources(df, targets, seed=3, fill=False)
     rows = m.rows.collect()
-    again = mixing.mix_sources(df.repartition(7), targets, seed=3).rows.collect()
+    again = mixing.mix_sources(df.repartition(7), targets, seed=3, fill=False).rows.collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again)) and len({(r.doc_id, r["pass"]) for r in rows}) == len(rows)
     shares = {r.source: r for r in m.shares.collect()}
     assert set(shares) == {"a", "b", "c", "gone", "d"} and shares["gone"].drawn_tokens == 0
@@ -99,6 +101,8 @@ def test_mixture(spark):
     assert all(copies.get(i, 0) in (int(rate), int(rate) + 1) for i, _, s in docs if s in ("a", "A "))
     assert sum(r.drawn_tokens for r in shares.values()) == sum(r.tokens for r in rows)
     assert abs(sum(r.share_of_drawn for r in shares.values()) - 1) < 1e-9
+    full = {r.source: r for r in mixing.mix_sources(df, targets, seed=3).shares.collect()}
+    assert abs(sum(r.drawn_tokens for r in full.values()) / full["a"].wanted_size - 1) < 0.01 and full["b"].rate == 1.0
     empty = mixing.mix_sources(df.where("false"), targets)
     assert empty.rows.collect() == [] and empty.shares.count() == 5
     assert mixing.mix_sources(df, targets.where("false")).rows.collect() == []

@@ -89,3 +89,31 @@ def test_search_comes_near_the_shares_and_beats_its_start():
     start = np.minimum((u[:, None] >= np.cumsum(rate.mean(1))[None]).sum(1), 2)
     assert off(best) < 0.25 * off(start) and off(best) < 20
     assert (splits._search(v, rate[:1] / rate[:1], u, 2, 50, 1) == 0).all()
+
+
+def test_search_keeps_the_best_state_it_met():
+    """Whatever the heat, the result is never worse than the start, and with a longer search no worse than with a shorter one of the same moves."""
+    for seed in range(30):
+        rng = np.random.default_rng(seed)
+        v = np.zeros((12, 3))
+        v[np.arange(12), rng.integers(3, size=12)] = rng.integers(1, 30, size=12)
+        rate, u = np.repeat(np.array([[0.7], [0.2], [0.1]]), 3, 1), rng.random(12)
+        want = rate * v.sum(0)
+
+        def cost(state, v=v, want=want):
+            d = np.stack([v[state == s].sum(0) for s in range(3)]) - want
+            return (np.square(d) / (want + 1)).sum() + (np.square(d.sum(1)) / (want.sum(1) + 1)).sum()
+
+        start = np.minimum((u[:, None] >= np.cumsum(rate.mean(1))[None]).sum(1), 2)
+        for steps in (1, 5, 60, 600):
+            assert cost(splits._search(v, rate, u, 8, steps, seed)) <= cost(start) + 1e-9
+
+
+def test_one_component_of_half_of_all_rows(spark):
+    rows = [(i, [f"chunk_1/row_{i % 50}/1.jpg", f"chunk_1/row_{(i + 1) % 50}/1.jpg"], "g1", None) for i in range(300)]
+    rows += [(1000 + i, [f"chunk_2/row_{i}/1.jpg"], "g2", None) for i in range(300)]
+    df = spark.createDataFrame(rows, "train_id bigint, images array<string>, game string, channel string")
+    targets = spark.createDataFrame([("train", 0.6), ("test", 0.4)], "split string, share double")
+    got = splits.split_train(df, spark.createDataFrame(CHANNELS, "channel string, aliases array<string>"), spark.createDataFrame([], "path string"), targets).collect()
+    assert {r.split for r in got if r.train_id < 1000} == {"train"} and {r.group_size for r in got if r.train_id < 1000} == {300}
+    assert abs(sum(r.split == "train" for r in got) / 600 - 0.6) < 0.02
