@@ -12,8 +12,8 @@ from loomspark.functions.names import channel_keys, with_known_game
 from loomspark.operators.graph import connected_components, hot_join, small_broadcast
 from loomspark.session import cut, small_rows
 
-#: Groups with more than this share of all rows are placed one by one on the driver; there are at most 1 / BIG of them.
-BIG = 0.001
+#: Groups with more than this share of all rows, and more than LEAST rows, are placed one by one on the driver; there are at most 1 / BIG of them.
+BIG, LEAST = 0.001, 64
 
 
 def recording_ids(train: DataFrame, channels: DataFrame, shared_frames: DataFrame) -> DataFrame:
@@ -80,8 +80,8 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 7, block_grou
     if not total:
         return rows.withColumn("split", F.lit(names[0]))
     groups = cut(parts.groupBy("group_id").agg(F.sum("k").alias("n"), F.map_from_entries(F.collect_list(F.struct("label", "k"))).alias("counts")))
-    want = np.outer(share, [by_label[x] for x in labels])
-    big = sorted(((r.n, r.group_id, r.counts) for r in groups.where(F.col("n") > BIG * total).take(int(1 / BIG) + 1)), key=lambda r: (-r[0], r[1]))
+    want, most = np.outer(share, [by_label[x] for x in labels]), max(BIG * total, LEAST)
+    big = sorted(((r.n, r.group_id, r.counts) for r in groups.where(F.col("n") > most).take(int(1 / BIG) + 1)), key=lambda r: (-r[0], r[1]))
     placed = []
     for _, group, counts in big:
         v = np.array([counts.get(x, 0) for x in labels])
@@ -90,7 +90,7 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 7, block_grou
         want[s] -= v
         placed.append((group, names[s]))
     rate = _rates(want, share)
-    small = groups.where(F.col("n") <= BIG * total)
+    small = groups.where(F.col("n") <= most)
     blocks = max(1, -(-small.count() // block_groups))
     index = {x: i for i, x in enumerate(labels)}
 
