@@ -29,7 +29,14 @@ NOT_PROSE_SHARE = 0.5
 #: Fixed thresholds of the published rules for whole texts (Rae et al. 2021, appendix A1): words, mean word length, hashes and
 #: ellipses a word, lines that begin with a bullet or end in an ellipsis, words with a letter, and function words.
 WORD_COUNT, WORD_LENGTH, SIGNS_PER_WORD, BULLET_LINES, ELLIPSIS_LINES, ALPHABETIC_WORDS, STOP_WORDS = (50, 100_000), (3, 10), 0.1, 0.9, 0.3, 0.8, 2
-RULES = ["too_few_words", "too_many_words", "word_length", "signs_per_word", "bullet_lines", "ellipsis_lines", "alphabetic_words", "stop_words"]
+#: Of the same appendix, on repetition: lines that repeat an earlier one, their signs, and signs of words in runs of ten words that occur before.
+SAME_LINES, SAME_LINE_SIGNS, SAME_TENS, TEN = 0.3, 0.2, 0.1, 10
+#: Penedo et al. 2024 (FineWeb): least share of lines that end in punctuation; most share of lines of at most so many signs.
+CLOSED_LINES, SHORT_LINES, SHORT_LINE = 0.12, 0.67, 30
+RULES = [
+    "too_few_words", "too_many_words", "word_length", "signs_per_word", "bullet_lines", "ellipsis_lines", "alphabetic_words", "stop_words",
+    "same_lines", "same_line_signs", "same_tens", "closed_lines", "short_lines",
+]
 
 REASONS = ["list", "table", "symbols", "actions", "words", "garbled", "repetition", "empty"]
 LIST, TABLE, SYMBOLS, ACTIONS, WORDS, GARBLED, REPETITION, EMPTY = range(len(REASONS))
@@ -257,12 +264,31 @@ def measure(texts: list[str], common: Common) -> dict[str, np.ndarray]:
         "lines": _sum(doc[size > 0], None, d), "closed": _sum(doc[closes], None, d), "bullets": _sum(doc[bullet], None, d), "size": _sum(doc, size, d), "trails": _sum(doc[trails], None, d),
         "numbers": _sum(doc_of[word_at[~has_letter]], None, d), "spaced": _sum(doc, words, d), "spaced_letters": _sum(doc, letters, d), "dots": _sum(doc_of[dots | three], None, d),
     }
+    # Lines that say what an earlier line of their text says.
+    line_of = np.cumsum(np.concatenate([[False], is_line[:-1]]) | (np.arange(n) == np.repeat(off[:-1], lens))) - 1 if n else np.zeros(0, np.int64)
+    said_by = np.zeros(int(line_of[-1]) + 1 if n else 0, np.uint64)
+    line_at = np.searchsorted(line_of, np.arange(len(said_by)))
+    solid_at = np.flatnonzero(solid)
+    with np.errstate(over="ignore"):
+        place = solid_at - line_at[line_of[solid_at]]
+        np.add.at(said_by, line_of[solid_at], mix(lower[solid_at], place))
+    line_size, line_doc = np.bincount(line_of[solid_at], minlength=len(said_by)), doc_of[line_at]
+    order = np.lexsort((np.arange(len(said_by)), said_by, line_doc))
+    order = order[line_size[order] > 0]
+    same = order[1:][(said_by[order][1:] == said_by[order][:-1]) & (line_doc[order][1:] == line_doc[order][:-1])]
+    line_width = np.bincount(line_of[kind != LINE], minlength=len(said_by))
+    stats |= {
+        "whole_lines": _sum(line_doc[line_size > 0], None, d), "same_lines": _sum(line_doc[same], None, d), "same_line_signs": _sum(line_doc[same], line_size[same], d),
+        "short_lines": _sum(line_doc[(line_size > 0) & (line_width <= SHORT_LINE)], None, d),
+    }
     # Sequences of words and Han signs, for what repeats.
     tokens = np.concatenate([hashes, codes[kind == HAN].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)])
     places = np.concatenate([word_at, np.flatnonzero(kind == HAN)])
     order = np.argsort(places, kind="stable")
     tokens, places = tokens[order], places[order]
-    again = _again(tokens, doc_of[places])
+    again, tens = _again(tokens, doc_of[places]), _again(tokens, doc_of[places], TEN)
+    long = np.concatenate([np.diff(np.append(np.searchsorted(wid, np.arange(len(word_at))), len(flat))), np.ones(int((kind == HAN).sum()))])[order]
+    stats["same_tens"] = _sum(doc_of[places], long * _covered(tens, len(places), TEN), d)
     # A sign that is no word goes with the word before it.
     owner = np.searchsorted(places, np.arange(n), side="right") - 1
     said = np.zeros(n, bool)
@@ -277,9 +303,8 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def _again(tokens: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Places of the runs of words that occur before in their text."""
-    k = REPEATED_RUN
+def _again(tokens: np.ndarray, doc: np.ndarray, k: int = REPEATED_RUN) -> np.ndarray:
+    """Places of the runs of k words that occur before in their text."""
     if len(tokens) < k:
         return np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
@@ -292,9 +317,9 @@ def _again(tokens: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return order[1:][same]
 
 
-def _covered(again: np.ndarray, n: int) -> np.ndarray:
-    """Which of n words are in the runs at the given places."""
-    change = np.bincount(again, minlength=n + 1)[: n + 1] - np.bincount(again + REPEATED_RUN, minlength=n + 1)[: n + 1]
+def _covered(again: np.ndarray, n: int, k: int = REPEATED_RUN) -> np.ndarray:
+    """Which of n words are in the runs of k words at the given places."""
+    change = np.bincount(again, minlength=n + 1)[: n + 1] - np.bincount(again + k, minlength=n + 1)[: n + 1]
     return np.cumsum(change)[:n] > 0
 
 
@@ -338,6 +363,8 @@ def _failures(get, total: np.ndarray) -> np.ndarray:  # noqa: ANN001
     broken = [
         words < WORD_COUNT[0], words > WORD_COUNT[1], (get("spaced") * 2 > words) & ((length < WORD_LENGTH[0]) | (length > WORD_LENGTH[1])), get("dots") > SIGNS_PER_WORD * some,
         get("bullets") > BULLET_LINES * lines, get("trails") > ELLIPSIS_LINES * lines, words < ALPHABETIC_WORDS * (words + get("numbers")), get("common") < STOP_WORDS,
+        get("same_lines") > SAME_LINES * get("whole_lines"), get("same_line_signs") > SAME_LINE_SIGNS * total, get("same_tens") > SAME_TENS * total, get("closed") <= CLOSED_LINES * lines,
+        get("short_lines") >= SHORT_LINES * np.maximum(get("whole_lines"), 1),
     ]
     return np.where(total > 0, sum(b.astype(np.int64) << i for i, b in enumerate(broken)), 0)
 
@@ -354,7 +381,8 @@ def text_quality(df: DataFrame, common_words: DataFrame, id_col: str = "doc_id",
     random letters), garbled, repetition (the same run of words again and again). Signs of other lines in runs of words that
     occur before in the text count towards the half, too. Null, empty and blank texts have the
     reason 'empty', 0 words, null ratios and no failures. `failures` names the published rules for whole texts that a text breaks
-    (see RULES), which don't bear on the reason: they can't tell whether more than half of a text is prose. Texts are measured where they lie, many at a time; there is no shuffle.
+    (see RULES), which don't bear on the reason: they can't tell whether more than half of a text is prose
+    (README has the figures of both). Texts are measured where they lie, many at a time; there is no shuffle.
     """
     words = [r.word for r in small_rows(common_words.select("word").distinct()) if r.word]
     rows = df.select(F.col(id_col), F.col(text_col).alias("_text"))

@@ -86,12 +86,17 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_stats(spark, d).where("reason IS NOT NULL AND reason <> 'empty'").select("doc_id")
 
 
+def p7_published(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that break two or more of the published rules for whole texts."""
+    return p7_stats(spark, d).where("size(failures) > 1").select("doc_id", "failures")
+
+
 def p7_stats(spark: SparkSession, d: str) -> DataFrame:
     return text_quality(table(spark, d, "documents"), table(spark, d, "common_words"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p6_strict_shares, p7_found, p7_stats)}
+    return {f.__name__: f for f in (p1_found, p1_splits, p1_report, p2_census, p2_domains, p3_found, p3_coverage, p3_report, p4_packs, p4_report, p5_ids, p6_mixture, p6_shares, p6_strict_shares, p7_found, p7_published, p7_stats)}
 
 
 #: Frames of recordings as the SQL sees them; it knows the spellings of the test tables, not all that the operator reads.

@@ -64,13 +64,18 @@ JUNK = {
 }
 
 
+#: Texts of which another reason holds as well, and comes first: a log line has fields, a short phrase has no function words.
+OTHER_REASON = {"2025-04-23 00:53:23,454 [DEBUG] loader.py:18 rank=18 step=4284 loss=2.5000": "table", "look north " * 9: "words"}
+
+
 def test_verdicts(spark):
     rows = [(None, t) for t in PROSE] + [(k, t) for k, ts in JUNK.items() for t in ts]
     df = spark.createDataFrame([(i, t, w, i) for i, (w, t) in enumerate(rows)], "doc_id bigint, text string, want string, reason int")
     common = spark.createDataFrame(COMMON, "lang string, word string")
     got = quality.text_quality(df.repartition(3), common).join(df.select("doc_id", "text", "want"), "doc_id").collect()
     assert [(r.text, r.reason, r.want) for r in got if (r.reason is None) != (r.want is None)] == []
-    assert sum(r.reason == r.want for r in got) >= len(got) - 4
+    other = {r.text: r.reason for r in got if r.reason != r.want}
+    assert other == OTHER_REASON, other
     empty = [r for r in got if r.want == "empty"]
     assert all(r.n_words == 0 and r.mean_word_length is None and r.not_prose_share is None for r in empty)
     assert quality.text_quality(df.where("false"), common).collect() == [] and len(got) == len(rows)
@@ -104,12 +109,48 @@ def test_statistics():
     assert m["common_word_share"].tolist() == [pytest.approx(4 / 7), 0.5]
 
 
+def broken(text):
+    c = quality.Common([w for _, w in COMMON if w])
+    failures = int(quality.measure([text], c)["failures"][0])
+    return [r for i, r in enumerate(quality.RULES) if failures >> i & 1]
+
+
 def test_published_rules():
+    said = " ".join(f"The agent was at the {x} gate, and it waited for the {y} to go off." for x, y in zip("north south east west".split(), "alarm lamp bell horn".split(), strict=True))
+    assert broken(said) == [] and broken("") == []
+    assert broken("the key of it...\nthe lamp is in a box…") == ["too_few_words", "word_length", "signs_per_word", "ellipsis_lines", "short_lines"]
+    assert broken("- qqqqqqqqqqqqq 1 2 3\n- wwwwwwwwwwwwwww 4 5 6") == ["too_few_words", "word_length", "bullet_lines", "alphabetic_words", "stop_words", "closed_lines", "short_lines"]
+    assert broken((said + "\n") * 2) == ["same_lines", "same_line_signs", "same_tens"]
+    assert broken(said + "\n" + "the lamp\n" * 3) == ["same_lines", "short_lines"]
+    assert broken(said.replace(".", ";") + "\n" + said.replace("gate", "door").replace(".", ":")) == ["same_tens", "closed_lines"]
+
+
+#: Kinds of text that none of the rules were made for, with whether they are prose.
+HELD_OUT = [
+    (False, '{"name": "gate", "keys": [1, 2, 3], "open": false, "at": {"x": 3.5, "y": -2}}\n{"name": "lamp", "keys": [], "open": true, "at": {"x": 0.5, "y": 7}}'),
+    (False, "SELECT gate, count(*) FROM keys WHERE open = 1 GROUP BY gate;\nINSERT INTO keys VALUES (1, 'north', 3.5), (2, 'south', 4.5);\nDELETE FROM keys WHERE id = 7;"),
+    (False, "  /\\_/\\\n ( o.o )\n  > ^ <\n /|   |\\\n(_|   |_)"),
+    (False, "1. e4 e5 2. Nf3 Nc6 3. Bb5 a6 4. Ba4 Nf6 5. O-O Be7 6. Re1 b5 7. Bb3 d6 8. c3 O-O"),
+    (False, "def open_gate(keys):\n    for k in keys:\n        if k.fits():\n            return True\n    return False\n\nx = open_gate([1, 2])"),
+    (False, "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Q=\nU29tZSBvdGhlciB0ZXh0IHRoYXQgaXMgbG9uZw==\nYW5kIHN0aWxsIG1vcmUgdGV4dCBmb3IgaXQ="),
+    (False, "key;place;count\nred;north gate;3\nblue;south gate;4\ngreen;old tower;11\nblack;mill;2"),
+    (False, "GET /gate/3 200 12ms\nGET /gate/4 404 3ms\nPOST /key 201 44ms\nGET /lamp/9 200 8ms"),
+    (False, "😀😀🎮🎮🔥🔥💎💎🗝🗝🗝😀🎮🔥"),
+    (False, "ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha ha"),
+    (True, "Dear Lio,\n\nI was at the gate for an hour, but you did not come. The lamp was on, and we had to go.\n\nYours,\nBex"),
+    (True, "\"Was it you?\" she asked. \"No,\" he said, \"it was the bell in the tower.\" They went on in the rain."),
+    (True, "i was at the gate and it was late so we had to wait for you but it is ok"),
+    (True, "Der Turm ist nicht in der Stadt. Wir gehen zu den Brücken, und das Licht ist für die Boote."),
+    (True, "我们在桥的旁边等了很久，不过他没有来。天黑了，我就回去了。"),
+    (True, "He had 3 keys and 12 lamps, of which 4 were lost on 5 May; at 7 it was over, and we had 11 to go."),
+]
+
+
+def test_kinds_of_text_the_rules_have_not_seen():
     c = quality.Common([w for _, w in COMMON if w])
-    names = lambda t: [r for i, r in enumerate(quality.RULES) if int(quality.measure([t], c)["failures"][0]) >> i & 1]
-    assert names(PROSE[0] * 4) == [] and names("") == [] and names("我在北门的时候，警报就响了。" * 9) == []
-    assert names("the key of it...\nthe lamp is in a box…") == ["too_few_words", "word_length", "signs_per_word", "ellipsis_lines"]
-    assert names("- qqqqqqqqqqqqq 1 2 3\n- wwwwwwwwwwwwwww 4 5 6") == ["too_few_words", "word_length", "bullet_lines", "alphabetic_words", "stop_words"]
+    verdicts = quality.measure([t for _, t in HELD_OUT], c)["verdict"].tolist()
+    wrong = [t for (prose, t), v in zip(HELD_OUT, verdicts, strict=True) if (v < 0) != prose]
+    assert wrong == []
 
 
 def test_texts_are_measured_each_for_itself():
