@@ -6,7 +6,9 @@ import hashlib
 from pathlib import Path
 from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +78,57 @@ def with_group_index(df: DataFrame, groups: list[str], order: list[str | Column]
     return ranged.join(shift, same).withColumn(name, local + F.col("__shift")).drop("__id", "__part", "__shift", *keys)
 
 
+def with_places(df: DataFrame, order: list[str | Column], groups: dict[str, list[str]]) -> DataFrame:
+    """`df` with the place of each row among the rows of its group in one order, from 0, for several groupings {name of the place: columns} at once.
+
+    One sort by ranges serves all groupings. Tasks count the rows of each group they have met (so the groups of a range have
+    to be few: sources, phases), and counts by range and group, at most COUNTED on the driver, give what lies before.
+    """
+    ranged = _ranged(df, order)
+    names = list(groups)
+    keys = {n: F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in cols]) for n, cols in groups.items()}
+    coded = ranged.select("*", *[keys[n].alias(f"__of_{n}") for n in names])
+    fields = [f for f in coded.schema.fields if f.name not in {f"__of_{n}" for n in names}]
+    schema = T.StructType([*fields, *[T.StructField(f"__of_{n}", T.StringType()) for n in names], *[T.StructField(n, T.LongType()) for n in names]])
+
+    def run(batches):  # noqa: ANN001, ANN202
+        seen: list[dict[str, int]] = [{} for _ in names]
+        now = -1
+        for b in batches:
+            # A task may read several ranges; each begins anew.
+            part = np.asarray(b.column(b.schema.get_field_index("__id"))) >> 33
+            for begin in np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() if b.num_rows else []:
+                end = begin + int(np.searchsorted(part[begin:], part[begin], side="right"))
+                piece = b.slice(begin, end - begin)
+                if part[begin] != now:
+                    now, seen = part[begin], [{} for _ in names]
+                places = []
+                for n, counts in zip(names, seen, strict=True):
+                    code = piece.column(piece.schema.get_field_index(f"__of_{n}")).dictionary_encode()
+                    index, words = np.asarray(code.indices), code.dictionary.to_pylist()
+                    by = np.argsort(index, kind="stable")
+                    first = np.searchsorted(index[by], np.arange(len(words)))
+                    place = np.empty(len(index), np.int64)
+                    place[by] = np.arange(len(index)) - first[index[by]] + np.array([counts.get(w, 0) for w in words])[index[by]]
+                    for w, k in zip(words, np.bincount(index, minlength=len(words)).tolist(), strict=True):
+                        counts[w] = counts.get(w, 0) + k
+                    places.append(pa.array(place))
+                yield pa.RecordBatch.from_arrays([*piece.columns, *places], names=schema.names)
+
+    placed = coded.mapInArrow(run, schema)
+    part = F.shiftright("__id", 33)
+    for n in names:
+        counts = small_rows(coded.groupBy(part.alias("p"), F.col(f"__of_{n}").alias("g")).agg(F.count("*").alias("n")), COUNTED)
+        seen: dict[str, int] = {}
+        before = []
+        for r in sorted(counts):
+            before.append((r.p, r.g, seen.get(r.g, 0)))
+            seen[r.g] = seen.get(r.g, 0) + r.n
+        shift = df.sparkSession.createDataFrame(before, "__p bigint, __g string, __before bigint").coalesce(1)
+        placed = placed.join(F.broadcast(shift), (part == F.col("__p")) & (F.col(f"__of_{n}") == F.col("__g"))).withColumn(n, F.col(n) + F.col("__before")).drop("__p", "__g", "__before")
+    return placed.drop("__id", *[f"__of_{n}" for n in names])
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = False) -> DataFrame:
     """Rows of JSON Lines with a declared schema; blank lines are skipped. With `recursive`, all *.jsonl below a folder; none is an error."""
     reader = spark.read.schema(schema)

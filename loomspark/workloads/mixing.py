@@ -13,7 +13,7 @@ from loomspark.functions.logs import step_of
 from loomspark.operators import packing, resume
 from loomspark.operators.reports import violations
 from loomspark.plans import mixture as M
-from loomspark.session import small_rows, table
+from loomspark.session import cut, small_rows, table
 from loomspark.sources.readers import footers, with_group_index, with_row_index
 from loomspark.streaming.tail import channel_totals, continued_totals
 from loomspark.workloads import query
@@ -134,8 +134,7 @@ INTERLEAVED = f"""{PLAN}, u AS (SELECT CAST(phase AS INTEGER) AS phase, dataset,
 
 @query(f"WITH {INTERLEAVED} SELECT * FROM mixed")
 def m07_interleaved(spark: SparkSession, d: str) -> DataFrame:
-    plan, uses = _uses(spark, d)
-    return M.interleave(uses, plan).select("phase", F.col("slot").cast("bigint").alias("slot"), "dataset", "occurrence")
+    return M.interleaved(spark, _plan(spark, d))
 
 
 @query(
@@ -145,8 +144,7 @@ def m07_interleaved(spark: SparkSession, d: str) -> DataFrame:
     f"ORDER BY sha256('{SEED}:drain:' || phase || ':' || slot), slot) - 1 END AS slot, dataset, occurrence FROM l"
 )
 def m08_buffered(spark: SparkSession, d: str) -> DataFrame:
-    plan, uses = _uses(spark, d)
-    return M.buffered(M.interleave(uses, plan), SEED, 128).select("phase", "slot", "dataset", "occurrence")
+    return M.buffered(cut(M.interleaved(spark, _plan(spark, d))), SEED, 128).select("phase", "slot", "dataset", "occurrence")
 
 
 @query(f"WITH {PLAN}, c AS (SELECT dataset, count(*) AS n, sum(count) AS total FROM quotas GROUP BY dataset) SELECT 'totals' AS \"check\", count(*) AS violations FROM plan JOIN c USING (dataset) WHERE total <> target UNION ALL SELECT 'manifest', 0")
@@ -437,8 +435,8 @@ CURSORS = f"""{INTERLEAVED}, t AS (SELECT CAST(sum(target) AS BIGINT) // 2 AS ne
 
 @query(f"WITH {CURSORS} SELECT dataset, count(*) FILTER (WHERE pos < next_pos) AS occurrence, count(*) FILTER (WHERE pos < next_pos) // size AS logical_pass, count(*) FILTER (WHERE pos < next_pos) % size AS emitted_in_pass, target - count(*) FILTER (WHERE pos < next_pos) AS remaining FROM g JOIN plan USING (dataset) GROUP BY dataset, size, target")
 def x02_cursors(spark: SparkSession, d: str) -> DataFrame:
-    plan, uses = _uses(spark, d)
-    return resume.cursors(M.positions(M.interleave(uses, plan), plan), plan.datasets_df(spark), plan.total // 2)
+    plan = _plan(spark, d)
+    return resume.cursors(M.positions(M.interleaved(spark, plan), plan), plan.datasets_df(spark), plan.total // 2)
 
 
 @query(
@@ -447,8 +445,8 @@ def x02_cursors(spark: SparkSession, d: str) -> DataFrame:
 )
 def x01_buffer(spark: SparkSession, d: str) -> DataFrame:
     """The rows a buffer of 128 holds when half of the mixture has come in."""
-    plan, uses = _uses(spark, d)
-    return M.held_rows(M.positions(M.interleave(uses, plan), plan), SEED, 128, plan.total // 2)
+    plan = _plan(spark, d)
+    return M.held_rows(cut(M.positions(M.interleaved(spark, plan), plan)), SEED, 128, plan.total // 2)
 
 
 @query(

@@ -28,6 +28,17 @@ def test_group_index(spark, monkeypatch):
     assert readers.with_group_index(spark.createDataFrame([], "g string, i int"), ["g"], ["i"]).count() == 0
 
 
+def test_places_of_several_groupings(spark):
+    data = [("a" if i % 3 else None, i % 2, (i * 37) % 300) for i in range(300)]
+    for parts in (1, 6):
+        got = readers.with_places(spark.createDataFrame(data, "g string, h int, i int").repartition(parts), ["i"], {"x": ["g"], "y": ["g", "h"], "z": ["h"]}).collect()
+        for name, key in (("x", lambda r: r.g), ("y", lambda r: (r.g, r.h)), ("z", lambda r: r.h)):
+            for k in {key(r) for r in got}:
+                assert [r[name] for r in sorted(got, key=lambda r: r.i) if key(r) == k] == list(range(sum(key(r) == k for r in got)))
+        assert len(got) == 300
+    assert readers.with_places(spark.createDataFrame([], "g string, i int"), ["i"], {"x": ["g"]}).count() == 0
+
+
 def test_jsonl(spark, tmp_path):
     rows = [{"messages": [{"role": "user", "content": "继续\n\"x\""}], "images": ["a.jpg"], "game": None, "channel": "c"}, {"messages": [], "images": None, "game": "g", "channel": None}]
     df = spark.createDataFrame([(r["messages"], r["images"], r["game"], r["channel"]) for r in rows], schemas.TRAINING_ROW)
