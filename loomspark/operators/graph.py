@@ -62,7 +62,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     aggregates, and edges get them by `hot_join`, which doesn't shuffle the edges of nodes with very many.
     """
     e = edges.where("a IS NOT NULL AND b IS NOT NULL").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e = cut(e)
     nodes_only = e.where("a = b").select("a", "b")
     e = cut(e.where("a > b").mapInArrow(_united, "a bigint, b bigint").distinct())
     before, size = None, e.count()

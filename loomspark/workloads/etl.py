@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomspark.functions import chat, paths
 from loomspark.functions.hashing import order_key
-from loomspark.operators import reports, resume, split
+from loomspark.operators import hooks, reports, resume, split
 from loomspark.operators.graph import small_broadcast
 from loomspark.operators.intervals import locate
 from loomspark.session import small_rows, table
@@ -521,3 +522,40 @@ def c25_arrays(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT train_id, sha256('{SEED}:' || train_id) AS key FROM train")
 def o01_order_key(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "train").select("train_id", order_key(SEED, F.col("train_id")).alias("key"))
+
+
+UNIFIED = T.StructType([T.StructField("id", T.LongType()), T.StructField("channel", T.StringType()), T.StructField("turns", T.IntegerType()), T.StructField("images", T.IntegerType()), T.StructField("at", T.TimestampNTZType())])
+
+
+@query(
+    "SELECT train_id AS id, channel, CAST(len(messages) AS INTEGER) AS turns, CAST(len(images) AS INTEGER) AS images, recorded_at AS at, 'train' AS source, 0 AS source_ord FROM train "
+    "UNION ALL SELECT traj_id, dataset, CAST(len(conversations) AS INTEGER), CAST(len(images) AS INTEGER), exported_at, 'raw', 1 FROM raw_trajectories "
+    "UNION ALL SELECT doc_id, channel, NULL, NULL, collected_at, 'documents', 2 FROM documents"
+)
+def h01_column_maps(spark: SparkSession, d: str) -> DataFrame:
+    """Three sources under one schema, each by its own map of columns."""
+    train, raw, docs = table(spark, d, "train"), _raw(spark, d), table(spark, d, "documents")
+    size = lambda df, c: chat.list_size(df, c)
+    return hooks.unified(
+        [
+            ("train", train, {"id": "train_id", "channel": "channel", "turns": size(train, "messages"), "images": size(train, "images"), "at": "recorded_at"}),
+            ("raw", raw, {"id": "traj_id", "channel": "dataset", "turns": size(raw, "conversations"), "images": size(raw, "images"), "at": "exported_at"}),
+            ("documents", docs, {"id": "doc_id", "channel": "channel", "at": "collected_at"}),
+        ],
+        UNIFIED,
+    )
+
+
+def _windows(row: dict) -> list[dict]:
+    """An item for each answered turn: its number and the signs of question and answer."""
+    turns = row["messages"] or []
+    of = lambda m: (m or {}).get("content") or ""
+    role = lambda m: (m or {}).get("role")
+    return [{"turn": i, "chars": len(of(a)) + len(of(b))} for i, (a, b) in enumerate(zip(turns, turns[1:], strict=False)) if role(a) == "user" and role(b) == "assistant"]
+
+
+@query(f"WITH {PAIRS} SELECT train_id, turn, length(coalesce(question, '')) + length(coalesce(answer, '')) AS chars, pair AS item, CAST(NULL AS VARCHAR) AS error FROM pairs")
+def h02_items_of_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Any number of items of a row by a function of the user's own."""
+    items = T.StructType([T.StructField("turn", T.LongType()), T.StructField("chars", T.LongType())])
+    return hooks.expand(table(spark, d, "train").select("train_id", "messages"), _windows, items, ["train_id"])

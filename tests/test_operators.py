@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark.operators import packing, reports, resume, split
+from loomspark.operators import hooks, packing, reports, resume, split
 from loomspark.operators.intervals import locate
 from loomspark.operators.graph import connected_components, hot_join, spread_join
 
@@ -182,3 +182,23 @@ def test_components_with_a_hub_of_half_of_all_nodes(spark):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(7)).collect()}
     assert {n for n, x in got.items() if x == 0} == {*range(3000), 5000, *range(10_000, 10_061)}
     assert all(got[a] == got[b] == a for a, b in pairs) and len(got) == 3062 + 1000
+
+
+def test_items_of_rows(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1, 3), (2, 0), (3, None), (4, -1)], "id bigint, n int")
+
+    def make(row):
+        if (row["n"] or 0) < 0:
+            raise ValueError("negative")
+        return [{"x": i, "other": 1} for i in range(row["n"] or 0)]
+
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    got = sorted((r.id, r.item, r.x, r.error) for r in hooks.expand(df, make, schema, ["id"], strict=False).collect() if r.error is None)
+    assert got == [(1, 0, 0, None), (1, 1, 1, None), (1, 2, 2, None)]
+    assert [(r.id, r.x, r.item) for r in hooks.expand(df, make, schema, ["id"], strict=False).where("error = 'negative'").collect()] == [(4, None, None)]
+    with pytest.raises(Exception, match="negative"):
+        hooks.expand(df, make, schema, ["id"]).collect()
+    with pytest.raises(ValueError, match="isn't declared"):
+        hooks.unified([("a", df, {"y": "id"})], schema)
