@@ -21,8 +21,8 @@ from loomspark.session import cut
 
 #: Fixed by the definition: at most one word in so many of the longer text differs.
 ONE_IN = 10
-#: Words of a run in texts of the training table below SHORT words, and from there on.
-SHORT, SHORT_RUN, RUN = 40, 4, 6
+#: Words of a block, and of a run in it, in texts of the training table below SHORT words, and from there on.
+SHORT, SHORT_BLOCK, SHORT_RUN, BLOCK, RUN = 40, 4, 3, 6, 5
 #: Counts of the evaluation table's runs lie in 2 ** TABLE_BITS cells of two bytes; parts of the table travel in SLICES.
 TABLE_BITS, SLICES = 22, 64
 #: Runs counted more often are hot: they meet only within a class of lengths (steps of LENGTH_STEP) and a place in the text (PLACE_SHARE of that length).
@@ -68,11 +68,42 @@ def runs(h: np.ndarray, off: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.n
     return doc, place, g[off[doc] + place] ^ np.uint64(k * 0x632BE59BD9B4E019 % (1 << 64))
 
 
-def asked(h: np.ndarray, off: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All runs of texts of the evaluation table, of each length that a text within the definition may be cut into."""
-    n = np.diff(off)[docs]
+def _tiers(n: np.ndarray, docs: np.ndarray) -> list[tuple[np.ndarray, int, int]]:
+    """(documents, words of a block, words of a run) of texts of the evaluation table; near SHORT a text belongs to both kinds, as a match may have fewer or more words."""
+    n = n[docs]
     near = n < SHORT + SHORT // (ONE_IN - 1) + 1, n >= SHORT - SHORT // ONE_IN - 1
-    parts = [runs(h, off, docs[w], k) for w, k in zip(near, (SHORT_RUN, RUN), strict=True)]
+    return [(docs[near[0]], SHORT_BLOCK, SHORT_RUN), (docs[near[1]], BLOCK, RUN)]
+
+
+def all_runs(h: np.ndarray, off: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of texts of the evaluation table."""
+    return np.concatenate([runs(h, off, d, k)[2] for d, _, k in _tiers(np.diff(off), docs)])
+
+
+def _order(g: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """By what runs are compared: the count in the table, then the hash."""
+    return table[cell(g, len(table).bit_length() - 1)].astype(np.uint64) << np.uint64(48) | g >> np.uint64(16)
+
+
+def winnow(doc: np.ndarray, order: np.ndarray, w: int) -> np.ndarray:
+    """Which runs are the least (the first among equals) of some w neighbouring runs of one text."""
+    windows = len(doc) - w + 1
+    if windows < 1:
+        return np.zeros(0, np.int64)
+    least, at = order[:windows].copy(), np.zeros(windows, np.int64)
+    for j in range(1, w):
+        less = order[j : windows + j] < least
+        least[less], at[less] = order[j : windows + j][less], j
+    return np.unique((np.arange(windows) + at)[doc[:windows] == doc[w - 1 :]])
+
+
+def asked(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, hash) of the fingerprints of texts of the evaluation table: the rarest run of every stretch as long as a block."""
+    parts = []
+    for d, block, k in _tiers(np.diff(off), docs):
+        doc, place, g = runs(h, off, d, k)
+        use = winnow(doc, _order(g, table), block - k + 1)
+        parts.append((doc[use], place[use], g[use]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -93,16 +124,22 @@ def cell(seed: np.ndarray, bits: int) -> np.ndarray:
 def chosen(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, place, hash, count) of the blocks by which texts of the training table look for near copies.
 
-    A text is cut into blocks of k words side by side. An edit breaks one block at most (a word put in between two breaks
-    none), so of any most_edits + 1 blocks one is a run of every text within the definition. Those are taken whose runs
-    are rarest by `table`; a block whose run the evaluation table lacks (count 0) has its place among them, but isn't sent.
+    A text is cut into blocks side by side. An edit breaks one block at most (a word put in between two breaks none), so of
+    any most_edits + 1 blocks one is a stretch of every text within the definition, and the block's rarest run is one of that
+    text's fingerprints (see `asked`). Those blocks are taken whose rarest runs are rarest; one whose run the evaluation table
+    lacks (count 0) has its place among them, but isn't sent.
     """
     n = np.diff(off)
     parts = []
-    for short, k in ((True, SHORT_RUN), (False, RUN)):
-        doc, place, g = runs(h, off, docs[(n[docs] < SHORT) == short], k)
-        grid = place % k == 0
-        parts.append((doc[grid], place[grid], g[grid]))
+    for short, block, k in ((True, SHORT_BLOCK, SHORT_RUN), (False, BLOCK, RUN)):
+        d = docs[(n[docs] < SHORT) == short]
+        g = rolling(h, k) ^ np.uint64(k * 0x632BE59BD9B4E019 % (1 << 64))
+        many = n[d] // block
+        doc = np.repeat(d, many)
+        start = (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)) * block
+        inside = (off[doc] + start)[:, None] + np.arange(block - k + 1)[None]
+        least = _order(g[inside], table).argmin(1) if len(doc) else np.zeros(0, np.int64)
+        parts.append((doc, start + least, g[inside[np.arange(len(doc)), least]]))
     doc, place, g = (np.concatenate(x) for x in zip(*parts, strict=True))
     count = table[cell(g, len(table).bit_length() - 1)]
     order = np.lexsort((g, count, doc))
@@ -139,8 +176,8 @@ def _keys(seed: np.ndarray, side: int) -> np.ndarray:
 
 
 def asked_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, key, length and place) of all runs of texts of the evaluation table."""
-    doc, place, g = asked(h, off, docs)
+    """(document, key, length and place) of the fingerprints of texts of the evaluation table."""
+    doc, place, g = asked(h, off, docs, table)
     m = np.diff(off)[doc]
     hot = np.flatnonzero(table[cell(g, len(table).bit_length() - 1)] > HOT)
     length = _length_class(m[hot])
@@ -256,8 +293,7 @@ def run_counts(rows: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
         for batch in batches:
             for _, _, part in _texts(batch, 1):
                 h, off = word_hashes(part)
-                _, _, g = asked(h, off, fresh.of(*text_hashes(h, off), np.diff(off) >= ONE_IN - 1))
-                waiting.append(cell(g, bits))
+                waiting.append(cell(all_runs(h, off, fresh.of(*text_hashes(h, off), np.diff(off) >= ONE_IN - 1)), bits))
                 if sum(map(len, waiting)) > AT_ONCE:
                     add()
         add()
@@ -278,7 +314,7 @@ def run_counts(rows: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
 
 
 def asked_seeds(rows: DataFrame, table: Broadcast) -> DataFrame:
-    """Columns of SEED for all runs of rows (id, text) of the evaluation table; a text met before in the task gives none again."""
+    """Columns of SEED for the fingerprints of rows (id, text) of the evaluation table; a text met before in the task gives none again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = _Fresh()

@@ -70,13 +70,26 @@ def flat(docs):
 
 def test_every_text_has_the_blocks_wanted():
     n = np.arange(0, 3000)
-    k = np.where(n < overlap.SHORT, overlap.SHORT_RUN, overlap.RUN)
-    assert (overlap.blocks_of(n)[9:] <= (n // k)[9:]).all() and (overlap.blocks_of(n)[:9] == 0).all()
+    block = np.where(n < overlap.SHORT, overlap.SHORT_BLOCK, overlap.BLOCK)
+    assert (overlap.blocks_of(n)[9:] <= (n // block)[9:]).all() and (overlap.blocks_of(n)[:9] == 0).all()
     m = n[:, None] + np.arange(400)[None]
     allowed = m // 10 >= m - n[:, None]
     assert ((m // 10 * allowed).max(1) == overlap.most_edits(n)).all()
 
 
+def test_every_stretch_has_its_least_run():
+    rng = random.Random(6)
+    for w in (1, 2, 3, 5):
+        docs = [[rng.randrange(6) for _ in range(rng.randrange(12))] for _ in range(30)]
+        doc = np.repeat(np.arange(30), [len(d) for d in docs])
+        flat_ = np.array([x for d in docs for x in d], np.uint64)
+        want, at = set(), 0
+        for d in docs:
+            want |= {at + i + min(range(w), key=lambda j: (d[i + j], j)) for i in range(len(d) - w + 1)}
+            at += len(d)
+        assert overlap.winnow(doc, flat_, w).tolist() == sorted(want)
+
+
 @pytest.mark.parametrize("hot", [overlap.HOT, 0])
 def test_some_block_meets_whatever_the_edits(hot, monkeypatch):
     """Rows of both sides through `hits_of`: any text within the definition shares the blocks wanted, for random and for evenly spread edits, with and without classes of places."""
@@ -100,7 +113,7 @@ def test_some_block_meets_whatever_the_edits(hot, monkeypatch):
     (ht, ot), (hv, ov) = flat(train), flat(val)
     every = np.arange(400)
     table = np.zeros(1 << 12, np.uint16)
-    np.add.at(table, overlap.cell(overlap.asked(hv, ov, every[np.diff(ov) >= 9])[2], 12), 1)
+    np.add.at(table, overlap.cell(overlap.all_runs(hv, ov, every[np.diff(ov) >= 9]), 12), 1)
     t, v = overlap.chosen_rows(ht, ot, every, table), overlap.asked_rows(hv, ov, every[np.diff(ov) >= 9], table)
     rows = np.concatenate([np.stack([t[1], t[2], t[0]]), np.stack([v[1], v[2], v[0]])], axis=1)
     rows = rows[:, np.lexsort((rows[1], rows[0]))]
