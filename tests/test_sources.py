@@ -141,3 +141,18 @@ def test_missing_files_and_stats(spark, tmp_path):
     assert [r.p for r in sinks.missing_files(df, "p", str(tmp_path)).collect()] == ["b.jpg"]
     sinks.write_stats(spark.createDataFrame([(0, 5), (1, None)], "rank int, n int"), str(tmp_path / "stats"), "rank")
     assert (tmp_path / "stats" / "_SUCCESS").exists() and json.loads(next((tmp_path / "stats" / "rank=1").glob("*.json")).read_text()) == {"n": None}
+
+
+def test_snapshot(spark, tmp_path):
+    from loomspark.sources.files import snapshot
+
+    for name in ("a.parquet", "deep/b.parquet", "deep/c.json", "note.txt"):
+        (tmp_path / "from" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "from" / name).write_text(name)
+    take = lambda: sorted(map(tuple, snapshot(spark, str(tmp_path / "from"), f"file://{tmp_path}/to", ["*.parquet", "note.*"]).collect()))
+    assert take() == [("a.parquet", 9, True), ("deep/b.parquet", 14, True), ("note.txt", 8, True)]
+    assert (tmp_path / "to" / "deep" / "b.parquet").read_text() == "deep/b.parquet" and not (tmp_path / "to" / "deep" / "c.json").exists()
+    (tmp_path / "to" / "a.parquet").write_text("short")
+    assert [c for _, _, c in take()] == [True, False, False]
+    with pytest.raises(FileNotFoundError):
+        snapshot(spark, str(tmp_path / "from"), str(tmp_path / "to"), ["*.csv"])
