@@ -249,6 +249,12 @@ def footers(spark: SparkSession, paths: list[str]) -> DataFrame:
     return groups.select(F.col("path").alias("file"), "row_group", "rows", "ordinal")
 
 
+def chunks_of(groups: DataFrame, first: int = 0) -> DataFrame:
+    """(file, rows, chunk_id) of the files of `footers`: numbered from `first` in the order of their last path parts, then of their paths."""
+    each = groups.groupBy("file").agg(F.sum("rows").alias("rows")).withColumn("_name", F.regexp_extract("file", "([^/]*)$", 1))
+    return with_row_index(each, "_name", "file", name="chunk_id").select("file", "rows", (F.col("chunk_id") + first).alias("chunk_id"))
+
+
 def row_addresses(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """The columns of a Parquet table with `row_index`, the place of each row in its files taken in the order of their names.
 

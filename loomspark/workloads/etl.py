@@ -13,7 +13,7 @@ from loomspark.operators import hooks, reports, resume, split
 from loomspark.operators.graph import small_broadcast
 from loomspark.operators.intervals import locate
 from loomspark.session import small_rows, table
-from loomspark.sources.readers import catalog_rows, footers, row_addresses, with_row_index
+from loomspark.sources.readers import catalog_rows, chunks_of, footers, row_addresses, with_row_index
 from loomspark.sources.sinks import image_path
 from loomspark.workloads import query
 
@@ -42,6 +42,15 @@ def s02_chunk_ids(spark: SparkSession, d: str) -> DataFrame:
     return split.chunk_split(_raw(spark, d), "shard", 0).select("shard", "chunk_id")
 
 
+@query(
+    "SELECT 0::BIGINT AS chunk_id, 'customer' AS name, count(*) AS rows FROM customer UNION ALL SELECT 1, 'nation', count(*) FROM nation UNION ALL SELECT 2, 'part', count(*) FROM part UNION ALL SELECT 3, 'supplier', count(*) FROM supplier"
+)
+def s02_file_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Files numbered in the order of their names, with their rows."""
+    groups = footers(spark, [f"{d}/{t}.parquet" for t in ("supplier", "nation", "part", "customer")])
+    return chunks_of(groups).select("chunk_id", F.regexp_extract("file", r"([^/]+)\.parquet$", 1).alias("name"), "rows")
+
+
 @query("SELECT count(*) AS n, CAST(sum(len(images)) AS BIGINT) AS images, CAST(sum(len(conversations)) AS BIGINT) AS turns FROM raw_trajectories")
 def s03_pruned_scan(spark: SparkSession, d: str) -> DataFrame:
     raw = _raw(spark, d)
@@ -299,11 +308,12 @@ def w05_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "SELECT e.traj, e.turn, e.gt, e.pred FROM (SELECT DISTINCT traj, turn, gt FROM eval_records) g JOIN (SELECT traj, turn, pred, gt FROM eval_records WHERE pred IS NOT NULL) e USING (traj, turn, gt)"
+    "SELECT traj, turn, g.gt, p.pred FROM (SELECT DISTINCT traj, turn, pred FROM eval_records WHERE pred IS NOT NULL) p JOIN (SELECT DISTINCT traj, turn, gt FROM eval_records) g USING (traj, turn)"
 )
 def j05_pred_truth(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "eval_records")
-    return e.select("traj", "turn", "gt").distinct().join(e.where("pred IS NOT NULL").select("traj", "turn", "gt", "pred"), ["traj", "turn", "gt"]).select("traj", "turn", "gt", "pred")
+    predictions, truths = e.where("pred IS NOT NULL").select("traj", "turn", "pred").distinct(), e.select("traj", "turn", "gt").distinct()
+    return predictions.join(truths, ["traj", "turn"]).select("traj", "turn", "gt", "pred")
 
 
 SHARDS = "s AS (SELECT shard, count(*) AS n FROM raw_trajectories GROUP BY shard), c AS (SELECT shard, n, CAST(sum(n) OVER (ORDER BY shard) - n AS BIGINT) AS start FROM s)"
