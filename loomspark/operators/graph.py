@@ -102,7 +102,11 @@ def hot_join(rows: DataFrame, labels: DataFrame, key: str, share: int = 256, tot
     return rows.where(is_hot).join(F.broadcast(hot), key).unionByName(rows.where(~is_hot).join(cold, key))
 
 
-def small_broadcast(df: DataFrame, most: int = 1 << 18) -> DataFrame:
+#: The most rows of a table that is broadcast; narrow ones, a few MB.
+BROADCAST_ROWS = 1 << 18
+
+
+def small_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint where it has at most `most` rows (narrow ones, a few MB), else `df` as it is, for a join by shuffle."""
     df = cut(df)
     return F.broadcast(df) if df.count() <= most else df
@@ -113,10 +117,13 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], share: int =
 
     Keys with more than 1/share of a side's rows (fewer than `share` a side) are spread: a row of the left side gets one of
     `parts` numbers and comes once for each number of the right side, and the other way round, so such a key is joined by
-    parts * parts tasks. The other keys join as usual. Null keys match nothing. Both sides are read more than once.
+    parts * parts tasks. The other keys join as usual. A right side that `small_broadcast` takes is broadcast instead. Null
+    keys match nothing. Both sides are read more than once.
     """
     spark = left.sparkSession
     sides = [df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)) for df in (left, right)]
+    if sides[1].count() <= BROADCAST_ROWS:
+        return sides[0].join(F.broadcast(sides[1]), keys)
     hot = set()
     for df in sides:
         most = max(1, df.count() // share)

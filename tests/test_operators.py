@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark.operators import hooks, packing, reports, resume, split
+from loomspark.operators import graph, hooks, packing, reports, resume, split
 from loomspark.operators.intervals import locate
 from loomspark.operators.graph import connected_components, hot_join, spread_join
 
@@ -139,8 +139,10 @@ def test_resume(spark, tmp_path):
         resume.latest_valid(["checkpoint-30"], valid)
 
 
-def test_spread_join_equals_join(spark):
+@pytest.mark.parametrize("most", [0, 1 << 18])
+def test_spread_join_equals_join(spark, monkeypatch, most):
     """A key that half of both sides have, one that only one side has often, nulls, and two key columns."""
+    monkeypatch.setattr(graph, "BROADCAST_ROWS", most)
     a = spark.range(4000).selectExpr("id AS x", "IF(id % 2 = 0, 0, IF(id % 5 = 0, NULL, id % 97)) AS k", "'p' AS j")
     b = spark.range(900).selectExpr("id AS y", "IF(id % 2 = 0, 0, IF(id % 3 = 0, 5, id)) AS k", "'p' AS j")
     for keys in (["k"], ["k", "j"]):
