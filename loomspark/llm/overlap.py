@@ -382,14 +382,15 @@ def hits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 
 def _packed(hits: np.ndarray) -> bytes:
-    """Hits column by column, sorted, the first column as differences, compressed."""
+    """Hits column by column, sorted, the first column as differences, byte by byte of their numbers, compressed."""
     hits = hits[:, np.lexsort((hits[1], hits[0]))]
     hits[0, 1:] -= hits[0, :-1].copy()
-    return pa.Codec("zstd", 1).compress(hits.tobytes(), asbytes=True)
+    return pa.Codec("zstd", 1).compress(hits.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    hits = np.frombuffer(pa.Codec("zstd").decompress(data, n * 24, asbytes=True), np.int64).reshape(3, n).copy()
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, n * 24, asbytes=True), np.uint8)
+    hits = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).reshape(3, n)
     hits[0] = np.cumsum(hits[0])
     return hits
 
@@ -556,7 +557,7 @@ def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS) ->
     parts = max(64, looking.count() >> 16)
     pairs = cut(plausible(cut(candidates(chosen_seeds(looking), asked_seeds(val, table), parts)), t, v))
     of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g")])
-    named = cut(pairs.join(of(t, "t"), "it").join(of(v, "v"), "iv"))
+    named = cut(of(t, "t").join(small_broadcast(of(v, "v").join(small_broadcast(pairs), "iv")), "it"))
 
     def words(rows: DataFrame, side: str) -> DataFrame:
         """(h, g, w) of each text in `named`, from one of its rows; the names end in the side."""
@@ -607,6 +608,7 @@ def same_frames(train: DataFrame, val: DataFrame) -> DataFrame:
     use = F.col("m") - F.ceil(F.col("m") / 2) + 1 - (F.col("m") - F.size("found"))
     rarest = cut(ranked.where(use > 0).select(F.col("id").alias("val_id"), F.explode(F.slice("found", F.lit(1), use.cast("int"))["k"]).alias("k")))
     pairs = cut(spread_join(tk.join(small_broadcast(rarest.select("k").distinct()), "k", "left_semi"), rarest, ["k"]).select(F.col("id").alias("train_id"), "val_id").distinct())
+    train, val = (df.join(small_broadcast(pairs.select(F.col(i).alias("id")).distinct()), "id", "left_semi") for df, i in ((train, "train_id"), (val, "val_id")))
     full = pairs.join(val.select(F.col("id").alias("val_id"), F.col("game").alias("vg"), F.col("frames").alias("vf")), "val_id").join(
         train.select(F.col("id").alias("train_id"), "game", F.col("frames").alias("tf")), "train_id"
     )
