@@ -383,7 +383,7 @@ def hits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 
 def _packed(hits: np.ndarray) -> bytes:
     """Hits column by column, sorted, the first column as differences, byte by byte of their numbers, compressed."""
-    hits = hits[:, np.lexsort((hits[1], hits[0]))]
+    hits = np.ascontiguousarray(hits[:, np.lexsort((hits[1], hits[0]))])
     hits[0, 1:] -= hits[0, :-1].copy()
     return pa.Codec("zstd", 1).compress(hits.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
 
