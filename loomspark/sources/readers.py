@@ -82,7 +82,8 @@ def with_places(df: DataFrame, order: list[str | Column], groups: dict[str, list
     """`df` with the place of each row among the rows of its group in one order, from 0, for several groupings {name of the place: columns} at once.
 
     One sort by ranges serves all groupings. Tasks count the rows of each group they have met (so the groups of a range have
-    to be few: sources, phases), and counts by range and group, at most COUNTED on the driver, give what lies before.
+    to be few: sources, phases), and counts by range and group give what lies before: on the driver where there are at most
+    COUNTED of them, else by a window over the counts.
     """
     ranged = _ranged(df, order)
     names = list(groups)
@@ -118,14 +119,19 @@ def with_places(df: DataFrame, order: list[str | Column], groups: dict[str, list
     placed = coded.mapInArrow(run, schema)
     part = F.shiftright("__id", 33)
     for n in names:
-        counts = small_rows(coded.groupBy(part.alias("p"), F.col(f"__of_{n}").alias("g")).agg(F.count("*").alias("n")), COUNTED)
-        seen: dict[str, int] = {}
-        before = []
-        for r in sorted(counts):
-            before.append((r.p, r.g, seen.get(r.g, 0)))
-            seen[r.g] = seen.get(r.g, 0) + r.n
-        shift = df.sparkSession.createDataFrame(before, "__p bigint, __g string, __before bigint").coalesce(1)
-        placed = placed.join(F.broadcast(shift), (part == F.col("__p")) & (F.col(f"__of_{n}") == F.col("__g"))).withColumn(n, F.col(n) + F.col("__before")).drop("__p", "__g", "__before")
+        counts = coded.groupBy(part.alias("__p"), F.col(f"__of_{n}").alias("__g")).agg(F.count("*").alias("n"))
+        few = counts.take(COUNTED + 1)
+        if len(few) <= COUNTED:
+            seen: dict[str, int] = {}
+            before = []
+            for r in sorted(few):
+                before.append((r["__p"], r["__g"], seen.get(r["__g"], 0)))
+                seen[r["__g"]] = seen.get(r["__g"], 0) + r.n
+            shift = F.broadcast(df.sparkSession.createDataFrame(before, "__p bigint, __g string, __before bigint").coalesce(1))
+        else:
+            earlier = F.sum("n").over(W.partitionBy("__g").orderBy("__p").rowsBetween(W.unboundedPreceding, -1))
+            shift = cut(counts).select("__p", "__g", F.coalesce(earlier, F.lit(0)).alias("__before"))
+        placed = placed.join(shift, (part == F.col("__p")) & (F.col(f"__of_{n}") == F.col("__g"))).withColumn(n, F.col(n) + F.col("__before")).drop("__p", "__g", "__before")
     return placed.drop("__id", *[f"__of_{n}" for n in names])
 
 

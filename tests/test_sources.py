@@ -28,7 +28,9 @@ def test_group_index(spark, monkeypatch):
     assert readers.with_group_index(spark.createDataFrame([], "g string, i int"), ["g"], ["i"]).count() == 0
 
 
-def test_places_of_several_groupings(spark):
+@pytest.mark.parametrize("most", [1 << 17, 3])
+def test_places_of_several_groupings(spark, monkeypatch, most):
+    monkeypatch.setattr(readers, "COUNTED", most)
     data = [("a" if i % 3 else None, i % 2, (i * 37) % 300) for i in range(300)]
     for parts in (1, 6):
         got = readers.with_places(spark.createDataFrame(data, "g string, h int, i int").repartition(parts), ["i"], {"x": ["g"], "y": ["g", "h"], "z": ["h"]}).collect()
