@@ -29,12 +29,16 @@ TABLE_BITS, SLICES = 22, 64
 HOT, LENGTH_STEP, PLACE_SHARE = 512, 1.25, 0.25
 #: Bits of a run's hash that travel; runs that agree in them by chance are only more candidates.
 SEED_BITS = 47
-#: Hits that a task looks at in one go.
-AT_ONCE = 1 << 20
+#: Words of the context that begins with a fingerprint (at the text's end it goes on from the text's start), and bits of its signature; the other bits of 64 tell how many edits it may hold.
+CONTEXT, CONTEXT_BITS = 32, 56
+#: Bits of a text's hash by which its seeds and hits name it; texts that agree in them by chance are only more candidates.
+NAME_BITS = 40
+#: Hits, and seeds, that a task looks at in one go, and seeds of one part of them.
+AT_ONCE, IN_PART = 1 << 20, 1 << 18
 #: Buckets of a text's sketch, in which its words are counted up to 255.
 SKETCH = 32
 DOC = "id bigint, h bigint, g bigint, n int, sketch binary"
-SEED = "key bigint, meta bigint, id bigint"
+PACKET = "part int, side int, n int, data binary"
 PLACE = (1 << 31) - 1
 
 
@@ -121,13 +125,40 @@ def cell(seed: np.ndarray, bits: int) -> np.ndarray:
     return (seed >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def chosen(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, place, hash, count) of the blocks by which texts of the training table look for near copies.
+def signatures(h: np.ndarray, off: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which of CONTEXT_BITS sets of words have an odd number of words in the CONTEXT words from each place on."""
+    bits = np.uint64(1) << (h >> np.uint64(17)) % np.uint64(CONTEXT_BITS)
+    before = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bits)])
+    n, a = np.diff(off)[doc], off[doc]
+    rest = np.clip(place + CONTEXT - n, 0, n)
+    return before[a + np.minimum(place + CONTEXT, n)] ^ before[a + place] ^ before[a + rest] ^ before[a]
+
+
+def edits_in_context(doc: np.ndarray, start: np.ndarray, place: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many edits may lie in the context of each block; n: words of its text; all blocks that a text gives have to be there.
+
+    A text's N blocks, each with the words up to the next one, the last with those up to the first, lie in a circle. With
+    E < N edits at least N - E blocks are such that from each of them on, any j blocks in a row hold fewer than j edits
+    (cycle lemma: steps 1 - edits have the sum N - E and none is above 1). So hits of other blocks needn't count.
+    255 where a match may have fewer words than the context.
+    """
+    order = np.lexsort((start, doc))
+    at = doc[order].astype(np.int64) << 31 | start[order]
+    text = doc.astype(np.int64) << 31
+    first, behind = np.searchsorted(at, text), np.searchsorted(at, text + PLACE)
+    end = place + CONTEXT
+    touched = np.searchsorted(at, text | np.minimum(end, n)) - np.searchsorted(at, text | start)
+    touched += np.searchsorted(at, text | np.clip(end - n, 0, n)) - first
+    return np.where(n - n // ONE_IN < CONTEXT, 255, np.minimum(touched, behind - first) - 1)
+
+
+def chosen(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, place, hash, count, context) of the blocks by which texts of the training table look for near copies.
 
     A text is cut into blocks side by side. An edit breaks one block at most (a word put in between two breaks none), so of
     any most_edits + 1 blocks one is a stretch of every text within the definition, and the block's rarest run is one of that
     text's fingerprints (see `asked`). Those blocks are taken whose rarest runs are rarest; one whose run the evaluation table
-    lacks (count 0) has its place among them, but isn't sent.
+    lacks (count 0) has its place among them, but isn't sent. Contexts are signatures with the edits allowed above them.
     """
     n = np.diff(off)
     parts = []
@@ -139,13 +170,17 @@ def chosen(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray)
         start = (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)) * block
         inside = (off[doc] + start)[:, None] + np.arange(block - k + 1)[None]
         least = _order(g[inside], table).argmin(1) if len(doc) else np.zeros(0, np.int64)
-        parts.append((doc, start + least, g[inside[np.arange(len(doc)), least]]))
-    doc, place, g = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.append((doc, start, start + least, g[inside[np.arange(len(doc)), least]]))
+    doc, start, place, g = (np.concatenate(x) for x in zip(*parts, strict=True))
     count = table[cell(g, len(table).bit_length() - 1)]
     order = np.lexsort((g, count, doc))
     rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
-    use = order[(rank < blocks_of(n)[doc[order]]) & (count[order] > 0)]
-    return doc[use], place[use], g[use], count[use]
+    use = order[rank < blocks_of(n)[doc[order]]]
+    room = edits_in_context(doc[use], start[use], place[use], n[doc[use]])
+    sent = count[use] > 0
+    use, room = use[sent], room[sent]
+    context = signatures(h, off, doc[use], place[use]) | room.astype(np.uint64) << np.uint64(CONTEXT_BITS)
+    return doc[use], place[use], g[use], count[use], context.view(np.int64)
 
 
 _EDGES = np.unique(np.ceil((ONE_IN - 1) * LENGTH_STEP ** np.arange(90)).astype(np.int64))
@@ -175,23 +210,23 @@ def _keys(seed: np.ndarray, side: int) -> np.ndarray:
     return ((seed >> np.uint64(64 - SEED_BITS)).astype(np.int64) << 1) | side
 
 
-def asked_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, key, length and place) of the fingerprints of texts of the evaluation table."""
+def asked_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, key, length and place, context) of the fingerprints of texts of the evaluation table."""
     doc, place, g = asked(h, off, docs, table)
     m = np.diff(off)[doc]
     hot = np.flatnonzero(table[cell(g, len(table).bit_length() - 1)] > HOT)
     length = _length_class(m[hot])
     g[hot] = _within(g[hot], length, _place_class(2 * place[hot] - m[hot], length))
-    return doc, _keys(g, 0), m << 31 | place
+    return doc, _keys(g, 0), m << 31 | place, signatures(h, off, doc, place).view(np.int64)
 
 
-def chosen_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chosen_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The same of the chosen blocks of texts of the training table; a hot run once for each class that may have a match."""
-    doc, place, g, count = chosen(h, off, docs, table)
+    doc, place, g, count, context = chosen(h, off, docs, table)
     n = np.diff(off)[doc]
     hot = count > HOT
-    parts = [(doc[~hot], _keys(g[~hot], 1), (n << 31 | place)[~hot])]
-    doc, place, g, n = doc[hot], place[hot], g[hot], n[hot]
+    parts = [(doc[~hot], _keys(g[~hot], 1), (n << 31 | place)[~hot], context[~hot])]
+    doc, place, g, n, context = doc[hot], place[hot], g[hot], n[hot], context[hot]
     most, centre = most_edits(n), 2 * place - n
     low, high = _length_class(n - n // ONE_IN), _length_class(n + most)
     for j in range(int((high - low).max(initial=0)) + 1):
@@ -199,7 +234,7 @@ def chosen_rows(h: np.ndarray, off: np.ndarray, docs: np.ndarray, table: np.ndar
         a, b = _place_class(centre - most, length), _place_class(centre + most, length)
         for q in range(int((b - a).max(initial=0)) + 1):
             ok = (low + j <= high) & (a + q <= b)
-            parts.append((doc[ok], _keys(_within(g[ok], length[ok], (a + q)[ok]), 1), (n << 31 | place)[ok]))
+            parts.append((doc[ok], _keys(_within(g[ok], length[ok], (a + q)[ok]), 1), (n << 31 | place)[ok], context[ok]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -248,15 +283,10 @@ def _binary(parts: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(parts.tobytes())])
 
 
-def documents(rows: DataFrame, table: Broadcast | None = None) -> DataFrame:
-    """Columns of DOC for rows (id, text): two hashes of the text's words, their number and their sketch.
-
-    With a table of counts a column `seeds` follows: keys and places of the chosen blocks (see `chosen_rows`) of a text that
-    the task hasn't met before, empty for others.
-    """
+def documents(rows: DataFrame) -> DataFrame:
+    """Columns of DOC for rows (id, text): two hashes of the text's words, their number and their sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh = _Fresh()
         for batch in batches:
             for a, b, part in _texts(batch, 1):
                 h, off = word_hashes(part)
@@ -264,14 +294,9 @@ def documents(rows: DataFrame, table: Broadcast | None = None) -> DataFrame:
                 counts = np.bincount(np.repeat(np.arange(b - a), n) * SKETCH + (h % np.uint64(SKETCH)).astype(np.int64), minlength=(b - a) * SKETCH)
                 one, two = text_hashes(h, off)
                 cells = [batch.column(0).slice(a, b - a), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(n.astype(np.int32)), _binary(np.minimum(counts, 255).astype(np.uint8), np.arange(b - a + 1) * SKETCH)]
-                if table is not None:
-                    doc, key, meta = chosen_rows(h, off, fresh.of(one, two, n >= ONE_IN - 1), table.value)
-                    order = np.argsort(doc, kind="stable")
-                    packed = np.stack([key[order], meta[order]], axis=1)
-                    cells.append(_binary(packed, np.searchsorted(doc[order], np.arange(b - a + 1)) * 16))
-                yield pa.RecordBatch.from_arrays(cells, names=["id", "h", "g", "n", "sketch", "seeds"][: len(cells)])
+                yield pa.RecordBatch.from_arrays(cells, names=["id", "h", "g", "n", "sketch"])
 
-    return rows.mapInArrow(run, DOC if table is None else f"{DOC}, seeds binary")
+    return rows.mapInArrow(run, DOC)
 
 
 def run_counts(rows: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
@@ -313,92 +338,140 @@ def run_counts(rows: DataFrame, bits: int = TABLE_BITS) -> np.ndarray:
     return out
 
 
-def asked_seeds(rows: DataFrame, table: Broadcast) -> DataFrame:
-    """Columns of SEED for the fingerprints of rows (id, text) of the evaluation table; a text met before in the task gives none again."""
+def _packed(rows: np.ndarray) -> bytes:
+    """Rows of numbers (their first two say how they are sorted) byte by byte, the first column as differences, compressed."""
+    rows = np.ascontiguousarray(rows[:, np.lexsort((rows[1], rows[0]))])
+    rows[0, 1:] -= rows[0, :-1].copy()
+    return pa.Codec("zstd", 1).compress(rows.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, columns: int = 3) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, n * columns * 8, asbytes=True), np.uint8)
+    rows = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).reshape(columns, n)
+    rows[0] = np.cumsum(rows[0])
+    return rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh = _Fresh()
-        for batch in batches:
-            ids = np.asarray(batch.column(0))
-            for a, _, part in _texts(batch, 1):
-                h, off = word_hashes(part)
-                new = fresh.of(*text_hashes(h, off), np.diff(off) >= ONE_IN - 1)
-                doc, key, meta = asked_rows(h, off, new, table.value)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(meta), pa.array(ids[a + doc])], names=["key", "meta", "id"])
 
-    return rows.mapInArrow(run, SEED)
+def _packets(rows: np.ndarray, part: np.ndarray, parts: int, side: int) -> pa.RecordBatch:
+    """Rows as one packet for each part that has some."""
+    order = np.argsort(part, kind="stable")
+    at = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(at))
+    cells = [_packed(rows[:, order[at[i] : at[i + 1]]]) for i in full]
+    return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(np.full(len(full), side, np.int32)), pa.array(np.diff(at)[full].astype(np.int32)), pa.array(cells, pa.binary())], names=["part", "side", "n", "data"])
 
 
-def chosen_seeds(docs: DataFrame) -> DataFrame:
-    """Columns of SEED for the column `seeds` of `documents`."""
+def seeds(rows: DataFrame, table: Broadcast, parts: int, side: int) -> DataFrame:
+    """Columns of PACKET for rows (id, text): the seeds (key, meta, name of the text, context) of `asked_rows` (side 0) or `chosen_rows` (side 1), by one of `parts` parts of the keys.
+
+    Seeds are many more than texts, so they travel packed. A text met before in the task gives none again.
+    """
+    find = chosen_rows if side else asked_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cells = b.column(1).to_pylist()
-            packed = np.frombuffer(b"".join(cells), np.int64).reshape(-1, 2)
-            ids = np.repeat(np.asarray(b.column(0)), [len(c) // 16 for c in cells])
-            yield pa.RecordBatch.from_arrays([pa.array(packed[:, 0]), pa.array(packed[:, 1]), pa.array(ids)], names=["key", "meta", "id"])
+        fresh, waiting = _Fresh(), []
+
+        def flush() -> pa.RecordBatch:
+            found = np.concatenate(waiting, axis=1)
+            waiting.clear()
+            return _packets(found, (found[0] >> 1) % parts, parts, side)
+
+        for batch in batches:
+            for _, _, part in _texts(batch, 1):
+                h, off = word_hashes(part)
+                one, two = text_hashes(h, off)
+                doc, key, meta, context = find(h, off, fresh.of(one, two, np.diff(off) >= ONE_IN - 1), table.value)
+                waiting.append(np.stack([key, meta, (one >> np.uint64(64 - NAME_BITS)).astype(np.int64)[doc], context]))
+                if sum(w.shape[1] for w in waiting) > AT_ONCE:
+                    yield flush()
+        if waiting:
+            yield flush()
 
-    return docs.where("length(seeds) > 0").select("id", "seeds").mapInArrow(run, SEED)
+    return rows.mapInArrow(run, PACKET)
+
+
+def _fitting(v: np.ndarray, t: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows it, iv, need for the rows of v and t, both sorted by key and meta, of one seed whose lengths, places and contexts (where they have them) fit."""
+    if not t.shape[1] or not v.shape[1]:
+        return
+    each, at = np.unique(v[0] >> 1, return_inverse=True)
+    j = np.searchsorted(each, t[0] >> 1)
+    known = each[np.minimum(j, len(each) - 1)] == t[0] >> 1
+    t, j = t[:, known], j[known]
+    n = t[1] >> 31
+    order = at << 31 | v[1] >> 31
+    low = np.searchsorted(order, j << 31 | n - n // ONE_IN)
+    count = np.searchsorted(order, j << 31 | n + most_edits(n), side="right") - low
+    ends = np.cumsum(count)
+    a = 0
+    while a < len(count):
+        e = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE, side="right")))
+        c = count[a:e]
+        x = np.repeat(np.arange(a, e), c)
+        y = np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[a:e], c)
+        m, before = v[1, y] >> 31, (t[1, x] & PLACE) - (v[1, y] & PLACE)
+        most, apart = np.maximum(n[x], m) // ONE_IN, n[x] - m
+        fit = np.flatnonzero((np.abs(apart) <= most) & (np.abs(before) + np.abs(apart - before) <= most))
+        if len(t) > 3:
+            # An edit changes at most two of the words that two contexts have.
+            differ = np.bitwise_count((t[3, x[fit]] ^ v[3, y[fit]]) & ((1 << CONTEXT_BITS) - 1))
+            fit = fit[differ <= 2 * (t[3, x[fit]] >> CONTEXT_BITS & 255)]
+        x, y = x[fit], y[fit]
+        yield np.stack([t[2, x], v[2, y], blocks_of(n[x]) - most[fit]])
+        a = e
 
 
 def hits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Rows it, iv, need for each chosen block and run of one seed whose lengths and places fit; rows of SEED come sorted by key and meta.
+    """Rows it, iv, need for each chosen block and run of one seed that fit; rows (key, meta, id and, if wanted, context) come sorted by key and meta.
 
     Lengths fit where they differ by no more words than allowed, places where the words before the seed and those behind
     it together do. Of a seed's rows only those of the evaluation table are kept while its others pass by.
     """
-    held = np.zeros((3, 0), np.int64)
+    held = None
     for b in batches:
-        rows = np.stack([np.asarray(b.column(i)) for i in range(3)])
+        rows = np.stack([np.asarray(c) for c in b.columns])
         if not rows.shape[1]:
             continue
-        rows = np.concatenate([held[:, held[0] >> 1 == rows[0, 0] >> 1], rows], axis=1)
+        if held is not None:
+            rows = np.concatenate([held[:, held[0] >> 1 == rows[0, 0] >> 1], rows], axis=1)
         v, t = rows[:, rows[0] & 1 == 0], rows[:, rows[0] & 1 == 1]
         held = v[:, v[0] >> 1 == rows[0, -1] >> 1]
-        if not t.shape[1] or not v.shape[1]:
-            continue
-        seeds, at = np.unique(v[0] >> 1, return_inverse=True)
-        j = np.searchsorted(seeds, t[0] >> 1)
-        known = seeds[np.minimum(j, len(seeds) - 1)] == t[0] >> 1
-        t, j = t[:, known], j[known]
-        n = t[1] >> 31
-        order = at << 31 | v[1] >> 31
-        low = np.searchsorted(order, j << 31 | n - n // ONE_IN)
-        count = np.searchsorted(order, j << 31 | n + most_edits(n), side="right") - low
-        ends = np.cumsum(count)
-        a = 0
-        while a < len(count):
-            e = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + AT_ONCE, side="right")))
-            c = count[a:e]
-            x = np.repeat(np.arange(a, e), c)
-            y = np.arange(len(x)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[a:e], c)
-            m, before = v[1, y] >> 31, (t[1, x] & PLACE) - (v[1, y] & PLACE)
-            most, apart = np.maximum(n[x], m) // ONE_IN, n[x] - m
-            fit = (np.abs(apart) <= most) & (np.abs(before) + np.abs(apart - before) <= most)
-            x, y = x[fit], y[fit]
-            yield np.stack([t[2, x], v[2, y], blocks_of(n[x]) - most[fit]])
-            a = e
-
-
-def _packed(hits: np.ndarray) -> bytes:
-    """Hits column by column, sorted, the first column as differences, byte by byte of their numbers, compressed."""
-    hits = np.ascontiguousarray(hits[:, np.lexsort((hits[1], hits[0]))])
-    hits[0, 1:] -= hits[0, :-1].copy()
-    return pa.Codec("zstd", 1).compress(hits.view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True)
-
-
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.Codec("zstd").decompress(data, n * 24, asbytes=True), np.uint8)
-    hits = np.ascontiguousarray(planes.reshape(8, -1).T).view(np.int64).reshape(3, n)
-    hits[0] = np.cumsum(hits[0])
-    return hits
+        yield from _fitting(v, t)
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """The different rows of some seeds, sorted by key and meta: copies of a text give the same ones."""
+    rows = np.concatenate(parts, axis=1)
+    rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+    return rows[:, np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(0)])]
+
+
+def met(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The hits of packets of seeds, sorted by part and side. A part's seeds of the evaluation table are held, the others pass by."""
+    now, v, t = -1, [], []
+
+    def hits() -> Iterator[np.ndarray]:
+        if v and t:
+            v[:] = [_distinct(v)] if len(v) > 1 else v
+            yield from _fitting(v[0], _distinct(t))
+        t.clear()
+
+    for b in batches:
+        for part, side, n, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if part != now:
+                yield from hits()
+                now = part
+                v.clear()
+            (t if side else v).append(_unpacked(data, n, 4))
+            if side and sum(x.shape[1] for x in t) > AT_ONCE:
+                yield from hits()
+    yield from hits()
 
 
 def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
-    """Pairs (it, iv) of rows that share as many chosen blocks as the edits allowed must leave; train and val have the columns of SEED.
+    """Pairs (it, iv) of names of texts that share as many chosen blocks as the edits allowed must leave; train and val have the columns of PACKET.
 
-    Hits are many more than pairs, so they travel packed, by one of `parts` parts of the training rows, and a task counts them part by part.
+    Hits are many more than pairs, so they travel packed, by one of `parts` parts of the training texts, and a task counts them part by part.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,13 +481,9 @@ def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
             hits = np.concatenate(waiting, axis=1)
             waiting.clear()
             part = (tv.mix(hits[0].astype(np.uint64) & np.uint64(0xFFFFFFFF), hits[0] >> 32) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            at = np.searchsorted(part[order], np.arange(parts + 1))
-            full = np.flatnonzero(np.diff(at))
-            cells = [_packed(hits[:, order[at[i] : at[i + 1]]]) for i in full]
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(np.diff(at)[full].astype(np.int32)), pa.array(cells, pa.binary())], names=["part", "n", "hits"])
+            return _packets(hits, part, parts, 1)
 
-        for hits in hits_of(batches):
+        for hits in met(batches):
             waiting.append(hits)
             if sum(h.shape[1] for h in waiting) > AT_ONCE:
                 yield flush()
@@ -426,21 +495,20 @@ def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
 
         def pairs() -> pa.RecordBatch:
             hits = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int64)
-            hits = hits[:, np.lexsort((hits[1], hits[0]))]
+            hits = hits[:, np.lexsort((hits[2], hits[1], hits[0]))]
             first = np.flatnonzero(np.concatenate([[True], (hits[:2, 1:] != hits[:2, :-1]).any(0)])) if hits.shape[1] else np.zeros(0, np.int64)
             enough = first[np.diff(np.append(first, hits.shape[1])) >= hits[2, first]]
             return pa.RecordBatch.from_arrays([pa.array(hits[0, enough]), pa.array(hits[1, enough])], names=["it", "iv"])
 
         for b in batches:
-            for part, n, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for part, n, data in zip(*(b.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
                 if part != now:
                     yield pairs()
                     now, held = part, []
                 held.append(_unpacked(data, n))
         yield pairs()
 
-    both = train.union(val).repartition((F.shiftright("key", 1)).alias("seed")).sortWithinPartitions("key", "meta")
-    hits = both.mapInArrow(meet, "part int, n int, hits binary")
+    hits = train.union(val).repartition("part").sortWithinPartitions("part", "side").mapInArrow(meet, PACKET)
     return hits.repartition("part").sortWithinPartitions("part").mapInArrow(count, "it bigint, iv bigint")
 
 
@@ -449,19 +517,26 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def plausible(pairs: DataFrame, train: DataFrame, val: DataFrame) -> DataFrame:
-    """The pairs of different texts whose sketches differ by no more words than allowed: a bound on the edits from below, so no match is lost. train, val: columns of DOC."""
-    of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g", "n", "sketch")])
-    wanted = val.join(small_broadcast(pairs.select(F.col("iv").alias("id")).distinct()), "id", "left_semi")
-    both = pairs.join(of(train, "t"), "it").join(small_broadcast(of(wanted, "v")), "iv").where("ht <> hv OR gt <> gv").select("it", "iv", "nt", "nv", "st", "sv")
+    """The pairs of different texts whose sketches differ by no more words than allowed: a bound on the edits from below, so no match is lost.
+
+    pairs: of names; train, val: columns of DOC. Returns it, iv (a row of each text), ht, gt, hv, gv.
+    """
+
+    def texts(docs: DataFrame, side: str) -> DataFrame:
+        named = docs.withColumn("name", F.shiftrightunsigned("h", 64 - NAME_BITS))
+        wanted = named.join(small_broadcast(pairs.select(F.col(f"i{side}").alias("name")).distinct()), "name", "left_semi")
+        return wanted.groupBy("name", "h", "g", "n", "sketch").agg(F.min("id").alias("id")).select(F.col("name").alias(f"i{side}"), *[F.col(c).alias(c[0] + "_" + side) for c in ("id", "h", "g", "n", "sketch")])
+
+    both = pairs.join(small_broadcast(texts(train, "t")), "it").join(small_broadcast(texts(val, "v")), "iv").where("h_t <> h_v OR g_t <> g_v").select("i_t", "i_v", "h_t", "g_t", "h_v", "g_v", "n_t", "n_v", "s_t", "s_v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            most = np.maximum(np.asarray(b.column(2)), np.asarray(b.column(3))) // ONE_IN
-            diff = _sketches(b.column(4)) - _sketches(b.column(5))
+            most = np.maximum(np.asarray(b.column(6)), np.asarray(b.column(7))) // ONE_IN
+            diff = _sketches(b.column(8)) - _sketches(b.column(9))
             keep = pa.array((diff.clip(0).sum(1) <= most) & ((-diff).clip(0).sum(1) <= most))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["it", "iv"])
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(keep) for k in range(6)], names=["it", "iv", "ht", "gt", "hv", "gv"])
 
-    return both.mapInArrow(run, "it bigint, iv bigint")
+    return both.mapInArrow(run, "it bigint, iv bigint, ht bigint, gt bigint, hv bigint, gv bigint")
 
 
 def edits(x: list[int], y: list[int]) -> int:
@@ -548,20 +623,19 @@ def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS) ->
 
     links: ht, gt, hv, gv, edits, covered for each pair of different texts of which at most a tenth of the longer one's words
     differ; texts: id, h, g, n, with equal h and g for equal texts (n = 0: no words, matches nothing). Texts, not rows, are
-    joined: each task lets only the first row of a text look, and found pairs are named by the texts' hashes, so the result
+    joined: they are named by their hashes from the seeds on, and copies' seeds are dropped where they meet, so the result
     doesn't depend on partitions. `table_bits` (of the counts by which blocks are chosen) bears on the work only.
     """
     table = train.sparkSession.sparkContext.broadcast(run_counts(val, table_bits))
-    looking = cut(documents(train, table))
-    t, v = cut(looking.drop("seeds")), cut(documents(val))
-    parts = max(64, looking.count() >> 16)
-    pairs = cut(plausible(cut(candidates(chosen_seeds(looking), asked_seeds(val, table), parts)), t, v))
-    of = lambda df, side: df.select(*[F.col(c).alias(c[0] + side) for c in ("id", "h", "g")])
-    named = cut(of(t, "t").join(small_broadcast(of(v, "v").join(small_broadcast(pairs), "iv")), "it"))
+    t, v = cut(documents(train)), cut(documents(val))
+    (rows, words_t), (_, words_v) = (df.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first() for df in (t, v))
+    # A text of train has a seed for about 9 of its words, one of val 2 for 3.
+    parts = max(128, (words_t // (ONE_IN - 1) + words_v * 2 // 3) // IN_PART)
+    named = cut(plausible(cut(candidates(seeds(train, table, parts, 1), seeds(val, table, parts, 0), max(64, rows >> 16))), t, v))
 
     def words(rows: DataFrame, side: str) -> DataFrame:
         """(h, g, w) of each text in `named`, from one of its rows; the names end in the side."""
-        wanted = named.groupBy(f"h{side}", f"g{side}").agg(F.min(f"i{side}").alias("id")).select("id").distinct()
+        wanted = named.select(F.col(f"i{side}").alias("id")).distinct()
         text = rows.join(small_broadcast(wanted), "id", "left_semi")
         names = [x + side for x in "hgw"]
 
@@ -647,5 +721,3 @@ def overlap_report(found: DataFrame, val: DataFrame, channels: DataFrame) -> Dat
         F.count("*").alias("rows"), F.count("pairs").alias("found"), F.count("covered").alias("by_text"), F.count("frames").alias("by_frames"),
         F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"), F.avg("covered").alias("mean_covered"),
     )
-
-

@@ -263,3 +263,67 @@ def test_frames(spark):
     want = {(a, b): len(set(x) & set(y)) for a, g, x in train for b, h, y in val if g and g == h and y and 2 * len(set(x) & set(y)) >= len(y)}
     got = {(r.train_id, r.val_id): r.frames for r in overlap.same_frames(df(train), df(val)).collect()}
     assert got == want and any(f == 1 for f in want.values())
+
+
+def hits_by_pair(train, val, contexts=True, copies=1):
+    """((it, iv) -> (hits, need), hits in all) of seeds in packets, each side sent `copies` times."""
+    (ht, ot), (hv, ov) = flat(train), flat(val)
+    table = np.zeros(1 << 12, np.uint16)
+    np.add.at(table, overlap.cell(overlap.all_runs(hv, ov, np.flatnonzero(np.diff(ov) >= 9)), 12), 1)
+    packets = []
+    for side, (doc, key, meta, context) in enumerate((overlap.asked_rows(hv, ov, np.flatnonzero(np.diff(ov) >= 9), table), overlap.chosen_rows(ht, ot, np.arange(len(train)), table))):
+        if not contexts:
+            context = np.full(len(doc), -1)  # any number of edits
+        rows = np.stack([key, meta, doc, context])
+        packets += [overlap._packets(rows, (rows[0] >> 1) % 5, 5, side)] * copies
+    packets = pa.Table.from_batches(packets).sort_by([("part", "ascending"), ("side", "ascending")])
+    pairs = {}
+    for x, y, need in (hits := np.concatenate(list(overlap.met(packets.to_batches(max_chunksize=7))), axis=1)).T.tolist():
+        pairs[x, y] = pairs.get((x, y), (0, need))[0] + 1, need
+    return pairs, hits.shape[1]
+
+
+@pytest.mark.parametrize("hot", [overlap.HOT, 0])
+def test_contexts_lose_no_match(hot, monkeypatch):
+    """Edits evenly spread, at random, in one place and at both ends: the hits wanted are left, once each, though all seeds come three times."""
+    monkeypatch.setattr(overlap, "HOT", hot)
+    rng = random.Random(21)
+    train = random_texts(rng, [rng.choice([9, 17, 35, 36, 40, 41, 54, 60, 100, 150, 279, 400, 900]) for _ in range(500)], 60)
+    val = []
+    for i, x in enumerate(train):
+        d, new = len(x) // 10, [10**6 + j for j in range(len(x) // 9)]
+        at = rng.randrange(len(x))
+        kinds = [
+            [10**6 + j if j % 10 == 9 else w for j, w in enumerate(x)],
+            [w for j, w in enumerate(x) if j % 10 != 9],
+            change(rng, x, d),
+            x[:at] + new + x[at:],  # a passage put in
+            x[d:] if i % 2 else x[: len(x) - d],
+            new[: d // 2] + x[: len(x) - (d - d // 2)],
+        ]
+        val.append(kinds[i % len(kinds)])
+        assert plain_or_equal(x, val[-1])
+    once, _ = hits_by_pair(train, val)
+    assert [i for i in range(500) if train[i] != val[i] and once.get((i, i), (0, 1))[0] < once.get((i, i), (0, 1))[1]] == []
+    assert hits_by_pair(train, val, copies=3)[0] == once
+
+
+def test_contexts_leave_few_chance_hits():
+    """Texts of the same sentences in other orders share many runs, but few of them with what follows."""
+    rng = random.Random(22)
+    sentences = [[rng.randrange(200) for _ in range(rng.randrange(8, 16))] for _ in range(60)]
+    make = lambda: [w if rng.random() < 0.85 else rng.randrange(10**6) for _ in range(22) for w in rng.choice(sentences)]
+    train, val = [make() for _ in range(150)], [make() for _ in range(150)]
+    assert hits_by_pair(train, val)[1] * 4 < hits_by_pair(train, val, contexts=False)[1]
+
+
+def test_copies_in_other_tasks_make_no_more_hits(spark):
+    """A text of each side in eight partitions is a candidate once."""
+    rng = random.Random(23)
+    words = [w + str(rng.randrange(90)) for w in text(rng, 200)]
+    df = lambda w: spark.createDataFrame([(i, " ".join(w)) for i in range(8)], "id bigint, text string").repartition(8)
+    train, val = df(words), df(spaced(words, 20))
+    table = spark.sparkContext.broadcast(overlap.run_counts(val, 12))
+    assert overlap.candidates(overlap.seeds(train, table, 3, 1), overlap.seeds(val, table, 3, 0), 2).count() == 1
+    links, _, _ = overlap.same_text(train, val)
+    assert links.count() == 1
