@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from loomspark.functions.names import with_known_game
 from loomspark.llm import textvec as tv
 from loomspark.llm.words import word_hashes
 from loomspark.operators.graph import small_broadcast, spread_join
-from loomspark.session import cut
+from loomspark.session import cut, drop_unused
 
 #: Fixed by the definition: at most one word in so many of the longer text differs.
 ONE_IN = 10
@@ -35,6 +36,8 @@ CONTEXT, CONTEXT_BITS = 32, 56
 NAME_BITS = 40
 #: Hits, and seeds, that a task looks at in one go, and seeds of one part of them.
 AT_ONCE, IN_PART = 1 << 20, 1 << 18
+#: Rows of the evaluation table for which the hits of all texts lie on disk together; with more the training texts take turns.
+IN_ROUND = 1 << 18
 #: Buckets of a text's sketch, in which its words are counted up to 255.
 SKETCH = 32
 DOC = "id bigint, h bigint, g bigint, n int, sketch binary"
@@ -446,8 +449,8 @@ def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return rows[:, np.concatenate([[True], (rows[:3, 1:] != rows[:3, :-1]).any(0)])]
 
 
-def met(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """The hits of packets of seeds, sorted by part and side. A part's seeds of the evaluation table are held, the others pass by."""
+def met(batches: Iterator[pa.RecordBatch], turn: int = 0, rounds: int = 1) -> Iterator[np.ndarray]:
+    """The hits of packets of seeds, sorted by part and side, for the training texts of one round. A part's seeds of the evaluation table are held, the others pass by."""
     now, v, t = -1, [], []
 
     def hits() -> Iterator[np.ndarray]:
@@ -462,19 +465,24 @@ def met(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
                 yield from hits()
                 now = part
                 v.clear()
-            (t if side else v).append(_unpacked(data, n, 4))
+            rows = _unpacked(data, n, 4)
+            if side and rounds > 1:
+                rows = rows[:, rows[2] % rounds == turn]
+            if rows.shape[1]:
+                (t if side else v).append(rows)
             if side and sum(x.shape[1] for x in t) > AT_ONCE:
                 yield from hits()
     yield from hits()
 
 
-def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
+def candidates(train: DataFrame, val: DataFrame, parts: int, rounds: int = 1) -> DataFrame:
     """Pairs (it, iv) of names of texts that share as many chosen blocks as the edits allowed must leave; train and val have the columns of PACKET.
 
     Hits are many more than pairs, so they travel packed, by one of `parts` parts of the training texts, and a task counts them part by part.
+    In several rounds, each for some of the training texts, only the hits of one lie on disk at a time.
     """
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
@@ -483,7 +491,7 @@ def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
             part = (tv.mix(hits[0].astype(np.uint64) & np.uint64(0xFFFFFFFF), hits[0] >> 32) % np.uint64(parts)).astype(np.int64)
             return _packets(hits, part, parts, 1)
 
-        for hits in met(batches):
+        for hits in met(batches, turn, rounds):
             waiting.append(hits)
             if sum(h.shape[1] for h in waiting) > AT_ONCE:
                 yield flush()
@@ -508,8 +516,19 @@ def candidates(train: DataFrame, val: DataFrame, parts: int) -> DataFrame:
                 held.append(_unpacked(data, n))
         yield pairs()
 
-    hits = train.union(val).repartition("part").sortWithinPartitions("part", "side").mapInArrow(meet, PACKET)
-    return hits.repartition("part").sortWithinPartitions("part").mapInArrow(count, "it bigint, iv bigint")
+    def pairs_of(turn: int) -> DataFrame:
+        hits = both.mapInArrow(lambda batches: meet(batches, turn), PACKET)
+        return hits.repartition("part").sortWithinPartitions("part").mapInArrow(count, "it bigint, iv bigint")
+
+    both = train.union(val).repartition("part").sortWithinPartitions("part", "side")
+    if rounds == 1:
+        return pairs_of(0)
+    both = cut(both)
+    found = []
+    for turn in range(rounds):
+        drop_unused(both.sparkSession)
+        found.append(cut(pairs_of(turn)))
+    return reduce(DataFrame.union, found)
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -618,20 +637,20 @@ def align(x: list[int], y: list[int], k: int = 5) -> tuple[int, int] | None:
     return total, covered
 
 
-def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def same_text(train: DataFrame, val: DataFrame, table_bits: int = TABLE_BITS, in_round: int = IN_ROUND) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(links, train texts, val texts) for rows (id, text) of both sides.
 
     links: ht, gt, hv, gv, edits, covered for each pair of different texts of which at most a tenth of the longer one's words
     differ; texts: id, h, g, n, with equal h and g for equal texts (n = 0: no words, matches nothing). Texts, not rows, are
     joined: they are named by their hashes from the seeds on, and copies' seeds are dropped where they meet, so the result
-    doesn't depend on partitions. `table_bits` (of the counts by which blocks are chosen) bears on the work only.
+    doesn't depend on partitions. `table_bits` (of the counts by which blocks are chosen) and `in_round` bear on the work only.
     """
     table = train.sparkSession.sparkContext.broadcast(run_counts(val, table_bits))
     t, v = cut(documents(train)), cut(documents(val))
-    (rows, words_t), (_, words_v) = (df.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first() for df in (t, v))
+    (rows, words_t), (rows_v, words_v) = (df.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first() for df in (t, v))
     # A text of train has a seed for about 9 of its words, one of val 2 for 3.
     parts = max(128, (words_t // (ONE_IN - 1) + words_v * 2 // 3) // IN_PART)
-    named = cut(plausible(cut(candidates(seeds(train, table, parts, 1), seeds(val, table, parts, 0), max(64, rows >> 16))), t, v))
+    named = cut(plausible(cut(candidates(seeds(train, table, parts, 1), seeds(val, table, parts, 0), max(64, rows >> 16), 1 + rows_v // in_round)), t, v))
 
     def words(rows: DataFrame, side: str) -> DataFrame:
         """(h, g, w) of each text in `named`, from one of its rows; the names end in the side."""

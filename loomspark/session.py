@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -58,6 +59,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_unused(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of tables that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list[Row]:
     """All rows of a table that has to be small; raises ValueError when it has more than `limit` rows."""
     rows = df.take(limit + 1)

@@ -327,3 +327,16 @@ def test_copies_in_other_tasks_make_no_more_hits(spark):
     assert overlap.candidates(overlap.seeds(train, table, 3, 1), overlap.seeds(val, table, 3, 0), 2).count() == 1
     links, _, _ = overlap.same_text(train, val)
     assert links.count() == 1
+
+
+def test_rounds_change_nothing(spark):
+    """Training texts that take turns in three rounds give the pairs of one."""
+    rng = random.Random(24)
+    train, val = [], []
+    for i in range(60):
+        words = [w if w in COMMON else w + str(rng.randrange(90)) for w in text(rng, 100)]
+        train.append((i, " ".join(words)))
+        val.append((10**6 + i, " ".join(change(rng, words, 1 + i % 9))))
+    df = lambda part: spark.createDataFrame(part, "id bigint, text string")
+    found = text_pairs(df(train), df(val), in_round=25)
+    assert found == text_pairs(df(train), df(val)) and len(found) > 50
